@@ -6,7 +6,11 @@ always lets it broadcast them; no hint is given.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 GOLD_TABLE = "gold_state"
 
@@ -104,6 +108,7 @@ GOLD_SCHEMA = (
     "pct_parcelados double, satisfacao_media double, pct_atrasados double, media_dias_atraso double, "
     "ticket_por_pib double"
 )
+GOLD_COLUMNS = [column.split()[0] for column in GOLD_SCHEMA.split(", ")]
 
 # Public 2018 GDP per head (BRL) of each Brazilian state, with its region.
 STATE_GDP = [
@@ -137,19 +142,24 @@ STATE_GDP = [
 ]
 
 
+def lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A constant table. It goes in as Arrow, so it becomes a local relation of known size that the planner can
+    broadcast, instead of a Python-backed scan of unknown size."""
+    target = StructType.fromDDL(schema)
+    table = pa.Table.from_arrays([pa.array(column) for column in zip(*rows)], names=target.fieldNames())
+    return spark.createDataFrame(table, target)
+
+
 def price_table(spark: SparkSession) -> DataFrame:
     """(llm, price_in, price_out): USD per million tokens, one row per known model."""
-    rows = ", ".join(f"('{m}', {pin}BD, {pout}BD)" for _, m, _, pin, pout in MODELS)
-    return spark.sql(
-        "SELECT llm, CAST(price_in AS decimal(6,2)) AS price_in, CAST(price_out AS decimal(6,2)) AS price_out "
-        f"FROM VALUES {rows} AS t(llm, price_in, price_out)"
-    )
+    rows = [(model, Decimal(price_in), Decimal(price_out)) for _, model, _, price_in, price_out in MODELS]
+    return lookup(spark, rows, "llm string, price_in decimal(6,2), price_out decimal(6,2)")
 
 
-def override_table(spark: SparkSession, providers: dict[str, bool]) -> DataFrame:
-    """(override, override_llm): the models a user may pick, given the providers with a key."""
+def override_table(spark: SparkSession, providers: dict[str, bool]) -> DataFrame | None:
+    """(override, override_llm): the models a user may pick given the providers with a key; None if there are none."""
     rows = [(name, model) for name, model, provider, _, _ in MODELS if providers.get(provider)]
-    return spark.createDataFrame(rows, "override string, override_llm string")
+    return lookup(spark, rows, "override string, override_llm string") if rows else None
 
 
 def bench_models(providers: dict[str, bool] | None = None) -> list[str]:

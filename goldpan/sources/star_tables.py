@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.catalog import BENCH_QUESTIONS, bench_models
+from goldpan.catalog import BENCH_QUESTIONS, BLOCKED_MESSAGE, bench_models
 from goldpan.functions.bands import income_class
 
 PROMISE_DAYS = 1800
@@ -104,7 +104,7 @@ def _pick(values: list[str], position: Column) -> Column:
 def model_runs(events: DataFrame) -> DataFrame:
     """Model runs as fixtures describe them, one per event; a zero token count means the run reported none.
 
-    Columns: run_id, started, question, llm, ok, blocked, generation_error, row_count, answer, first_row,
+    Columns: run_id, started, question, llm, ok, blocked_message, generation_error, row_count, answer, first_row,
     sql_error, attempts, tokens_in, tokens_out, tokens_out_2, latency_ms.
     """
     kind = F.col("event_type")
@@ -116,7 +116,7 @@ def model_runs(events: DataFrame) -> DataFrame:
         _pick(BENCH_QUESTIONS, F.col("user_id") % 3).alias("question"),
         _pick(bench_models(), F.col("event_id") % 7).alias("llm"),
         (kind != "error").alias("ok"),
-        (kind == "signup").alias("blocked"),
+        F.when(kind == "signup", BLOCKED_MESSAGE).alias("blocked_message"),
         F.when(kind == "error", F.concat(F.lit("run failed with "), F.col("props"))).alias("generation_error"),
         F.when(kind == "view", 0).otherwise(F.col("user_id") % 4 + 1).cast("bigint").alias("row_count"),
         F.when(kind != "click", F.concat(F.lit(" resposta "), F.col("props"), F.lit("\n"))).alias("answer"),

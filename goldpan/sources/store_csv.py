@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.catalog import STATE_GDP
+from goldpan.catalog import STATE_GDP, lookup
 from goldpan.functions.bands import income_class
 
 # The columns of the seven public tables.
@@ -50,7 +50,7 @@ def bronze(spark: SparkSession, folder: str, pattern: str = "*{name}*.csv") -> d
 
 def gdp_seed(spark: SparkSession) -> DataFrame:
     """(state_key, state, region, gdp, income_class) for the 27 Brazilian states."""
-    rows = spark.createDataFrame(STATE_GDP, "state string, region string, gdp double")
+    rows = lookup(spark, STATE_GDP, "state string, region string, gdp double")
     return rows.select(
         F.col("state").alias("state_key"), "state", "region", "gdp", income_class(F.col("gdp")).alias("income_class")
     )
