@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,11 +26,20 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)\A[{_SPACE}]++|(?<![{_SPACE}])[{_SPACE}]++\z", "")
 
 
-def mentions_word(text: Column, words: Sequence[str]) -> Column:
-    """True if any of ``words`` occurs as a whole word, ignoring case; null text mentions none."""
+def has_two_words(text: Column) -> Column:
+    """True from the second word on. The search stops there, so long texts are not counted through."""
+    return F.coalesce(text.rlike(rf"(?U)[^{_SPACE}][{_SPACE}]+[^{_SPACE}]"), F.lit(False))
+
+
+def mentions_word(lowered: Column, words: Sequence[str]) -> Column:
+    """True if any of ``words`` occurs as a whole word in lower-case text; null text mentions none.
+
+    A plain substring test on the whole text goes first: it is far cheaper than the pattern, and few texts pass it.
+    """
+    anywhere = reduce(or_, [lowered.contains(word) for word in words])
     edge = r"[\p{L}\p{N}_]"
-    pattern = rf"(?<!{edge})(?:{'|'.join(words)})(?!{edge})"
-    return F.coalesce(F.lower(text).rlike(pattern), F.lit(False))
+    whole = lowered.rlike(rf"(?<!{edge})(?:{'|'.join(words)})(?!{edge})")
+    return F.coalesce(anywhere & whole, F.lit(False))
 
 
 def strip_fences(sql: Column) -> Column:

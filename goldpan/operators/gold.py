@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.functions.measures import ratio
-
 MEASURES = (
     "orders",
     "paid_cents",
@@ -27,24 +25,24 @@ STATE_KEYS = ("state", "region", "gdp", "income_class")
 
 def roll_up(frame: DataFrame, *keys: str) -> DataFrame:
     """Sum every additive measure by ``keys``."""
-    return frame.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES if m in frame.columns])
+    present = set(frame.columns)
+    return frame.groupBy(*keys).agg(*[F.expr(f"sum({m}) AS {m}") for m in MEASURES if m in present])
 
 
 def order_measures(facts: DataFrame) -> DataFrame:
     """Additive measures of each order, from ``silver.order_facts`` or from the enriched silver table."""
-    paid = F.col("paid_cents") if "paid_cents" in facts.columns else F.col("paid") * 100
-    scores = [c for c in ("score_sum", "score_count") if c in facts.columns]
-    keys = [c for c in ("customer_id", *STATE_KEYS) if c in facts.columns]
-    return facts.select(
-        *keys,
-        F.lit(1).cast("bigint").alias("orders"),
-        paid.cast("bigint").alias("paid_cents"),
-        F.col("n_items").alias("items"),
+    present = set(facts.columns)
+    kept = [c for c in ("customer_id", *STATE_KEYS, "score_sum", "score_count") if c in present]
+    paid = "paid_cents" if "paid_cents" in present else "paid * 100"
+    return facts.selectExpr(
+        *kept,
+        "1L AS orders",
+        f"CAST({paid} AS bigint) AS paid_cents",
+        "n_items AS items",
         "instalments",
-        (F.col("instalments") > 1).cast("int").alias("instalment_orders"),
-        F.col("is_late").cast("int").alias("late_orders"),
+        "int(instalments > 1) AS instalment_orders",
+        "int(is_late) AS late_orders",
         "delay_days",
-        *scores,
     )
 
 
@@ -62,55 +60,64 @@ def state_totals_from_facts(facts: DataFrame, profiles: DataFrame) -> DataFrame:
     """
     by_customer = roll_up(order_measures(facts), "customer_id").join(profiles, "customer_id")
     if "score_sum" in profiles.columns:
-        for score in ("score_sum", "score_count"):
-            by_customer = by_customer.withColumn(score, F.col(score) * F.col("orders"))
+        by_customer = by_customer.withColumns(
+            {score: F.col(score) * F.col("orders") for score in ("score_sum", "score_count")}
+        )
     return roll_up(by_customer, *STATE_KEYS)
 
 
-def _mean(measure: str, decimals: int, scale: int = 1):
-    return F.round(ratio(F.col(measure), F.col("orders")) * scale, decimals)
+def _ratio(top: str, bottom: str, decimals: int) -> str:
+    """SQL for a rounded quotient, null where the denominator is zero. One division, rounded once."""
+    return f"round(try_divide(double({top}), double({bottom})), {decimals})"
+
+
+# Money is in cents and percentages are in parts of a hundred, so the factor goes into the whole-number side.
+def _ticket(decimals: int) -> str:
+    return _ratio("paid_cents", "orders * 100", decimals)
+
+
+def _percent(measure: str, decimals: int) -> str:
+    return _ratio(f"{measure} * 100", "orders", decimals)
 
 
-def _ticket(decimals: int):
-    # Cents over a hundred times the orders: one division, so the quotient is correctly rounded once.
-    return F.round(ratio(F.col("paid_cents"), F.col("orders") * 100), decimals)
+_SATISFACTION = ("score_sum", "score_count")
 
 
 def gold_state(totals: DataFrame) -> DataFrame:
     """One row per state with the thirteen gold columns. Means are over orders; ``satisfacao_media`` is over orders
     with a review and null where there are none."""
-    return totals.select(
-        F.col("state").alias("customer_state"),
-        F.col("region").alias("regiao"),
-        F.round("gdp", 1).alias("pib_per_capita"),
-        F.col("income_class").alias("classe_economica"),
-        F.col("orders").alias("total_pedidos"),
-        _ticket(2).alias("ticket_medio"),
-        _mean("items", 2).alias("media_itens"),
-        _mean("instalments", 2).alias("media_parcelas"),
-        _mean("instalment_orders", 1, 100).alias("pct_parcelados"),
-        F.round(ratio(F.col("score_sum"), F.col("score_count")), 2).alias("satisfacao_media"),
-        _mean("late_orders", 1, 100).alias("pct_atrasados"),
-        _mean("delay_days", 1).alias("media_dias_atraso"),
-    ).withColumn("ticket_por_pib", F.round(ratio(F.col("ticket_medio") * 1000, F.col("pib_per_capita")), 2))
+    return totals.selectExpr(
+        "state AS customer_state",
+        "region AS regiao",
+        "round(gdp, 1) AS pib_per_capita",
+        "income_class AS classe_economica",
+        "orders AS total_pedidos",
+        f"{_ticket(2)} AS ticket_medio",
+        f"{_ratio('items', 'orders', 2)} AS media_itens",
+        f"{_ratio('instalments', 'orders', 2)} AS media_parcelas",
+        f"{_percent('instalment_orders', 1)} AS pct_parcelados",
+        f"{_ratio(*_SATISFACTION, 2)} AS satisfacao_media",
+        f"{_percent('late_orders', 1)} AS pct_atrasados",
+        f"{_ratio('delay_days', 'orders', 1)} AS media_dias_atraso",
+    ).withColumn("ticket_por_pib", F.expr(_ratio("ticket_medio * 1000", "pib_per_capita", 2)))
 
 
 def gold_class(totals: DataFrame) -> DataFrame:
     """Instalment behaviour by income class, weighted by orders."""
-    return roll_up(totals, "income_class").select(
+    return roll_up(totals, "income_class").selectExpr(
         "income_class",
         "orders",
-        _mean("instalments", 4).alias("avg_instalments"),
-        _mean("instalment_orders", 4, 100).alias("pct_instalments"),
-        _ticket(4).alias("avg_ticket"),
+        f"{_ratio('instalments', 'orders', 4)} AS avg_instalments",
+        f"{_percent('instalment_orders', 4)} AS pct_instalments",
+        f"{_ticket(4)} AS avg_ticket",
     )
 
 
 def gold_kpis(totals: DataFrame) -> DataFrame:
     """One row over all orders, weighted by orders."""
-    return roll_up(totals).select(
-        F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders"),
-        _ticket(4).alias("avg_ticket"),
-        _mean("late_orders", 4, 100).alias("pct_late"),
-        F.round(ratio(F.col("score_sum"), F.col("score_count")), 4).alias("satisfaction"),
+    return roll_up(totals).selectExpr(
+        "coalesce(orders, 0L) AS orders",
+        f"{_ticket(4)} AS avg_ticket",
+        f"{_percent('late_orders', 4)} AS pct_late",
+        f"{_ratio(*_SATISFACTION, 4)} AS satisfaction",
     )

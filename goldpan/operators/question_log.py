@@ -20,22 +20,26 @@ from goldpan.functions.measures import cost_micros
 
 
 def with_screening(questions: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add words, reason, blocked and message. The first failed test gives the reason: sensitive word, DDL word,
-    fewer than two words. Null text is too short."""
+    """Add reason, blocked and message. The first failed test gives the reason: sensitive word, DDL word, fewer than
+    two words. Null text is too short. The whole text is searched.
+
+    The lower-case text is bound as a lambda variable, so it is computed once even where the planner pushes a filter
+    on the reason below this projection and would repeat the expression for every word.
+    """
     text = F.col(text_col)
-    reason = (
-        F.when(tx.mentions_word(text, cat.SENSITIVE_WORDS), "sensitive")
-        .when(tx.mentions_word(text, cat.DDL_WORDS), "ddl")
-        .when(F.col("words") < 2, "too_short")
-    )
+
+    def first_failure(lowered: Column) -> Column:
+        return (
+            F.when(tx.mentions_word(lowered, cat.SENSITIVE_WORDS), "sensitive")
+            .when(tx.mentions_word(lowered, cat.DDL_WORDS), "ddl")
+            .when(~tx.has_two_words(text), "too_short")
+        )
+
     message = F.when(F.col("reason") == "too_short", cat.TOO_SHORT_MESSAGE).when(
         F.col("reason").isNotNull(), cat.BLOCKED_MESSAGE
     )
-    return (
-        questions.withColumn("words", tx.word_count(text))
-        .withColumn("reason", reason)
-        .withColumn("blocked", F.col("reason").isNotNull())
-        .withColumn("message", message)
+    return questions.withColumn("reason", F.transform(F.array(F.lower(text)), first_failure)[0]).withColumns(
+        {"blocked": F.col("reason").isNotNull(), "message": message}
     )
 
 

@@ -15,6 +15,28 @@ from goldpan.functions.measures import cents, from_cents
 from goldpan.operators.skew import join_spreading_hot_keys
 
 
+ENRICHED_COLUMNS = (
+    "order_id",
+    "customer_id",
+    "ordered",
+    "delivered",
+    "promised",
+    "delay_days",
+    "is_late",
+    "n_items",
+    "items_value",
+    "paid",
+    "instalments",
+    "in_instalments",
+    "score_sum",
+    "score_count",
+    "state",
+    "region",
+    "gdp",
+    "income_class",
+)
+
+
 def _item_measures() -> list[Column]:
     return [F.count(F.lit(1)).alias("n_items"), F.sum(cents(F.col("value"))).alias("items_cents")]
 
@@ -63,7 +85,7 @@ def review_scores(reviews: DataFrame, key: str) -> DataFrame:
 def with_delay(orders: DataFrame) -> DataFrame:
     """Add delay_days (negative: early) and is_late to orders that have delivered and promised dates."""
     delay = F.datediff("delivered", "promised")
-    return orders.withColumn("delay_days", delay).withColumn("is_late", delay > 0)
+    return orders.withColumns({"delay_days": delay, "is_late": delay > 0})
 
 
 def order_facts(orders: DataFrame, *per_order: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
@@ -96,23 +118,9 @@ def enrich(facts: DataFrame, profiles: DataFrame, orders: DataFrame) -> DataFram
     spread over many tasks.
     """
     joined = join_spreading_hot_keys(facts, profiles, "customer_id", "order_id", orders.select("customer_id"))
-    return joined.select(
-        "order_id",
-        "customer_id",
-        "ordered",
-        "delivered",
-        "promised",
-        "delay_days",
-        "is_late",
-        "n_items",
-        from_cents(F.col("items_cents")).alias("items_value"),
-        from_cents(F.col("paid_cents")).alias("paid"),
-        "instalments",
-        (F.col("instalments") > 1).alias("in_instalments"),
-        "score_sum",
-        "score_count",
-        "state",
-        "region",
-        "gdp",
-        "income_class",
-    )
+    computed = {
+        "items_value": from_cents(F.col("items_cents")),
+        "paid": from_cents(F.col("paid_cents")),
+        "in_instalments": F.col("instalments") > 1,
+    }
+    return joined.select(*[computed[c].alias(c) if c in computed else c for c in ENRICHED_COLUMNS])

@@ -5,41 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most MAX_HOT_KEYS keys can each hold MIN_SHARE of the rows, so the list of hot keys is bounded by
-# construction whatever the size of the data.
-MIN_SHARE = 0.01
-MAX_HOT_KEYS = 100
-SKETCH_ITEMS = 1024
+# The sketch sees keys that hold more than about a thousandth of the rows; adaptive skew splitting evens out the
+# rest. It returns at most MAX_HOT_KEYS keys, so the list is bounded by construction whatever the size of the data.
+MAX_HOT_KEYS = 1000
+SKETCH_ITEMS = 4096
+ROWS_PER_PART = 2_000_000
 
 
-def hot_keys(frame: DataFrame, key: str, min_share: float = MIN_SHARE) -> DataFrame:
-    """(key) of the values that hold about ``min_share`` of the rows or more; at most ``MAX_HOT_KEYS`` rows.
+def hot_keys(frame: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """(key, _parts) of the values with more than ``rows_per_part`` rows and the number of parts that brings each
+    down to about that size; at most ``MAX_HOT_KEYS`` rows.
 
     One pass with a mergeable frequency sketch: each task sends one sketch, no key is shuffled.
     """
-    sketch = frame.agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"), F.count(key).alias("n")
-    )
+    top = frame.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
     return (
-        sketch.select("n", F.inline("top"))
-        .filter((F.col("count") >= F.col("n") * min_share) & F.col("item").isNotNull())
-        .select(F.col("item").alias(key))
+        top.select(F.inline("top"))
+        .filter((F.col("count") > rows_per_part) & F.col("item").isNotNull())
+        .select(F.col("item").alias(key), F.ceil(F.col("count") / rows_per_part).cast("int").alias("_parts"))
     )
 
 
 def join_spreading_hot_keys(
-    facts: DataFrame, dimension: DataFrame, key: str, spread_by: str, keys_seen: DataFrame, salts: int = 64
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    spread_by: str,
+    keys_seen: DataFrame,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Inner join of ``facts`` with ``dimension``, which is unique on ``key``.
 
-    Fact rows of a hot key are spread over ``salts`` sub-keys by a hash of ``spread_by``, and the dimension row of
-    that key is repeated once per sub-key; other rows keep sub-key 0. The join is exact whichever keys are called
-    hot, so the sketch only affects balance. ``keys_seen`` is a narrow scan with the keys of ``facts``.
+    Fact rows of a hot key are spread over its parts by a hash of ``spread_by``, and the dimension row of that key is
+    repeated once per part; other rows keep part 0. The join is exact whichever keys are called hot, so the sketch
+    only affects balance. ``keys_seen`` is a narrow scan with the keys of ``facts``.
     """
     # A hint is safe here: hot_keys returns at most MAX_HOT_KEYS rows.
-    hot = F.broadcast(hot_keys(keys_seen, key).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    left = facts.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = dimension.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    hot = F.broadcast(hot_keys(keys_seen, key, rows_per_part))
+    parts = F.coalesce("_parts", F.lit(1))
+    part = F.pmod(F.xxhash64(spread_by), parts).cast("int")
+    left = facts.join(hot, key, "left").withColumn("_part", part).drop("_parts")
+    copies = F.sequence(F.lit(0), parts - 1)
+    right = dimension.join(hot, key, "left").withColumn("_part", F.explode(copies)).drop("_parts")
+    return left.join(right, [key, "_part"]).drop("_part")

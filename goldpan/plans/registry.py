@@ -16,7 +16,6 @@ from goldpan.sources.snapshot import gold_or_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BRONZE_TABLES = ("customer", "events", "lineitem", "nation", "orders", "region")
 PROVIDERS = {"groq": True, "anthropic": True, "openai": True, "gemini": False}
 ADHOC_SQL = """
 SELECT regiao, count(*) AS states, sum(total_pedidos) AS orders, max(ticket_medio) AS best_ticket
@@ -58,7 +57,7 @@ def bronze_counts(spark: SparkSession, folder: str) -> DataFrame:
     """(table, rows): size of every bronze table, read from file footers."""
     counts = [
         star.table(spark, folder, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-        for name in BRONZE_TABLES
+        for name in star.ORDER_TABLES
     ]
     return reduce(DataFrame.unionByName, counts)
 

@@ -10,6 +10,8 @@ event values stand in for review scores and model runs; conversation turns stand
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +40,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every stored table the pipeline reads."""
-    return {name: table(spark, folder, name) for name in SCHEMAS}
+ORDER_TABLES = ("customer", "events", "lineitem", "nation", "orders", "region")
+
+
+def bronze(spark: SparkSession, folder: str, names: Sequence[str] = ORDER_TABLES) -> dict[str, DataFrame]:
+    """Stored tables by name; by default those of the order pipeline."""
+    return {name: table(spark, folder, name) for name in names}
 
 
 def delivered_orders(orders: DataFrame) -> DataFrame:
