@@ -1,7 +1,7 @@
 """Fixed lookup values: models, prices, routes, questions, words, classes, GDP.
 
-Everything here is a small constant. Tables built from it are code-sized, so Spark's own size estimate
-always lets it broadcast them; no hint is given.
+Everything here is a small constant, so the price and override tables, at most one row per model, are marked for
+broadcast. Tables read from storage never are: Spark decides on their size.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 GOLD_TABLE = "gold_state"
@@ -143,8 +144,8 @@ STATE_GDP = [
 
 
 def lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A constant table. It goes in as Arrow, so it becomes a local relation of known size that the planner can
-    broadcast, instead of a Python-backed scan of unknown size."""
+    """A constant table. It goes in as Arrow, so it becomes a local relation of known size, instead of a Python-backed
+    scan of unknown size."""
     target = StructType.fromDDL(schema)
     table = pa.Table.from_arrays([pa.array(column) for column in zip(*rows)], names=target.fieldNames())
     return spark.createDataFrame(table, target)
@@ -153,13 +154,13 @@ def lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 def price_table(spark: SparkSession) -> DataFrame:
     """(llm, price_in, price_out): USD per million tokens, one row per known model."""
     rows = [(model, Decimal(price_in), Decimal(price_out)) for _, model, _, price_in, price_out in MODELS]
-    return lookup(spark, rows, "llm string, price_in decimal(6,2), price_out decimal(6,2)")
+    return F.broadcast(lookup(spark, rows, "llm string, price_in decimal(6,2), price_out decimal(6,2)"))
 
 
 def override_table(spark: SparkSession, providers: dict[str, bool]) -> DataFrame | None:
     """(override, override_llm): the models a user may pick given the providers with a key; None if there are none."""
     rows = [(name, model) for name, model, provider, _, _ in MODELS if providers.get(provider)]
-    return lookup(spark, rows, "override string, override_llm string") if rows else None
+    return F.broadcast(lookup(spark, rows, "override string, override_llm string")) if rows else None
 
 
 def bench_models(providers: dict[str, bool] | None = None) -> list[str]:

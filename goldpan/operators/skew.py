@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # rest. It returns at most MAX_HOT_KEYS keys, so the list is bounded by construction whatever the size of the data.
 MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 4096
-ROWS_PER_PART = 2_000_000
+ROWS_PER_PART = 200_000
 
 
 def hot_keys(frame: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ def _usable(spark: SparkSession, table: str) -> DataFrame | None:
         live = spark.table(table)
         # One row is read at most; gold has one row per state.
         return None if live.isEmpty() else live
-    except PySparkException:
+    except (PySparkException, Py4JError):
         return None
 
 
