@@ -68,6 +68,7 @@ SENSITIVE_WORDS = ["cpf", "cnpj", "senha", "password", "token", "secret"]
 DDL_WORDS = ["drop", "delete", "truncate", "insert", "update", "alter"]
 BLOCKED_MESSAGE = "Bloqueado: termo sensivel ou DDL."
 TOO_SHORT_MESSAGE = "Pergunta muito curta."
+FREE_LABEL = "Gratuito"
 NO_ROWS_MESSAGE = "Nenhum dado encontrado."
 NO_MODEL_MESSAGE = "Nenhum modelo disponível: configure a chave de um provedor."
 

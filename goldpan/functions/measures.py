@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from goldpan.catalog import FREE_LABEL
+
 
 def cents(amount: Column) -> Column:
     """Money as whole cents. Integer sums are exact, stay in codegen and do not depend on row order."""
@@ -37,3 +39,8 @@ def cost_micros(tokens_in: Column, tokens_out: Column, price_in: Column, price_o
 
     spent = tokens_in * hundredths(price_in) + tokens_out * hundredths(price_out)
     return F.floor((spent + F.lit(50)) / F.lit(100)).cast("bigint")
+
+
+def cost_label(micros: Column) -> Column:
+    """Cost in dollars to six decimals as text; runs that cost nothing are labelled free."""
+    return F.when(micros > 0, F.format_string("$%.6f", micros / 1e6)).otherwise(FREE_LABEL)

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from goldpan import catalog as cat
 from goldpan.functions import text as tx
 from goldpan.functions.bands import complexity as complexity_of
-from goldpan.functions.measures import cost_micros
+from goldpan.functions.measures import cost_label, cost_micros
 
 
+# Outcomes of runs that called a model and ran its SQL.
+RAN = ("answered", "interpretation_failed", "no_rows")
+
 # Screening and routing
 
 
@@ -136,24 +139,24 @@ def with_status(runs: DataFrame) -> DataFrame:
     return runs.withColumn("status", status)
 
 
-def answer_status(runs: DataFrame, id_col: str = "run_id") -> DataFrame:
-    """(id, status, message): what the user sees. Blocked and error texts are cut to 200 characters, the SQL error
-    after an empty result to 60."""
+def _message() -> Column:
+    """What the user sees. Blocked and error texts are cut to 200 characters, the SQL error after an empty result to
+    60."""
     status = F.col("status")
-    has_sql_error = F.length("sql_error") > 0
-    no_rows = F.concat(
-        F.lit(cat.NO_ROWS_MESSAGE),
-        F.when(has_sql_error, F.concat(F.lit(" Erro: "), tx.prefix(F.col("sql_error"), 60))).otherwise(""),
-    )
-    message = (
+    sql_error = F.when(F.length("sql_error") > 0, F.concat(F.lit(" Erro: "), tx.prefix(F.col("sql_error"), 60)))
+    return (
         F.when(status == "blocked", tx.prefix(F.col("blocked_message"), 200))
         .when(status == "no_model", cat.NO_MODEL_MESSAGE)
         .when(status == "error", tx.prefix(F.concat(F.lit("Erro LLM: "), F.col("generation_error")), 200))
-        .when(status == "no_rows", no_rows)
+        .when(status == "no_rows", F.concat(F.lit(cat.NO_ROWS_MESSAGE), F.coalesce(sql_error, F.lit(""))))
         .when(status == "interpretation_failed", F.col("first_row"))
         .otherwise(tx.strip(F.col("answer")))
     )
-    return with_status(runs).select(F.col(id_col).alias("id"), "status", message.alias("message"))
+
+
+def answer_status(runs: DataFrame, id_col: str = "run_id") -> DataFrame:
+    """(id, status, message) per run."""
+    return with_status(runs).select(F.col(id_col).alias("id"), "status", _message().alias("message"))
 
 
 def with_cost(runs: DataFrame, prices: DataFrame) -> DataFrame:
@@ -162,7 +165,7 @@ def with_cost(runs: DataFrame, prices: DataFrame) -> DataFrame:
     Runs that never reached a model (blocked, no model, failed generation) are charged nothing.
     """
     status = F.col("status")
-    ran = status.isin("answered", "interpretation_failed", "no_rows")
+    ran = status.isin(*RAN)
     extra = (
         F.when(status == "answered", F.coalesce("tokens_out_2", F.lit(cat.EXTRA_ANSWERED)))
         .when(status == "interpretation_failed", cat.EXTRA_INTERPRETATION_FAILED)
@@ -189,13 +192,42 @@ def run_cost(runs: DataFrame, prices: DataFrame) -> DataFrame:
     return priced.select("run_id", "tokens_in", "tokens_out", (F.col("cost_micros") / 1e6).alias("cost_usd"))
 
 
+def answer_records(runs: DataFrame, prices: DataFrame, results: DataFrame, n: int = 5) -> DataFrame:
+    """The full record of each run, one shape for every outcome; fields an outcome does not have are null.
+
+    ``resultado`` holds the first ``n`` result rows as JSON. Results are cut to ``n`` rows per run before they are
+    joined, so both sides of the join have one row per run.
+    """
+    status, reached = F.col("status"), F.col("status").isin(*RAN)
+    asked = status != "blocked"
+    preview = grounding(results, n).select(F.col("id").alias("run_id"), "rows_json")
+    outcome = with_cost(runs, prices).withColumn("message", _message())
+    record = {
+        "guardrail": status == "blocked",
+        "pergunta": F.col("question"),
+        "resposta": F.when(status != "error", F.col("message")),
+        "erro": F.when(status == "error", F.col("message")),
+        "sql_gerado": F.when(reached, tx.strip_fences(F.col("generated"))),
+        "sql_attempts": F.when(reached, F.col("attempts")),
+        "llm": F.when(asked, F.col("llm")),
+        "complexity": F.when(asked, complexity_of(tx.word_count(F.col("question")))),
+        "tokens_input": F.when(reached, F.col("tokens_in")),
+        "tokens_output": F.when(reached, F.col("tokens_out")),
+        "custo_usd": F.when(reached, F.col("cost_micros") / 1e6),
+        "custo_rotulo": F.when(reached, cost_label(F.col("cost_micros"))),
+        "latencia_ms": F.when(asked, F.col("latency_ms")),
+        "resultado": F.when(reached & (status != "no_rows"), F.col("rows_json")),
+    }
+    return outcome.join(preview, "run_id", "left").select("run_id", *[c.alias(n) for n, c in record.items()])
+
+
 def log_rows(runs: DataFrame, prices: DataFrame, gold_table: str = cat.GOLD_TABLE) -> DataFrame:
     """One log row per run that reached an outcome with a model: parameters, metrics, tag and the date partition.
 
     Complexity comes from the question text. The run name is the model and the start in whole epoch seconds.
     """
     epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("started"))
-    logged = with_cost(runs, prices).filter(F.col("status").isin("answered", "interpretation_failed", "no_rows"))
+    logged = with_cost(runs, prices).filter(F.col("status").isin(*RAN))
     return logged.select(
         F.concat_ws("_", "llm", epoch.cast("string")).alias("run_name"),
         "llm",
@@ -213,7 +245,7 @@ def log_rows(runs: DataFrame, prices: DataFrame, gold_table: str = cat.GOLD_TABL
 # Chat history
 
 
-def newest_first(chat: DataFrame, width: int = 10_000) -> DataFrame:
+def newest_first(chat: DataFrame, width: int = 100_000) -> DataFrame:
     """(conv_id, position, turn, role, text): position 1 is the newest message of its conversation.
 
     A conversation may hold a large share of all messages, so it is ranked in stretches of ``width`` turns. Turns do

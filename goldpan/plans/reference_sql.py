@@ -121,6 +121,40 @@ costed AS (
 """
 
 
+_MESSAGE = f"""
+CASE status WHEN 'blocked' THEN {_quoted(cat.BLOCKED_MESSAGE)}
+  WHEN 'error' THEN substr('Erro LLM: run failed with ' || props, 1, 200)
+  WHEN 'no_rows' THEN {_quoted(cat.NO_ROWS_MESSAGE)}
+    || CASE WHEN user_id % 2 = 0 THEN ' Erro: ' || substr(props, 1, 60) ELSE '' END
+  WHEN 'interpretation_failed' THEN props ELSE 'resposta ' || props END
+"""
+
+_PREVIEW = """
+preview AS (
+  SELECT id, CAST(to_json(list({'position': position, 'part': part, 'quantity': quantity}
+                               ORDER BY position, part, quantity)) AS VARCHAR) AS rows_json
+  FROM (SELECT l_orderkey AS id, l_linenumber AS position, l_partkey AS part, CAST(l_quantity AS INTEGER) AS quantity,
+               row_number() OVER (PARTITION BY l_orderkey
+                                  ORDER BY l_linenumber, l_partkey, CAST(l_quantity AS INTEGER)) AS n
+        FROM lineitem)
+  WHERE n <= 5 GROUP BY id)
+"""
+
+_RECORDS = f"""
+SELECT run_id, status = 'blocked' AS guardrail, question AS pergunta,
+       CASE WHEN status <> 'error' THEN {_MESSAGE} END AS resposta, CASE WHEN status = 'error' THEN {_MESSAGE} END AS erro,
+       CASE WHEN ran THEN 'SELECT ' || chr(39) || props || chr(39) END AS sql_gerado,
+       CASE WHEN ran THEN CASE WHEN status = 'no_rows' THEN 2 ELSE 1 END END AS sql_attempts,
+       CASE WHEN status <> 'blocked' THEN llm END AS llm, CASE WHEN status <> 'blocked' THEN 'simple' END AS complexity,
+       CASE WHEN ran THEN tokens_in END AS tokens_input, CASE WHEN ran THEN tokens_out END AS tokens_output,
+       CASE WHEN ran THEN micros / 1e6 END AS custo_usd,
+       CASE WHEN ran THEN CASE WHEN micros > 0 THEN printf('$%.6f', micros / 1e6) ELSE 'Gratuito' END END AS custo_rotulo,
+       CASE WHEN status <> 'blocked' THEN latency_ms END AS latencia_ms,
+       CASE WHEN ran AND status <> 'no_rows' THEN rows_json END AS resultado
+FROM costed LEFT JOIN preview ON id = run_id
+"""
+
+
 def _mean(column: str) -> str:
     return _round(f"avg({column})", 6)
 
@@ -322,14 +356,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT order_id, CAST(paid AS DECIMAL(20,2)) AS paid, instalments, instalments > 1 AS in_instalments "
             "FROM lines ORDER BY paid DESC, order_id LIMIT 20"
         ),
-        "answer_status": (
-            f"WITH {_RUNS} SELECT run_id AS id, status, CASE status WHEN 'blocked' THEN {_quoted(cat.BLOCKED_MESSAGE)} "
-            "WHEN 'error' THEN substr('Erro LLM: run failed with ' || props, 1, 200) "
-            f"WHEN 'no_rows' THEN {_quoted(cat.NO_ROWS_MESSAGE)} || "
-            "CASE WHEN user_id % 2 = 0 THEN ' Erro: ' || substr(props, 1, 60) ELSE '' END "
-            "WHEN 'interpretation_failed' THEN props ELSE 'resposta ' || props END AS message FROM costed"
-        ),
+        "answer_status": f"WITH {_RUNS} SELECT run_id AS id, status, {_MESSAGE} AS message FROM costed",
         "run_cost": f"WITH {_RUNS} SELECT run_id, tokens_in, tokens_out, micros / 1e6 AS cost_usd FROM costed",
+        "answer_records": f"WITH {_RUNS}, {_PREVIEW} {_RECORDS}",
         "run_log": (
             f"WITH {_RUNS} SELECT llm || '_' || CAST(epoch_us(started) // 1000000 AS VARCHAR) AS run_name, llm, "
             "'simple' AS complexity, CASE WHEN status = 'no_rows' THEN 2 ELSE 1 END AS attempts, tokens_in, tokens_out, "

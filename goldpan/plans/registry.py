@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldpan import catalog as cat
-from goldpan.operators import adhoc, benchmark, dashboard, gold, quality, question_log, questions, silver
+from goldpan.operators import adhoc, benchmark, dashboard, gold, quality, question_log, silver
+from goldpan.plans import reports
 from goldpan.plans.medallion import STAR_CHECKS, OrderModel, from_star_tables
 from goldpan.sources import star_tables as star
 from goldpan.sources.snapshot import gold_or_snapshot
@@ -98,6 +99,11 @@ def _adhoc(spark: SparkSession, folder: str) -> DataFrame:
     return adhoc.run_select(spark, ADHOC_SQL, adhoc.AGENT_ROWS)
 
 
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    results = star.run_rows(star.table(spark, folder, "lineitem"))
+    return question_log.answer_records(_runs(spark, folder), cat.price_table(spark), results, adhoc.PREVIEW_ROWS)
+
+
 def _bounded(spark: SparkSession, folder: str) -> DataFrame:
     return adhoc.bounded(silver.payments_per_order(_lines(spark, folder)), adhoc.AGENT_ROWS, F.desc("paid"), "order_id")
 
@@ -118,18 +124,7 @@ def queries() -> dict[str, Query]:
         "gold_kpis": _totals(gold.gold_kpis),
         "gold_scan": _gold_scan,
         "gold_with_fallback": _gold_with_fallback,
-        "gold_display": _gold(dashboard.display),
-        "dashboard_kpis": _gold(dashboard.dashboard_kpis),
-        "top_states": _gold(dashboard.top_states),
-        "scatter": _gold(dashboard.scatter),
-        "class_profile": _gold(dashboard.class_profile),
-        "region_late": _gold(dashboard.region_late),
-        "q_region_late": _gold(questions.region_with_highest_late_rate),
-        "q_class_installments": _gold(questions.instalments_by_class),
-        "q_gdp_satisfaction": _gold(questions.gdp_and_satisfaction),
-        "q_top_delivery": _gold(questions.top_delivery_states),
-        "q_ticket_by_class": _gold(questions.ticket_by_class),
-        "q_top_ticket": _gold(questions.state_with_highest_ticket),
+        **{name: _gold(job) for name, job in {**reports.DASHBOARD, **reports.ANSWERS}.items()},
         "dq_report": lambda s, d: quality.run_checks(star.bronze(s, d), STAR_CHECKS),
         "guardrail": _guardrail,
         "complexity": lambda s, d: question_log.complexity(_questions(s, d)),
@@ -141,6 +136,7 @@ def queries() -> dict[str, Query]:
         "bounded_result": _bounded,
         "answer_status": lambda s, d: question_log.answer_status(_runs(s, d)),
         "run_cost": lambda s, d: question_log.run_cost(_runs(s, d), price(s)),
+        "answer_records": _records,
         "run_log": lambda s, d: question_log.log_rows(_runs(s, d), price(s)),
         "chat_latest": lambda s, d: question_log.newest_first(star.table(s, d, "conversations")),
         "benchmark_grid": lambda s, d: benchmark.grid(cat.BENCH_QUESTIONS, cat.bench_models(), _runs(s, d)),

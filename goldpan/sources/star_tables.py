@@ -109,8 +109,8 @@ def _pick(values: list[str], position: Column) -> Column:
 def model_runs(events: DataFrame) -> DataFrame:
     """Model runs as fixtures describe them, one per event; a zero token count means the run reported none.
 
-    Columns: run_id, started, question, llm, ok, blocked_message, generation_error, row_count, answer, first_row,
-    sql_error, attempts, tokens_in, tokens_out, tokens_out_2, latency_ms.
+    Columns: run_id, started, question, llm, ok, blocked_message, generation_error, generated, row_count, answer,
+    first_row, sql_error, attempts, tokens_in, tokens_out, tokens_out_2, latency_ms.
     """
     kind = F.col("event_type")
     reported = F.get_json_object("props", "$.k").cast("bigint")
@@ -123,6 +123,7 @@ def model_runs(events: DataFrame) -> DataFrame:
         (kind != "error").alias("ok"),
         F.when(kind == "signup", BLOCKED_MESSAGE).alias("blocked_message"),
         F.when(kind == "error", F.concat(F.lit("run failed with "), F.col("props"))).alias("generation_error"),
+        F.concat(F.lit("```sql\nSELECT '"), F.col("props"), F.lit("'\n```")).alias("generated"),
         F.when(kind == "view", 0).otherwise(F.col("user_id") % 4 + 1).cast("bigint").alias("row_count"),
         F.when(kind != "click", F.concat(F.lit(" resposta "), F.col("props"), F.lit("\n"))).alias("answer"),
         F.col("props").alias("first_row"),
@@ -143,3 +144,13 @@ def query_results(events: DataFrame) -> DataFrame:
         "event_type",
         F.floor(F.col("value") * 100 + 0.5).alias("cents"),
     )
+
+
+def run_rows(lineitem: DataFrame) -> DataFrame:
+    """(id, position, part, quantity): result rows of runs, here the lines of the order with the run's number."""
+    return lineitem.select(
+        F.col("l_orderkey").alias("id"),
+        F.col("l_linenumber").alias("position"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+    )

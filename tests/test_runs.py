@@ -16,7 +16,7 @@ from goldpan.streaming.run_log_stream import append_runs, read_runs
 
 SCHEMA = (
     "run_id bigint, started timestamp_ntz, question string, llm string, ok boolean, blocked_message string, "
-    "generation_error string, row_count bigint, answer string, first_row string, sql_error string, attempts int, "
+    "generation_error string, generated string, row_count bigint, answer string, first_row string, sql_error string, attempts int, "
     "tokens_in bigint, tokens_out bigint, tokens_out_2 bigint, latency_ms bigint"
 )
 START = dt.datetime(2024, 3, 1, 12, 0, 0, 500000)
@@ -25,7 +25,7 @@ START = dt.datetime(2024, 3, 1, 12, 0, 0, 500000)
 def run(run_id, **changes):
     row = {
         "run_id": run_id, "started": START, "question": "Qual região?", "llm": "gpt-4o", "ok": True,
-        "blocked_message": None, "generation_error": None, "row_count": 3, "answer": " SP lidera\n",
+        "blocked_message": None, "generation_error": None, "generated": "```sql\nSELECT 1\n```", "row_count": 3, "answer": " SP lidera\n",
         "first_row": "{'a': 1}", "sql_error": "", "attempts": 1, "tokens_in": None, "tokens_out": None,
         "tokens_out_2": None, "latency_ms": 900,
     }
@@ -69,6 +69,22 @@ def test_outcomes(runs):
     }
 
 
+def test_records_have_one_shape(spark, runs):
+    rows = [(0, p, p * p) for p in range(9)] + [(7, 1, 1)]
+    results = spark.createDataFrame(rows, "id bigint, position int, v int")
+    found = by_id(ql.answer_records(runs, cat.price_table(spark), results, 2), "run_id")
+    assert found.keys() == set(range(9))
+    assert found[0].resultado == '[{"position":0,"v":0},{"position":1,"v":1}]'
+    assert (found[0].sql_gerado, found[0].custo_usd, found[0].guardrail, found[0].erro) == ("SELECT 1", 0.00255, False, None)
+    assert (found[4].guardrail, found[4].resposta, found[4].llm, found[4].sql_gerado) == (
+        True, cat.TOO_SHORT_MESSAGE, None, None,
+    )
+    assert (found[5].llm, found[5].resposta, found[5].tokens_input) == (None, cat.NO_MODEL_MESSAGE, None)
+    assert found[6].erro == ("Erro LLM: " + "x" * 300)[:200] and found[6].resposta is None
+    assert (found[0].custo_rotulo, found[7].custo_rotulo, found[4].custo_rotulo) == ("$0.002550", "Gratuito", None)
+    assert found[2].resultado is None and found[8].resultado is None
+
+
 def test_token_defaults_and_cost(spark, runs):
     found = {
         k: (r.tokens_in, r.tokens_out, r.cost_usd)
