@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,11 +49,41 @@ LAYER_CHECKS = [
 
 @dataclass(frozen=True)
 class OrderModel:
-    """The logical order model: delivered orders, their facts, and their customers' profiles."""
+    """The logical order model over raw tables.
+
+    ``per_order`` holds the raw fact tables reduced to one row per order, by name; together they have the item,
+    payment and (if orders lack it) delivery columns. ``reviews`` holds review sums per order or per customer.
+    """
 
     orders: DataFrame
-    facts: DataFrame
-    profiles: DataFrame
+    per_order: dict[str, DataFrame]
+    reviews: DataFrame
+    customers: DataFrame
+    states: DataFrame
+
+    @property
+    def reviews_per_order(self) -> bool:
+        return "order_id" in self.reviews.columns
+
+    @property
+    def facts(self) -> DataFrame:
+        reviews = self.reviews if self.reviews_per_order else None
+        return silver.order_facts(self.orders, *self.per_order.values(), reviews=reviews)
+
+    @property
+    def profiles(self) -> DataFrame:
+        reviews = None if self.reviews_per_order else self.reviews
+        return silver.customer_profiles(self.customers, self.states, reviews)
+
+    def facts_with(self, column: str) -> DataFrame:
+        """The per-order table that has ``column``."""
+        return next(frame for frame in self.per_order.values() if column in frame.columns)
+
+    def items(self) -> DataFrame:
+        return silver.items_per_order(self.facts_with("n_items"))
+
+    def payments(self) -> DataFrame:
+        return silver.payments_per_order(self.facts_with("paid_cents"))
 
     def enriched(self) -> DataFrame:
         return silver.enrich(self.facts, self.profiles, self.orders)
@@ -64,43 +94,57 @@ class OrderModel:
     def gold_state(self) -> DataFrame:
         return gold.gold_state(self.state_totals())
 
+    def stored(self, folder: str) -> OrderModel:
+        """The same model with every per-order and review table written once and read back."""
+        per_order = {name: write_layer(frame, f"{folder}/{name}") for name, frame in self.per_order.items()}
+        return replace(self, per_order=per_order, reviews=write_layer(self.reviews, f"{folder}/silver_reviews"))
+
 
 def from_star_tables(tables: dict[str, DataFrame]) -> OrderModel:
     """Order model of the star-schema tables. Line items are scanned and shuffled once for items, payments and
     delivery date together."""
-    orders = star_tables.delivered_orders(tables["orders"])
-    facts = silver.order_facts(orders, silver.line_facts(star_tables.order_lines(tables["lineitem"])))
-    profiles = silver.customer_profiles(
-        star_tables.customers(tables["customer"]),
-        star_tables.states(tables["nation"], tables["region"]),
-        silver.review_scores(star_tables.reviews(tables["events"]), "customer_id"),
+    return OrderModel(
+        orders=star_tables.delivered_orders(tables["orders"]),
+        per_order={"line_facts": silver.line_facts(star_tables.order_lines(tables["lineitem"]))},
+        reviews=silver.review_scores(star_tables.reviews(tables["events"]), "customer_id"),
+        customers=star_tables.customers(tables["customer"]),
+        states=star_tables.states(tables["nation"], tables["region"]),
     )
-    return OrderModel(orders, facts, profiles)
 
 
 def from_store_csv(spark: SparkSession, tables: dict[str, DataFrame]) -> OrderModel:
     """Order model of the public seven-table dataset, where reviews are kept per order."""
-    orders = store_csv.delivered_orders(tables["orders"])
-    facts = silver.order_facts(
-        orders,
-        silver.item_facts(store_csv.items(tables["order_items"])),
-        silver.payment_facts(store_csv.payments(tables["order_payments"])),
+    return OrderModel(
+        orders=store_csv.delivered_orders(tables["orders"]),
+        per_order={
+            "item_facts": silver.item_facts(store_csv.items(tables["order_items"])),
+            "payment_facts": silver.payment_facts(store_csv.payments(tables["order_payments"])),
+        },
         reviews=silver.review_scores(store_csv.reviews(tables["order_reviews"]), "order_id"),
+        customers=store_csv.customers(tables["customers"]),
+        states=store_csv.gdp_seed(spark),
     )
-    profiles = silver.customer_profiles(store_csv.customers(tables["customers"]), store_csv.gdp_seed(spark))
-    return OrderModel(orders, facts, profiles)
 
 
 def refresh(model: OrderModel, folder: str) -> dict[str, DataFrame]:
-    """Write silver once, then the three gold tables from it, then the test report; return the stored tables.
+    """Write the layers in order and return the tables: four silver tables, enriched silver, three gold tables, report.
 
-    Everything after silver reads stored files: the orders are joined once for all gold tables, and a lost executor
-    costs no more than re-reading. State totals are stored because all gold tables share them.
+    Each raw fact table is reduced and written once; silver items and payments are projections of those files. Orders
+    are joined once for all gold tables. Every step reads the stored files of the one before, so a lost executor costs
+    no more than re-reading.
     """
-    stored = {"silver_orders_enriched": write_layer(model.enriched(), f"{folder}/silver_orders_enriched")}
-    totals = write_layer(gold.state_totals(stored["silver_orders_enriched"]), f"{folder}/state_totals")
-    stored["gold_state"] = write_layer(gold.gold_state(totals), f"{folder}/gold_state")
-    stored["gold_class"] = write_layer(gold.gold_class(totals), f"{folder}/gold_class")
-    stored["gold_kpis"] = write_layer(gold.gold_kpis(totals), f"{folder}/gold_kpis")
-    stored["dq_report"] = write_layer(quality.run_checks(stored, LAYER_CHECKS), f"{folder}/dq_report")
-    return stored
+    base = model.stored(folder)
+    enriched = write_layer(base.enriched(), f"{folder}/silver_orders_enriched")
+    totals = write_layer(gold.state_totals(enriched), f"{folder}/state_totals")
+    tables = {
+        "silver_delivered": silver.delivered(enriched),
+        "silver_items": base.items(),
+        "silver_payments": base.payments(),
+        "silver_reviews": base.reviews,
+        "silver_orders_enriched": enriched,
+        "gold_state": write_layer(gold.gold_state(totals), f"{folder}/gold_state"),
+        "gold_class": write_layer(gold.gold_class(totals), f"{folder}/gold_class"),
+        "gold_kpis": write_layer(gold.gold_kpis(totals), f"{folder}/gold_kpis"),
+    }
+    tables["dq_report"] = write_layer(quality.run_checks(tables, LAYER_CHECKS), f"{folder}/dq_report")
+    return tables

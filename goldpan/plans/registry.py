@@ -30,10 +30,6 @@ def _model(spark: SparkSession, folder: str) -> OrderModel:
     return from_star_tables(star.bronze(spark, folder))
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.line_facts(star.order_lines(star.table(spark, folder, "lineitem")))
-
-
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     return star.table(spark, folder, "events")
 
@@ -105,7 +101,7 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bounded(spark: SparkSession, folder: str) -> DataFrame:
-    return adhoc.bounded(silver.payments_per_order(_lines(spark, folder)), adhoc.AGENT_ROWS, F.desc("paid"), "order_id")
+    return adhoc.bounded(_model(spark, folder).payments(), adhoc.AGENT_ROWS, F.desc("paid"), "order_id")
 
 
 def queries() -> dict[str, Query]:
@@ -115,9 +111,9 @@ def queries() -> dict[str, Query]:
         "bronze_counts": bronze_counts,
         "gdp_seed": gdp_seed,
         "silver_delivered": lambda s, d: silver.delivered(_model(s, d).facts),
-        "silver_items": lambda s, d: silver.items_per_order(_lines(s, d)),
-        "silver_payments": lambda s, d: silver.payments_per_order(_lines(s, d)),
-        "silver_reviews": lambda s, d: silver.review_scores(star.reviews(_events(s, d)), "customer_id"),
+        "silver_items": lambda s, d: _model(s, d).items(),
+        "silver_payments": lambda s, d: _model(s, d).payments(),
+        "silver_reviews": lambda s, d: _model(s, d).reviews,
         "silver_orders_enriched": _enriched,
         "gold_state": _totals(gold.gold_state),
         "gold_class": _totals(gold.gold_class),

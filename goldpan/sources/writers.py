@@ -11,6 +11,11 @@ def write_layer(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def write_bronze(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Store raw tables as Parquet, so text files are parsed once and later scans can prune columns."""
+    return {name: write_layer(frame, f"{folder}/{name}") for name, frame in tables.items()}
+
+
 def write_bucketed(frame: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
     """Save a bronze table bucketed on ``key``. Tables with the same buckets join and group on it without a shuffle."""
     frame.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +17,11 @@ def read_runs(spark: SparkSession, folder: str, schema: str, files_per_batch: in
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
+def _checkpoint_for(spark: SparkSession, path: str) -> str:
+    """A checkpoint folder of its own for every log, on the storage the cluster shares."""
+    return shared_dir(spark, "run_log_stream", sha256(path.encode()).hexdigest())
+
+
 def append_runs(runs: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
     """Append one log row per run to ``path``, by date, and stop when the waiting files are done.
 
@@ -26,7 +33,7 @@ def append_runs(runs: DataFrame, path: str, checkpoint: str | None = None) -> St
         log_rows(runs, price_table(spark))
         .writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", checkpoint or shared_dir(spark, "run_log_stream"))
+        .option("checkpointLocation", checkpoint or _checkpoint_for(spark, path))
         .partitionBy("dt")
         .outputMode("append")
         .trigger(availableNow=True)

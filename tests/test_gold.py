@@ -59,12 +59,13 @@ def model(spark, data):
     orders = spark.createDataFrame(rows, "order_id bigint, customer_id bigint, ordered date, promised date")
     line_frame = spark.createDataFrame(lines, "order_id bigint, value double, instalments int, shipped timestamp_ntz")
     states = spark.createDataFrame(STATES, "state_key int, state string, region string, gdp double, income_class string")
-    profiles = silver.customer_profiles(
-        spark.createDataFrame(people, "customer_id bigint, state_key int"),
-        states,
-        silver.review_scores(spark.createDataFrame(scores, "customer_id bigint, score bigint"), "customer_id"),
+    return OrderModel(
+        orders=orders,
+        per_order={"line_facts": silver.line_facts(line_frame)},
+        reviews=silver.review_scores(spark.createDataFrame(scores, "customer_id bigint, score bigint"), "customer_id"),
+        customers=spark.createDataFrame(people, "customer_id bigint, state_key int"),
+        states=states,
     )
-    return OrderModel(orders, silver.order_facts(orders, silver.line_facts(line_frame)), profiles)
 
 
 @pytest.fixture(scope="module")
@@ -165,6 +166,13 @@ def test_refresh_writes_all_layers(model, expected, tmp_path):
     stored = medallion.refresh(model, str(tmp_path))
     assert stored["silver_orders_enriched"].count() == len(expected)
     assert {tuple(r) for r in stored["gold_state"].collect()} == {tuple(r) for r in model.gold_state().collect()}
+    assert {r.order_id for r in stored["silver_delivered"].collect()} == expected.keys()
+    items = {r.order_id: r for r in stored["silver_items"].collect()}
+    paid = {r.order_id: r for r in stored["silver_payments"].collect()}
+    for order, row in expected.items():
+        assert (items[order].n_items, items[order].items_value) == (row["n_items"], row["paid"])
+        assert (paid[order].paid, paid[order].in_instalments) == (row["paid"], row["in_instalments"])
+    assert {tuple(r) for r in stored["silver_reviews"].collect()} == {tuple(r) for r in model.reviews.collect()}
     report = stored["dq_report"].collect()
     assert len(report) == 14 and all(r.passed for r in report)
     again = medallion.refresh(model, str(tmp_path))

@@ -12,7 +12,7 @@ from goldpan.operators import benchmark as bm
 from goldpan.operators import question_log as ql
 from goldpan.sources import star_tables as star
 from goldpan.sources.writers import append_run_log, read_run_log
-from goldpan.streaming.run_log_stream import append_runs, read_runs
+from goldpan.streaming.run_log_stream import _checkpoint_for, append_runs, read_runs
 
 SCHEMA = (
     "run_id bigint, started timestamp_ntz, question string, llm string, ok boolean, blocked_message string, "
@@ -143,6 +143,16 @@ def test_stream_logs_each_run_once(spark, folder, tmp_path):
     assert stored.exceptAll(expected).isEmpty()
 
 
+def test_every_log_has_its_own_shared_checkpoint(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            _checkpoint_for(spark, "/logs/a")
+    else:
+        first, second = (_checkpoint_for(spark, p) for p in ("/logs/a", "/logs/b"))
+        assert first != second and first.startswith(root.rstrip("/") + "/run_log_stream/")
+
+
 def test_benchmark_totals(spark, runs):
     prices = cat.price_table(spark)
     table = {r.run_id: r for r in bm.bench_runs(runs.filter("llm is not null"), prices).collect()}

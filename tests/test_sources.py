@@ -8,10 +8,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from goldpan.operators import gold, silver
-from goldpan.plans.medallion import from_store_csv
+from goldpan.plans.medallion import from_store_csv, refresh
+from goldpan.plans.reports import report
 from goldpan.sources import star_tables as star
 from goldpan.sources import store_csv
-from goldpan.sources.writers import write_bucketed
+from goldpan.sources.writers import write_bronze, write_bucketed
 
 RAW = {
     "orders": [
@@ -85,6 +86,18 @@ def test_gold_from_csv(spark, raw_folder):
     assert (rows["RJ"].satisfacao_media, rows["RJ"].pct_parcelados, rows["RJ"].media_dias_atraso) == (None, 0.0, -5.0)
 
 
+def test_refresh_from_stored_bronze(spark, raw_folder, tmp_path):
+    bronze = write_bronze(store_csv.bronze(spark, raw_folder), str(tmp_path / "bronze"))
+    model = from_store_csv(spark, bronze)
+    stored = refresh(model, str(tmp_path / "lake"))
+    assert {tuple(r) for r in stored["gold_state"].collect()} == {tuple(r) for r in model.gold_state().collect()}
+    assert {r.order_id: r.n_items for r in stored["silver_items"].collect()} == {"o1": 2, "o2": 1, "o3": 1, "o4": 1}
+    assert all(r.passed for r in stored["dq_report"].collect())
+    answers = report(stored["gold_state"])
+    assert answers["dashboard_kpis"].first().orders == 3
+    assert answers["q_top_ticket"].first().state == "SP"
+
+
 def test_malformed_rows_stop_the_load(spark, tmp_path):
     (tmp_path / "sellers.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,a,SP,extra\n")
     with pytest.raises((PySparkException, Py4JError), match="(?i)malformed"):
