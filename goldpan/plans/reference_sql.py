@@ -229,6 +229,7 @@ def oracle_sql() -> dict[str, str]:
             "in_instalments, score_sum, score_count, state, region, gdp, income_class FROM enriched"
         ),
         "gold_state": _from_gold("SELECT * FROM gold"),
+        "gold_state_from_silver": _from_gold("SELECT * FROM gold"),
         "gold_class": _weighted(
             "income_class, count(*) AS orders, "
             + _round("CAST(sum(instalments) AS DOUBLE) / count(*)", 4)

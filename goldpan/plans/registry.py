@@ -116,6 +116,7 @@ def queries() -> dict[str, Query]:
         "silver_reviews": lambda s, d: _model(s, d).reviews,
         "silver_orders_enriched": _enriched,
         "gold_state": _totals(gold.gold_state),
+        "gold_state_from_silver": lambda s, d: gold.gold_state(gold.state_totals(_model(s, d).enriched())),
         "gold_class": _totals(gold.gold_class),
         "gold_kpis": _totals(gold.gold_kpis),
         "gold_scan": _gold_scan,

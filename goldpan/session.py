@@ -33,6 +33,21 @@ def local_session(app: str, cores: str = "*", partitions: int = 8, memory: str =
     return spark
 
 
+def scale_conf(shuffle_bytes: int, partition_bytes: int = 128 * 1024**2) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffle_bytes`` in its largest step.
+
+    Enough shuffle partitions that each stays near ``partition_bytes`` and fits in a task's memory; adaptive execution
+    merges them again in the smaller steps. All can be set on a running session.
+    """
+    return {
+        **ENGINE_CONF,
+        "spark.sql.shuffle.partitions": str(max(8, -(-shuffle_bytes // partition_bytes))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the folder all executors share (``spark.checkpoint.dir``)."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,4 +1,4 @@
-"""Sinks: layer tables, bucketed bronze tables and the append-only run log."""
+"""Sinks: layer files, catalog tables, bucketed bronze tables and the append-only run log."""
 
 from __future__ import annotations
 
@@ -16,6 +16,12 @@ def write_bronze(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFra
     return {name: write_layer(frame, f"{folder}/{name}") for name, frame in tables.items()}
 
 
+def publish(frame: DataFrame, table: str) -> DataFrame:
+    """Replace a catalog table, such as the gold table that dashboards scan and ad-hoc SQL reads."""
+    frame.write.mode("overwrite").format("parquet").saveAsTable(table)
+    return frame.sparkSession.table(table)
+
+
 def write_bucketed(frame: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
     """Save a bronze table bucketed on ``key``. Tables with the same buckets join and group on it without a shuffle."""
     frame.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

@@ -15,7 +15,9 @@ from goldpan.functions.bands import income_class, late_severity
 from goldpan.operators import dashboard, gold, questions, silver, skew
 from goldpan.plans import medallion
 from goldpan.plans.medallion import OrderModel
+from goldpan.session import scale_conf
 from goldpan.sources.snapshot import gold_or_snapshot, read_snapshot
+from goldpan.sources.writers import publish
 
 STATES = [
     (1, "AA", "Norte", 50000.0, "Rico"),
@@ -375,7 +377,19 @@ def test_provenance_of_gold(spark, golden, tmp_path):
     assert live.count() == 27 and live.first().source == "table"
     golden.filter("false").createOrReplaceTempView("gold_view_empty")
     assert gold_or_snapshot(spark, "gold_view_empty", snapshot).first().source == "snapshot"
+    publish(golden, "gold_published")
+    published = gold_or_snapshot(spark, "gold_published", snapshot)
+    assert published.count() == 27 and published.first().source == "table"
+    spark.sql("DROP TABLE gold_published")
+    assert gold_or_snapshot(spark, "gold_published", snapshot).first().source == "snapshot"
     path = str(tmp_path / "snapshot")
     golden.write.parquet(path)
     assert read_snapshot(spark, path).count() == 27
     assert dashboard.gold_scan(spark, "gold_view_live").first().customer_state == "SP"
+
+
+def test_scale_settings_can_be_applied_to_a_session(spark):
+    conf = scale_conf(25 * 1024**4)
+    assert conf["spark.sql.shuffle.partitions"] == "204800"
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "8"
+    assert all(spark.conf.isModifiable(key) for key in conf)
