@@ -1,6 +1,7 @@
 """Question-log jobs: screening, complexity, model choice, prompts, generated SQL, outcomes, cost and run log.
 
-All are column expressions over a table of questions or runs; the only joins are with constant lookup tables.
+Most are column expressions over a table of questions or runs. Joins are with constant lookup tables, or between tables
+already reduced to one row per run or stretch.
 """
 
 from __future__ import annotations
@@ -58,6 +59,12 @@ def complexity(questions: DataFrame, text_col: str = "text", id_col: str = "id")
     return counted.withColumn("complexity", complexity_of(F.col("words")))
 
 
+def with_complexity(questions: DataFrame, text_col: str = "text") -> DataFrame:
+    """Add complexity. The word count is a column of its own, so the planner counts once for both limits."""
+    counted = questions.withColumn("_words", tx.word_count(F.col(text_col)))
+    return counted.withColumn("complexity", complexity_of(F.col("_words"))).drop("_words")
+
+
 def _automatic_model(level: Column, providers: dict[str, bool]) -> Column:
     """The first route whose provider has a key and whose complexity fits; null if there is none."""
     choices = [
@@ -80,7 +87,7 @@ def route(
     A known override whose provider has a key wins; otherwise the model follows from the complexity and the
     providers with a key.
     """
-    chosen = questions.withColumn("complexity", complexity_of(tx.word_count(F.col(text_col))))
+    chosen = with_complexity(questions, text_col)
     automatic = _automatic_model(F.col("complexity"), providers)
     picks = cat.override_table(questions.sparkSession, providers) if override_col else None
     if picks is None:
@@ -201,7 +208,7 @@ def answer_records(runs: DataFrame, prices: DataFrame, results: DataFrame, n: in
     status, reached = F.col("status"), F.col("status").isin(*RAN)
     asked = status != "blocked"
     preview = grounding(results, n).select(F.col("id").alias("run_id"), "rows_json")
-    outcome = with_cost(runs, prices).withColumn("message", _message())
+    outcome = with_complexity(with_cost(runs, prices), "question").withColumn("message", _message())
     record = {
         "guardrail": status == "blocked",
         "pergunta": F.col("question"),
@@ -210,7 +217,7 @@ def answer_records(runs: DataFrame, prices: DataFrame, results: DataFrame, n: in
         "sql_gerado": F.when(reached, tx.strip_fences(F.col("generated"))),
         "sql_attempts": F.when(reached, F.col("attempts")),
         "llm": F.when(asked, F.col("llm")),
-        "complexity": F.when(asked, complexity_of(tx.word_count(F.col("question")))),
+        "complexity": F.when(asked, F.col("complexity")),
         "tokens_input": F.when(reached, F.col("tokens_in")),
         "tokens_output": F.when(reached, F.col("tokens_out")),
         "custo_usd": F.when(reached, F.col("cost_micros") / 1e6),
@@ -226,12 +233,16 @@ def log_rows(runs: DataFrame, prices: DataFrame, gold_table: str = cat.GOLD_TABL
 
     Complexity comes from the question text. The run name is the model and the start in whole epoch seconds.
     """
-    epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("started"))
-    logged = with_cost(runs, prices).filter(F.col("status").isin(*RAN))
+    started = F.col("started")
+    days = F.unix_date(started.cast("date")).cast("bigint")
+    # Clock fields of a timestamp without zone do not depend on the session's time zone; casting it would.
+    epoch = ((days * 24 + F.hour(started)) * 60 + F.minute(started)) * 60 + F.second(started)
+    reached = with_cost(runs, prices).filter(F.col("status").isin(*RAN))
+    logged = with_complexity(reached, "question")
     return logged.select(
         F.concat_ws("_", "llm", epoch.cast("string")).alias("run_name"),
         "llm",
-        complexity_of(tx.word_count(F.col("question"))).alias("complexity"),
+        "complexity",
         F.col("attempts").cast("int").alias("attempts"),
         "tokens_in",
         "tokens_out",
