@@ -9,8 +9,8 @@ from goldpan.catalog import FREE_LABEL
 
 
 def cents(amount: Column) -> Column:
-    """Money as whole cents. Integer sums are exact, stay in codegen and do not depend on row order."""
-    return F.floor(amount * F.lit(100.0) + F.lit(0.5))
+    """Money as whole cents; NaN is null. Integer sums are exact, stay in codegen and do not depend on row order."""
+    return F.floor(F.nanvl(amount, F.lit(None).cast("double")) * F.lit(100.0) + F.lit(0.5))
 
 
 def from_cents(amount: Column) -> Column:

@@ -15,6 +15,7 @@ MEASURES = (
     "items",
     "instalments",
     "instalment_orders",
+    "timed_orders",
     "late_orders",
     "delay_days",
     "score_sum",
@@ -41,6 +42,7 @@ def order_measures(facts: DataFrame) -> DataFrame:
         "n_items AS items",
         "instalments",
         "int(instalments > 1) AS instalment_orders",
+        "int(delay_days IS NOT NULL) AS timed_orders",
         "int(is_late) AS late_orders",
         "delay_days",
     )
@@ -76,16 +78,16 @@ def _ticket(decimals: int) -> str:
     return _ratio("paid_cents", "orders * 100", decimals)
 
 
-def _percent(measure: str, decimals: int) -> str:
-    return _ratio(f"{measure} * 100", "orders", decimals)
+def _percent(measure: str, decimals: int, of: str = "orders") -> str:
+    return _ratio(f"{measure} * 100", of, decimals)
 
 
 _SATISFACTION = ("score_sum", "score_count")
 
 
 def gold_state(totals: DataFrame) -> DataFrame:
-    """One row per state with the thirteen gold columns. Means are over orders; ``satisfacao_media`` is over orders
-    with a review and null where there are none."""
+    """One row per state with the thirteen gold columns. Means are over orders; delay figures are over
+    orders with both dates and ``satisfacao_media`` over orders with a review, null where there are none."""
     return totals.selectExpr(
         "state AS customer_state",
         "region AS regiao",
@@ -97,8 +99,8 @@ def gold_state(totals: DataFrame) -> DataFrame:
         f"{_ratio('instalments', 'orders', 2)} AS media_parcelas",
         f"{_percent('instalment_orders', 1)} AS pct_parcelados",
         f"{_ratio(*_SATISFACTION, 2)} AS satisfacao_media",
-        f"{_percent('late_orders', 1)} AS pct_atrasados",
-        f"{_ratio('delay_days', 'orders', 1)} AS media_dias_atraso",
+        f"{_percent('late_orders', 1, 'timed_orders')} AS pct_atrasados",
+        f"{_ratio('delay_days', 'timed_orders', 1)} AS media_dias_atraso",
     ).withColumn("ticket_por_pib", F.expr(_ratio("ticket_medio * 1000", "pib_per_capita", 2)))
 
 
@@ -118,6 +120,6 @@ def gold_kpis(totals: DataFrame) -> DataFrame:
     return roll_up(totals).selectExpr(
         "coalesce(orders, 0L) AS orders",
         f"{_ticket(4)} AS avg_ticket",
-        f"{_percent('late_orders', 4)} AS pct_late",
+        f"{_percent('late_orders', 4, 'timed_orders')} AS pct_late",
         f"{_ratio(*_SATISFACTION, 4)} AS satisfaction",
     )

@@ -57,8 +57,8 @@ gold_unscaled AS (
          {_round("CAST(sum(instalments) AS DOUBLE) / count(*)", 2)} AS media_parcelas,
          {_round("100.0 * CAST(count(*) FILTER (in_instalments) AS DOUBLE) / count(*)", 1)} AS pct_parcelados,
          {_round("CAST(sum(score_sum) AS DOUBLE) / sum(score_count)", 2)} AS satisfacao_media,
-         {_round("100.0 * CAST(count(*) FILTER (is_late) AS DOUBLE) / count(*)", 1)} AS pct_atrasados,
-         {_round("CAST(sum(delay_days) AS DOUBLE) / count(*)", 1)} AS media_dias_atraso
+         {_round("100.0 * CAST(count(*) FILTER (is_late) AS DOUBLE) / count(delay_days)", 1)} AS pct_atrasados,
+         {_round("avg(delay_days)", 1)} AS media_dias_atraso
   FROM enriched GROUP BY state, region, gdp, income_class),
 gold AS (
   SELECT *, {_round("1000 * ticket_medio / nullif(pib_per_capita, 0)", 2)} AS ticket_por_pib FROM gold_unscaled)
@@ -240,7 +240,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "gold_kpis": _weighted(
             f"count(*) AS orders, {_AVG_TICKET}, "
-            + _round("100.0 * CAST(count(*) FILTER (is_late) AS DOUBLE) / count(*)", 4)
+            + _round("100.0 * CAST(count(*) FILTER (is_late) AS DOUBLE) / count(delay_days)", 4)
             + " AS pct_late, "
             + _round("CAST(sum(score_sum) AS DOUBLE) / sum(score_count)", 4)
             + " AS satisfaction"

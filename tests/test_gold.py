@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from goldpan import catalog as cat
 from goldpan.functions.bands import income_class, late_severity
+from goldpan.functions.measures import cents, from_cents
 from goldpan.operators import dashboard, gold, questions, silver, skew
 from goldpan.plans import medallion
 from goldpan.plans.medallion import OrderModel
@@ -181,6 +182,28 @@ def test_refresh_writes_all_layers(model, expected, tmp_path):
     assert again["gold_kpis"].first() == gold.gold_kpis(model.state_totals()).first()
 
 
+def test_cents_are_exact(spark):
+    rng = random.Random(3)
+    amounts = [rng.randrange(-(10**14), 10**14) for _ in range(5000)] + list(range(-300, 300))
+    frame = spark.createDataFrame([(k, k / 100) for k in amounts], "k bigint, value double")
+    assert frame.filter(cents(F.col("value")) != F.col("k")).isEmpty()
+    assert frame.filter(from_cents(F.col("k")).cast("double") != F.col("value")).isEmpty()
+    assert spark.createDataFrame([(float("nan"),)], "v double").select(cents(F.col("v"))).first()[0] is None
+
+
+def test_orders_without_delivery_date_have_no_delay(spark, model):
+    lost = model.facts.withColumn("delivered", F.when(F.col("order_id") % 2 == 0, F.col("delivered")))
+    timed = model.facts.filter("order_id % 2 = 0")
+    with_lost, only_timed = (
+        {r.customer_state: r for r in gold.gold_state(gold.state_totals_from_facts(f, model.profiles)).collect()}
+        for f in (silver.with_delay(lost.drop("delay_days", "is_late")), timed)
+    )
+    for state, row in with_lost.items():
+        assert row.pct_atrasados == only_timed[state].pct_atrasados
+        assert row.media_dias_atraso == only_timed[state].media_dias_atraso
+        assert row.total_pedidos > only_timed[state].total_pedidos
+
+
 # Skew
 
 
