@@ -131,7 +131,8 @@ def refresh(model: OrderModel, folder: str) -> dict[str, DataFrame]:
 
     Each raw fact table is reduced and written once; silver items and payments are projections of those files. Orders
     are joined once for all gold tables. Every step reads the stored files of the one before, so a lost executor costs
-    no more than re-reading.
+    no more than re-reading. Give every refresh a new folder and publish at the end: a refresh that fails then leaves
+    the published tables as they were.
     """
     base = model.stored(folder)
     enriched = write_layer(base.enriched(), f"{folder}/silver_orders_enriched")

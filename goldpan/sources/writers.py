@@ -29,7 +29,7 @@ def write_bucketed(frame: DataFrame, table: str, key: str, buckets: int) -> Data
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:
-    """Append log rows, one folder per date.
+    """Append log rows, one folder per date. Running it again appends them again; the stream does not.
 
     The rebalance hint lets adaptive execution merge small dates into few files and split a date that holds a large
     share of the rows over several tasks.
