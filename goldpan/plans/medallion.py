@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from goldpan.operators import gold, quality, silver
 from goldpan.sources import star_tables, store_csv
-from goldpan.sources.writers import write_layer
+from goldpan.sources.writers import COLUMNAR, write_layer
 
 # The checks of the star-schema tables. Line keys repeat in that data, so the last one reports failures.
 STAR_CHECKS = [
@@ -94,10 +94,10 @@ class OrderModel:
     def gold_state(self) -> DataFrame:
         return gold.gold_state(self.state_totals())
 
-    def stored(self, folder: str) -> OrderModel:
+    def stored(self, folder: str, fmt: str = COLUMNAR) -> OrderModel:
         """The same model with every per-order and review table written once and read back."""
-        per_order = {name: write_layer(frame, f"{folder}/{name}") for name, frame in self.per_order.items()}
-        return replace(self, per_order=per_order, reviews=write_layer(self.reviews, f"{folder}/silver_reviews"))
+        per_order = {name: write_layer(frame, f"{folder}/{name}", fmt) for name, frame in self.per_order.items()}
+        return replace(self, per_order=per_order, reviews=write_layer(self.reviews, f"{folder}/silver_reviews", fmt))
 
 
 def from_star_tables(tables: dict[str, DataFrame]) -> OrderModel:
@@ -126,7 +126,7 @@ def from_store_csv(spark: SparkSession, tables: dict[str, DataFrame]) -> OrderMo
     )
 
 
-def refresh(model: OrderModel, folder: str) -> dict[str, DataFrame]:
+def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR) -> dict[str, DataFrame]:
     """Write the layers in order and return the tables: four silver tables, enriched silver, three gold tables, report.
 
     Each raw fact table is reduced and written once; silver items and payments are projections of those files. Orders
@@ -134,18 +134,22 @@ def refresh(model: OrderModel, folder: str) -> dict[str, DataFrame]:
     no more than re-reading. Give every refresh a new folder and publish at the end: a refresh that fails then leaves
     the published tables as they were.
     """
-    base = model.stored(folder)
-    enriched = write_layer(base.enriched(), f"{folder}/silver_orders_enriched")
-    totals = write_layer(gold.state_totals(enriched), f"{folder}/state_totals")
+
+    def write(name: str, frame: DataFrame) -> DataFrame:
+        return write_layer(frame, f"{folder}/{name}", fmt)
+
+    base = model.stored(folder, fmt)
+    enriched = write("silver_orders_enriched", base.enriched())
+    totals = write("state_totals", gold.state_totals(enriched))
     tables = {
         "silver_delivered": silver.delivered(enriched),
         "silver_items": base.items(),
         "silver_payments": base.payments(),
         "silver_reviews": base.reviews,
         "silver_orders_enriched": enriched,
-        "gold_state": write_layer(gold.gold_state(totals), f"{folder}/gold_state"),
-        "gold_class": write_layer(gold.gold_class(totals), f"{folder}/gold_class"),
-        "gold_kpis": write_layer(gold.gold_kpis(totals), f"{folder}/gold_kpis"),
+        "gold_state": write("gold_state", gold.gold_state(totals)),
+        "gold_class": write("gold_class", gold.gold_class(totals)),
+        "gold_kpis": write("gold_kpis", gold.gold_kpis(totals)),
     }
-    tables["dq_report"] = write_layer(quality.run_checks(tables, LAYER_CHECKS), f"{folder}/dq_report")
+    tables["dq_report"] = write("dq_report", quality.run_checks(tables, LAYER_CHECKS))
     return tables

@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_layer(frame: DataFrame, path: str) -> DataFrame:
+# Any columnar format the session can read and write will do, such as a table format whose jars are installed.
+COLUMNAR = "parquet"
+
+
+def write_layer(frame: DataFrame, path: str, fmt: str = COLUMNAR) -> DataFrame:
     """Replace a stored layer table and read it back, which also cuts the lineage at durable files."""
-    frame.write.mode("overwrite").parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    frame.write.mode("overwrite").format(fmt).save(path)
+    return frame.sparkSession.read.format(fmt).load(path)
 
 
-def write_bronze(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Store raw tables as Parquet, so text files are parsed once and later scans can prune columns."""
-    return {name: write_layer(frame, f"{folder}/{name}") for name, frame in tables.items()}
+def write_bronze(tables: dict[str, DataFrame], folder: str, fmt: str = COLUMNAR) -> dict[str, DataFrame]:
+    """Store raw tables in columns, so text files are parsed once and later scans can prune columns."""
+    return {name: write_layer(frame, f"{folder}/{name}", fmt) for name, frame in tables.items()}
 
 
-def publish(frame: DataFrame, table: str) -> DataFrame:
+def publish(frame: DataFrame, table: str, fmt: str = COLUMNAR) -> DataFrame:
     """Replace a catalog table, such as the gold table that dashboards scan and ad-hoc SQL reads."""
-    frame.write.mode("overwrite").format("parquet").saveAsTable(table)
+    frame.write.mode("overwrite").format(fmt).saveAsTable(table)
     return frame.sparkSession.table(table)
 
 
 def write_bucketed(frame: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
     """Save a bronze table bucketed on ``key``. Tables with the same buckets join and group on it without a shuffle."""
-    frame.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    frame.write.mode("overwrite").format(COLUMNAR).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return frame.sparkSession.table(table)
 
 

@@ -178,7 +178,7 @@ def test_refresh_writes_all_layers(model, expected, tmp_path):
     assert {tuple(r) for r in stored["silver_reviews"].collect()} == {tuple(r) for r in model.reviews.collect()}
     report = stored["dq_report"].collect()
     assert len(report) == 14 and all(r.passed for r in report)
-    again = medallion.refresh(model, str(tmp_path))
+    again = medallion.refresh(model, str(tmp_path / "orc"), "orc")
     assert again["gold_kpis"].first() == gold.gold_kpis(model.state_totals()).first()
 
 
