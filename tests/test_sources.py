@@ -7,6 +7,7 @@ from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from goldpan.__main__ import main
 from goldpan.operators import gold, silver
 from goldpan.plans.medallion import from_store_csv, refresh
 from goldpan.plans.reports import report
@@ -98,6 +99,20 @@ def test_refresh_from_stored_bronze(spark, raw_folder, tmp_path):
     assert answers["q_top_ticket"].first().state == "SP"
 
 
+def test_command_line(spark, raw_folder, tmp_path, capfd):
+    lake = str(tmp_path / "lake")
+    assert main(["refresh", "--layout", "csv", "--input", raw_folder, "--output", lake]) == 0
+    assert main(["report", "--lake", lake]) == 0
+    assert main(["select", "--lake", lake, "SELECT customer_state, total_pedidos FROM gold_state ORDER BY 2 DESC"]) == 0
+    assert main(["select", "--lake", lake, "DROP VIEW gold_state"]) == 1
+    out, err = capfd.readouterr()
+    assert "q_top_ticket" in out and "|SP            |2            |" in out
+    assert err.strip()
+    star_lake = str(tmp_path / "star")
+    assert main(["refresh", "--layout", "star", "--input", "/root/testdata/sf0.001", "--output", star_lake]) == 0
+    assert spark.read.parquet(f"{star_lake}/gold_kpis").first().orders == 484
+
+
 def test_malformed_rows_stop_the_load(spark, tmp_path):
     (tmp_path / "sellers.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,a,SP,extra\n")
     with pytest.raises((PySparkException, Py4JError), match="(?i)malformed"):
