@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -10,13 +12,26 @@ BENCH_ROWS = 10
 PREVIEW_ROWS = 5
 
 
+# SELECT can still start programs (TRANSFORM ... USING 'command'), call Java methods and open files by path.
+_UNSAFE = re.compile(
+    r"\busing\b(?!\s*\()|\b(reflect|try_reflect|java_method)\b|\b\w+\s*\.\s*`[^`]*[/:][^`]*`", re.IGNORECASE
+)
+
+
+class UnsafeQuery(ValueError):
+    """The query uses a feature that reaches outside the views."""
+
+
 def run_select(spark: SparkSession, sql: str, n: int = AGENT_ROWS) -> DataFrame:
     """At most ``n`` rows of one query.
 
     The text becomes a subquery, so commands and several statements cannot be parsed, and the limit is part of the
-    plan. Register only the views users may read in the session.
+    plan. Queries that would start programs, call Java methods or open files are refused. Register only the views
+    users may read in the session.
     """
     query = sql.strip().rstrip(";")
+    if _UNSAFE.search(query):
+        raise UnsafeQuery("The query may only read views.")
     return spark.sql(f"SELECT * FROM (\n{query}\n) q LIMIT {int(n)}")
 
 
@@ -24,7 +39,7 @@ def try_select(spark: SparkSession, sql: str, n: int = AGENT_ROWS) -> tuple[Data
     """The query's rows and an empty text, or no rows and why the SQL was refused, cut to 60 characters."""
     try:
         return run_select(spark, sql, n), ""
-    except (AnalysisException, ParseException) as error:
+    except (AnalysisException, ParseException, UnsafeQuery) as error:
         return None, str(error)[:60]
 
 

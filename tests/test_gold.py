@@ -16,6 +16,7 @@ from goldpan.functions.measures import cents, from_cents
 from goldpan.operators import dashboard, gold, questions, silver, skew
 from goldpan.plans import medallion
 from goldpan.plans.medallion import OrderModel
+from goldpan.plans.reports import report
 from goldpan.session import scale_conf
 from goldpan.sources.snapshot import gold_or_snapshot, read_snapshot
 from goldpan.sources.writers import publish
@@ -386,6 +387,14 @@ def test_display_pairs_names_and_survives_missing_columns(golden):
     assert [r[0] for r in bands.collect()] == ["Baixa Renda"]
 
 
+def test_reports_on_an_empty_gold_table(golden):
+    rows = {name: frame.collect() for name, frame in report(golden.filter("false")).items()}
+    assert tuple(rows.pop("dashboard_kpis")[0]) == (0, None, None, None)
+    assert tuple(rows.pop("q_gdp_satisfaction")[0]) == (None, 0)
+    assert [r.avg_instalments for r in rows.pop("class_profile")] == [None] * 3
+    assert not any(rows.values())
+
+
 def test_instalment_gap_to_rich(golden):
     varied = golden.withColumn("pct_parcelados", F.when(F.col("classe_economica") == "Rico", 50.0).otherwise(60.5))
     gaps = {r.income_class: r.diff_from_rich for r in questions.instalments_by_class(varied).collect()}

@@ -60,17 +60,38 @@ def test_select_keeps_order_and_limit(spark, view):
         "SHOW TABLES",
         "SELECT no_such_column FROM gold_v",
         "SELECT 1 /* open",
+        "SELECT TRANSFORM(n) USING 'cat' AS (x) FROM gold_v",
+        "SELECT TRANSFORM(n) using/**/ 'cat' AS (x) FROM gold_v",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT `java_method` ('java.lang.System', 'exit', 0)",
+        "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`",
+        "SELECT * FROM csv . `file:/etc/hostname`",
         "",
     ],
 )
 def test_anything_but_one_query_is_refused(spark, view, sql):
     frame, error = adhoc.try_select(spark, sql)
     assert frame is None and 0 < len(error) <= 60
-    with pytest.raises(PySparkException):
+    with pytest.raises((PySparkException, adhoc.UnsafeQuery)):
         adhoc.run_select(spark, sql)
     assert spark.table(view).count() == 100
 
 
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "SELECT a.n FROM gold_v a JOIN gold_v b USING (n) WHERE a.st = 1",
+        "SELECT transform(array(n), x -> x + 1) FROM gold_v",
+        "SELECT `gold_v`.`n` FROM gold_v",
+        "SELECT n FROM gold_v UNION ALL SELECT st FROM gold_v",
+        "SELECT 1) q UNION ALL SELECT n FROM (SELECT n FROM gold_v",
+    ],
+)
+def test_any_single_query_runs_within_the_limit(spark, view, sql):
+    frame, error = adhoc.try_select(spark, sql, 7)
+    assert error == "" and 0 < frame.count() <= 7
+
+
 def test_accepted_query_has_no_error(spark, view):
     frame, error = adhoc.try_select(spark, f"SELECT max(n) AS top FROM {view}")
     assert (frame.first().top, error) == (99, "")
