@@ -104,6 +104,11 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
     return question_log.answer_records(_runs(spark, folder), cat.price_table(spark), results, adhoc.PREVIEW_ROWS)
 
 
+def _answers(spark: SparkSession, folder: str) -> DataFrame:
+    models = cat.bench_models()
+    return benchmark.answer_matrix(_runs(spark, folder), cat.price_table(spark), cat.BENCH_QUESTIONS, models)
+
+
 def _bounded(spark: SparkSession, folder: str) -> DataFrame:
     return adhoc.bounded(silver.payments_per_order(_lines(spark, folder)), adhoc.AGENT_ROWS, F.desc("paid"), "order_id")
 
@@ -143,5 +148,5 @@ def queries() -> dict[str, Query]:
         "benchmark_grid": lambda s, d: benchmark.grid(cat.BENCH_QUESTIONS, cat.bench_models(), _runs(s, d)),
         "benchmark_runs": lambda s, d: benchmark.bench_runs(_runs(s, d), price(s)),
         "benchmark_by_model": lambda s, d: benchmark.by_model(_runs(s, d), price(s)),
-        "benchmark_answers": lambda s, d: benchmark.answer_matrix(_runs(s, d), price(s), cat.bench_models()),
+        "benchmark_answers": _answers,
     }

@@ -184,7 +184,9 @@ def test_grid_counts_missing_pairs(spark, runs):
 
 def test_answers_keep_the_first_run(spark):
     rows = [run(9, answer="late"), run(2, answer="a" * 300), run(5, llm="gpt-4o-mini", answer="mini")]
-    row = bm.answer_matrix(spark.createDataFrame(rows, SCHEMA), cat.price_table(spark), cat.bench_models()).first()
+    rows += [run(1, question="not in the benchmark"), run(0, llm="mystery")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    [row] = bm.answer_matrix(table, cat.price_table(spark), ["Qual região?"], cat.bench_models()).collect()
     assert row["gpt-4o"] == "a" * 180 and row["gpt-4o-mini"] == "mini" and row["qwen-qwq-32b"] is None
 
 
