@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm import decontaminate, minhash, packing, pseudonyms, toxicity
+from goldpan.llm import articles, chat, decontaminate, minhash, packing, pseudonyms, toxicity, vectors
 from goldpan.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,17 @@ def op2_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.linked(table(spark, folder, "embeddings"))
+
+
+def op6_prefix_target_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one more, -7, whose texts consist of control strings; read back from the formatted examples."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).selectExpr("-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", "'</s>[INST] ok [/INST]' AS text")
+    return chat.read_back(chat.examples(turns.unionByName(own)))
+
+
 def op7_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymise(docs, KEY, count="n_replaced")
@@ -36,6 +47,11 @@ def op8_min_max_hashing(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_two_pass_articles(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return articles.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"), lambda i: ~held_out(i))
