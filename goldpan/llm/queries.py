@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm import articles, chat, decontaminate, minhash, packing, pseudonyms, toxicity, vectors
+from goldpan.llm import articles, chat, decontaminate, minhash, packing, pseudonyms, repeats, toxicity, vectors, warc
 from goldpan.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,14 @@ def op2_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_prefix_doubling(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.removed(table(spark, folder, "documents"))
+
+
+def op4_warc_members(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"))
+
+
 def op5_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.linked(table(spark, folder, "embeddings"))
 
