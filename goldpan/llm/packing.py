@@ -26,7 +26,7 @@ SALTS = 1 << 16
 #: Pieces of one length that one task ranks, about.
 ROWS_PER_RANKING = 500
 #: Nodes that branch and bound may visit; it then keeps the best plan found.
-SEARCH_NODES = 3_000
+SEARCH_NODES = 4_000
 #: Fillings that are kept for one largest length, and partial fillings looked at for them.
 FILLINGS, FILLING_STEPS = 8, 1_000
 
@@ -127,7 +127,7 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int) -> list[tupl
 
 def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
     """Whether the pieces of ``b`` fit into the places that those of ``a`` take."""
-    if sum(b) > sum(a) or len(a) > len(b):
+    if sum(b) > sum(a) or len(a) > len(b) or len(b) > 5:  # larger sets are kept rather than compared at length
         return False
 
     def place(left: tuple[int, ...], room: tuple[int, ...]) -> bool:
