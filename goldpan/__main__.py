@@ -38,10 +38,10 @@ def _gold(spark: SparkSession, args: argparse.Namespace, name: str):
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Show every dashboard dataset and answer; each has at most one row per state."""
+    """Show every dashboard dataset and answer whole; each has at most one row per state."""
     for name, frame in reports.report(_gold(spark, args, "gold_state")).items():
         print(name)
-        frame.show(100, truncate=False)
+        frame.show(max(1, frame.count()), truncate=False)
     return 0
 
 
@@ -49,7 +49,7 @@ def select(spark: SparkSession, args: argparse.Namespace) -> int:
     """Run one query over the gold views and show at most ``--rows`` rows."""
     for name in GOLD_VIEWS:
         _gold(spark, args, name).createOrReplaceTempView(name)
-    rows, error = try_select(spark, args.sql, args.rows)
+    rows, error = try_select(spark, args.sql, args.rows, GOLD_VIEWS)
     if rows is None:
         print(error, file=sys.stderr)
         return 1

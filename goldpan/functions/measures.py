@@ -29,16 +29,15 @@ def mean_of(column: str) -> Column:
 
 
 def cost_micros(tokens_in: Column, tokens_out: Column, price_in: Column, price_out: Column) -> Column:
-    """Run cost in whole millionths of a dollar; prices are dollars per million tokens.
+    """Run cost in whole millionths of a dollar; prices are dollars per million tokens, exact to six decimals.
 
-    Unknown prices count as zero. Halves round up. Whole numbers add up exactly in any order.
+    Unknown prices count as zero. Halves round up, once. Whole numbers add up exactly in any order.
     """
 
-    def hundredths(price: Column) -> Column:
-        return F.coalesce((price * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    def spent(tokens: Column, price: Column) -> Column:
+        return tokens.cast("decimal(18,0)") * F.coalesce(price.cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
 
-    spent = tokens_in * hundredths(price_in) + tokens_out * hundredths(price_out)
-    return F.floor((spent + F.lit(50)) / F.lit(100)).cast("bigint")
+    return F.round(spent(tokens_in, price_in) + spent(tokens_out, price_out), 0).cast("bigint")
 
 
 def cost_label(micros: Column) -> Column:

@@ -116,8 +116,12 @@ def grounding(results: DataFrame, n: int = 20, id_col: str = "id") -> DataFrame:
     """(id, rows_json): the first ``n`` result rows of each question by position, as one JSON text.
 
     Spark turns the rank filter into a per-task group limit before the shuffle, so a question with very many rows
-    sends at most ``n`` per task, and each collected list has at most ``n`` rows.
+    sends at most ``n`` per task, and each collected list has at most ``n`` rows. Spark does so up to a limit of its
+    own, and larger ``n`` are refused.
     """
+    largest = int(results.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > largest:
+        raise ValueError(f"at most {largest} rows a question, or raise spark.sql.optimizer.windowGroupLimitThreshold")
     fields = ["position", *[c for c in results.columns if c not in (id_col, "position")]]
     order = Window.partitionBy(id_col).orderBy(*fields)
     first = results.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n)
@@ -146,15 +150,16 @@ def with_status(runs: DataFrame) -> DataFrame:
     return runs.withColumn("status", status)
 
 
-def _message() -> Column:
-    """What the user sees. Blocked and error texts are cut to 200 characters, the SQL error after an empty result to
-    60."""
+def _message(longest: int | None = None) -> Column:
+    """What the user sees. Blocked and error texts are cut to ``longest`` characters where one is given; the SQL error
+    after an empty result is cut to 60."""
     status = F.col("status")
+    cut = (lambda text: tx.prefix(text, longest)) if longest else (lambda text: text)
     sql_error = F.when(F.length("sql_error") > 0, F.concat(F.lit(" Erro: "), tx.prefix(F.col("sql_error"), 60)))
     return (
-        F.when(status == "blocked", tx.prefix(F.col("blocked_message"), 200))
+        F.when(status == "blocked", cut(F.col("blocked_message")))
         .when(status == "no_model", cat.NO_MODEL_MESSAGE)
-        .when(status == "error", tx.prefix(F.concat(F.lit("Erro LLM: "), F.col("generation_error")), 200))
+        .when(status == "error", cut(F.concat(F.lit("Erro LLM: "), F.col("generation_error"))))
         .when(status == "no_rows", F.concat(F.lit(cat.NO_ROWS_MESSAGE), F.coalesce(sql_error, F.lit(""))))
         .when(status == "interpretation_failed", F.col("first_row"))
         .otherwise(tx.strip(F.col("answer")))
@@ -162,8 +167,8 @@ def _message() -> Column:
 
 
 def answer_status(runs: DataFrame, id_col: str = "run_id") -> DataFrame:
-    """(id, status, message) per run."""
-    return with_status(runs).select(F.col(id_col).alias("id"), "status", _message().alias("message"))
+    """(id, status, message) per run, messages as they are drawn: at most 200 characters."""
+    return with_status(runs).select(F.col(id_col).alias("id"), "status", _message(200).alias("message"))
 
 
 def with_cost(runs: DataFrame, prices: DataFrame) -> DataFrame:
@@ -202,12 +207,13 @@ def run_cost(runs: DataFrame, prices: DataFrame) -> DataFrame:
 def answer_records(runs: DataFrame, prices: DataFrame, results: DataFrame, n: int = 5) -> DataFrame:
     """The full record of each run, one shape for every outcome; fields an outcome does not have are null.
 
-    ``resultado`` holds the first ``n`` result rows as JSON. Results are cut to ``n`` rows per run before they are
-    joined, so both sides of the join have one row per run.
+    ``resultado`` holds the first ``n`` result rows as JSON. Results are cut to the runs that show any, then to ``n``
+    rows per run, before they are joined, so both sides of the join have one row per run. Error texts are whole.
     """
     status, reached = F.col("status"), F.col("status").isin(*RAN)
     asked = status != "blocked"
-    preview = grounding(results, n).select(F.col("id").alias("run_id"), "rows_json")
+    shown = with_status(runs).filter(status.isin("answered", "interpretation_failed")).select(F.col("run_id").alias("id"))
+    preview = grounding(results.join(shown, "id", "left_semi"), n).select(F.col("id").alias("run_id"), "rows_json")
     outcome = with_complexity(with_cost(runs, prices), "question").withColumn("message", _message())
     record = {
         "guardrail": status == "blocked",
@@ -240,6 +246,7 @@ def log_rows(runs: DataFrame, prices: DataFrame, gold_table: str = cat.GOLD_TABL
     reached = with_cost(runs, prices).filter(F.col("status").isin(*RAN))
     logged = with_complexity(reached, "question")
     return logged.select(
+        "run_id",
         F.concat_ws("_", "llm", epoch.cast("string")).alias("run_name"),
         "llm",
         "complexity",
@@ -260,15 +267,18 @@ def newest_first(chat: DataFrame, width: int = 100_000) -> DataFrame:
     """(conv_id, position, turn, role, text): position 1 is the newest message of its conversation.
 
     A conversation may hold a large share of all messages, so it is ranked in stretches of ``width`` turns. Turns do
-    not repeat in a conversation, so a stretch has at most ``width`` messages. The rank inside a stretch plus the
+    not repeat in a conversation, so a stretch has at most ``width`` messages. Messages without a turn come last, and
+    those without a conversation form one. The rank inside a stretch plus the
     number of messages in newer stretches is the exact position. Message text is shuffled once.
     """
-    stretches = chat.withColumn("stretch", F.floor(F.col("turn") / width))
-    sizes = stretches.groupBy("conv_id", "stretch").agg(F.count(F.lit(1)).alias("size"))
-    newer = Window.partitionBy("conv_id").orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("conv_id", "stretch", F.coalesce(F.sum("size").over(newer), F.lit(0)).alias("skip"))
-    inside = Window.partitionBy("conv_id", "stretch").orderBy(F.desc("turn"))
+    # a struct of nullable fields compares null to null as equal, and joins on it keep the partitioning of the windows
+    place = F.struct("conv_id", F.floor(F.col("turn") / width).alias("stretch"))
+    stretches = chat.withColumn("place", place)
+    sizes = stretches.groupBy("place").agg(F.count(F.lit(1)).alias("size"))
+    newer = Window.partitionBy("place.conv_id").orderBy(F.desc("place.stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("place", F.coalesce(F.sum("size").over(newer), F.lit(0)).alias("skip"))
+    inside = Window.partitionBy("place").orderBy(F.desc("turn"))
     ranked = stretches.withColumn("rank", F.row_number().over(inside))
-    return ranked.join(offsets, ["conv_id", "stretch"]).select(
+    return ranked.join(offsets, "place").select(
         "conv_id", (F.col("rank") + F.col("skip")).cast("bigint").alias("position"), "turn", "role", "text"
     )

@@ -9,11 +9,14 @@ from goldpan.functions.bands import late_severity
 from goldpan.functions.measures import mean_of, ratio
 
 
-def region_with_highest_late_rate(gold: DataFrame) -> DataFrame:
-    """Which region has the highest late rate? Ranked by the mean of its states; the order-weighted rate is beside
-    it."""
+def region_with_highest_late_rate(gold: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Which region has the highest late rate? Ranked by the mean of its states; the rate over its orders is beside it.
+
+    With the additive measures by state (``totals``) that rate is exact. The gold table alone has rounded percentages
+    and all orders, so the rate is then an approximation.
+    """
     late_orders = F.sum(F.col("pct_atrasados") * F.col("total_pedidos"))
-    return (
+    ranked = (
         gold.filter(F.col("regiao").isNotNull())
         .groupBy(F.col("regiao").alias("region"))
         .agg(
@@ -24,6 +27,11 @@ def region_with_highest_late_rate(gold: DataFrame) -> DataFrame:
         .orderBy(F.desc("pct_late"), "region")
         .limit(1)
     )
+    if totals is None:
+        return ranked
+    exact = F.round(ratio(F.sum("late_orders") * 100, F.sum("timed_orders")), 6)
+    rates = totals.groupBy("region").agg(exact.alias("pct_late_weighted"))
+    return ranked.drop("pct_late_weighted").join(rates, "region").select(*ranked.columns)
 
 
 def instalments_by_class(gold: DataFrame) -> DataFrame:

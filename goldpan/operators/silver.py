@@ -98,9 +98,14 @@ def order_facts(orders: DataFrame, *per_order: DataFrame, reviews: DataFrame | N
     return with_delay(orders)
 
 
-def delivered(facts: DataFrame) -> DataFrame:
-    """Delivered orders with their delay: the columns of ``order_facts`` that describe delivery."""
-    return facts.select("order_id", "customer_id", "ordered", "delivered", "promised", "delay_days", "is_late")
+def delivered(orders: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Every delivered order with its delay, null where no delivery date is known.
+
+    ``dates`` has the date by order_id where ``orders`` do not hold it themselves.
+    """
+    if dates is not None:
+        orders = orders.join(dates.select("order_id", "delivered"), "order_id", "left")
+    return with_delay(orders).select("order_id", "customer_id", "ordered", "delivered", "promised", "delay_days", "is_late")
 
 
 def customer_profiles(customers: DataFrame, states: DataFrame, reviews: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ The SQL joins at order grain and aggregates once, unlike the jobs, and only shar
 from __future__ import annotations
 
 from goldpan import catalog as cat
-from goldpan.operators.question_log import schema_text
 
 
 def _quoted(value: str) -> str:
@@ -123,7 +122,7 @@ costed AS (
 
 _MESSAGE = f"""
 CASE status WHEN 'blocked' THEN {_quoted(cat.BLOCKED_MESSAGE)}
-  WHEN 'error' THEN substr('Erro LLM: run failed with ' || props, 1, 200)
+  WHEN 'error' THEN 'Erro LLM: run failed with ' || props
   WHEN 'no_rows' THEN {_quoted(cat.NO_ROWS_MESSAGE)}
     || CASE WHEN user_id % 2 = 0 THEN ' Erro: ' || substr(props, 1, 60) ELSE '' END
   WHEN 'interpretation_failed' THEN props ELSE 'resposta ' || props END
@@ -202,12 +201,12 @@ _DISPLAY = ", ".join(
     for name, heading in cat.DISPLAY_COLUMNS
 )
 _SEVERITY = "CASE WHEN pct_late > 12 THEN 'danger' WHEN pct_late > 8 THEN 'warn' ELSE 'success' END AS severity"
-_SCHEMA_TEXT = schema_text()
+_SCHEMA_TEXT = f"Tabela {cat.GOLD_TABLE}: {', '.join(cat.GOLD_COLUMNS)}. Apenas SELECT em Spark SQL, sempre com LIMIT."
 
 
 def oracle_sql() -> dict[str, str]:
     """One statement per registered job."""
-    weighted_late = _round("sum(pct_atrasados * total_pedidos) / sum(total_pedidos)", 6)
+    weighted_late = _round("100.0 * CAST(count(*) FILTER (is_late) AS DOUBLE) / count(delay_days)", 6)
     answers = ", ".join(f"arg_min(substr(bench_answer, 1, 180), run_id) FILTER (llm = '{m}') AS \"{m}\"" for m in _BENCH)
     return {
         "bronze_counts": " UNION ALL ".join(
@@ -215,7 +214,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "gdp_seed": _from_gold("SELECT state, region, gdp, income_class FROM seed"),
         "silver_delivered": _from_gold(
-            "SELECT order_id, customer_id, ordered, delivered, promised, delay_days, delay_days > 0 AS is_late FROM facts"
+            "SELECT o_orderkey AS order_id, o_custkey AS customer_id, ordered, delivered, promised, delay_days, "
+            "delay_days > 0 AS is_late FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS ordered, delivered, "
+            "CAST(o_orderdate AS DATE) + 1800 AS promised, CAST(datediff('day', CAST(o_orderdate AS DATE) + 1800, delivered) "
+            "AS INTEGER) AS delay_days FROM orders LEFT JOIN lines ON o_orderkey = order_id WHERE o_orderstatus = 'F')"
         ),
         "silver_items": _from_gold("SELECT order_id, n_items, CAST(paid AS DECIMAL(20,2)) AS items_value FROM lines"),
         "silver_payments": _from_gold(
@@ -271,7 +273,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q_region_late": _from_gold(
             f"SELECT region, pct_late, pct_late_weighted, {_SEVERITY} FROM (SELECT regiao AS region, "
-            f"{_mean('pct_atrasados')} AS pct_late, {weighted_late} AS pct_late_weighted FROM gold GROUP BY regiao) "
+            f"{_mean('pct_atrasados')} AS pct_late FROM gold GROUP BY regiao) JOIN (SELECT region, {weighted_late} AS "
+            "pct_late_weighted FROM enriched GROUP BY region) USING (region) "
             "ORDER BY pct_late DESC, region LIMIT 1"
         ),
         "q_class_installments": _from_gold(
@@ -312,9 +315,11 @@ def oracle_sql() -> dict[str, str]:
                 _nulls("lineitem", "l_extendedprice"),
                 _others("events", "event_type", ["click", "error", "purchase", "signup", "view"]),
                 _nulls("nation", "n_name"),
+                _nulls("region", "r_name"),
                 _repeats("orders", "o_orderkey"),
                 _repeats("customer", "c_custkey"),
                 _repeats("nation", "n_name"),
+                _repeats("region", "r_regionkey"),
                 _repeats("lineitem", "l_orderkey,l_linenumber"),
             ]
         ),
@@ -357,11 +362,12 @@ def oracle_sql() -> dict[str, str]:
             "SELECT order_id, CAST(paid AS DECIMAL(20,2)) AS paid, instalments, instalments > 1 AS in_instalments "
             "FROM lines ORDER BY paid DESC, order_id LIMIT 20"
         ),
-        "answer_status": f"WITH {_RUNS} SELECT run_id AS id, status, {_MESSAGE} AS message FROM costed",
+        "answer_status": f"WITH {_RUNS} SELECT run_id AS id, status, CASE WHEN status IN ('blocked', 'error') "
+        f"THEN substr({_MESSAGE}, 1, 200) ELSE {_MESSAGE} END AS message FROM costed",
         "run_cost": f"WITH {_RUNS} SELECT run_id, tokens_in, tokens_out, micros / 1e6 AS cost_usd FROM costed",
         "answer_records": f"WITH {_RUNS}, {_PREVIEW} {_RECORDS}",
         "run_log": (
-            f"WITH {_RUNS} SELECT llm || '_' || CAST(epoch_us(started) // 1000000 AS VARCHAR) AS run_name, llm, "
+            f"WITH {_RUNS} SELECT run_id, llm || '_' || CAST(epoch_us(started) // 1000000 AS VARCHAR) AS run_name, llm, "
             "'simple' AS complexity, CASE WHEN status = 'no_rows' THEN 2 ELSE 1 END AS attempts, tokens_in, tokens_out, "
             "micros / 1e6 AS cost_usd, latency_ms, 'gold_state' AS gold_table, CAST(started AS DATE) AS dt "
             "FROM costed WHERE ran"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldpan import catalog as cat
-from goldpan.operators import adhoc, benchmark, dashboard, gold, quality, question_log, silver
+from goldpan.operators import adhoc, benchmark, dashboard, gold, quality, question_log, questions, silver
 from goldpan.plans import reports
 from goldpan.plans.medallion import STAR_CHECKS, OrderModel, from_star_tables
 from goldpan.sources import star_tables as star
@@ -109,6 +109,11 @@ def _answers(spark: SparkSession, folder: str) -> DataFrame:
     return benchmark.answer_matrix(_runs(spark, folder), cat.price_table(spark), cat.BENCH_QUESTIONS, models)
 
 
+def _region_late(spark: SparkSession, folder: str) -> DataFrame:
+    totals = _model(spark, folder).state_totals()
+    return questions.region_with_highest_late_rate(gold.gold_state(totals), totals)
+
+
 def _bounded(spark: SparkSession, folder: str) -> DataFrame:
     return adhoc.bounded(silver.payments_per_order(_lines(spark, folder)), adhoc.AGENT_ROWS, F.desc("paid"), "order_id")
 
@@ -119,7 +124,7 @@ def queries() -> dict[str, Query]:
     return {
         "bronze_counts": bronze_counts,
         "gdp_seed": gdp_seed,
-        "silver_delivered": lambda s, d: silver.delivered(_model(s, d).facts),
+        "silver_delivered": lambda s, d: _model(s, d).delivered(),
         "silver_items": lambda s, d: silver.items_per_order(_lines(s, d)),
         "silver_payments": lambda s, d: silver.payments_per_order(_lines(s, d)),
         "silver_reviews": lambda s, d: silver.review_scores(star.reviews(_events(s, d)), "customer_id"),
@@ -131,6 +136,7 @@ def queries() -> dict[str, Query]:
         "gold_scan": _gold_scan,
         "gold_with_fallback": _gold_with_fallback,
         **{name: _gold(job) for name, job in {**reports.DASHBOARD, **reports.ANSWERS}.items()},
+        "q_region_late": _region_late,
         "dq_report": lambda s, d: quality.run_checks(star.bronze(s, d), STAR_CHECKS),
         "guardrail": _guardrail,
         "complexity": lambda s, d: question_log.complexity(_questions(s, d)),

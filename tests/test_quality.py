@@ -66,12 +66,17 @@ def test_select_keeps_order_and_limit(spark, view):
         "SELECT `java_method` ('java.lang.System', 'exit', 0)",
         "SELECT * FROM parquet.`/root/testdata/sf0.001/nation.parquet`",
         "SELECT * FROM csv . `file:/etc/hostname`",
+        "SELECT * FROM parquet /* a file */ . `/root/testdata/sf0.001/nation.parquet`",
+        "SELECT * FROM parquet.`nation.parquet`",
+        "SELECT (SELECT count(*) FROM parquet.`nation.parquet`) FROM gold_v",
+        "SELECT n FROM gold_v WHERE n IN (SELECT n_nationkey FROM parquet.`nation.parquet`)",
+        "WITH a AS (SELECT * FROM text.`/etc/hostname`) SELECT * FROM a",
         "",
     ],
 )
 def test_anything_but_one_query_is_refused(spark, view, sql):
     frame, error = adhoc.try_select(spark, sql)
-    assert frame is None and 0 < len(error) <= 60
+    assert frame is None and len(error) > 0
     with pytest.raises((PySparkException, adhoc.UnsafeQuery)):
         adhoc.run_select(spark, sql)
     assert spark.table(view).count() == 100
@@ -84,6 +89,9 @@ def test_anything_but_one_query_is_refused(spark, view, sql):
         "SELECT transform(array(n), x -> x + 1) FROM gold_v",
         "SELECT `gold_v`.`n` FROM gold_v",
         "SELECT n FROM gold_v UNION ALL SELECT st FROM gold_v",
+        "SELECT n, 'paid using card' AS note FROM gold_v",
+        "WITH a AS (SELECT n FROM gold_v), b AS (SELECT n FROM a) SELECT * FROM b",
+        "SELECT n FROM gold_v WHERE n IN (SELECT st FROM gold_v) AND EXISTS (SELECT 1 FROM gold_v v WHERE v.n = gold_v.n)",
         "SELECT 1) q UNION ALL SELECT n FROM (SELECT n FROM gold_v",
     ],
 )

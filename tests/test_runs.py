@@ -7,7 +7,10 @@ from decimal import Decimal, ROUND_HALF_UP
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from goldpan import catalog as cat
+from goldpan.functions.measures import cost_micros
 from goldpan.operators import benchmark as bm
 from goldpan.operators import question_log as ql
 from goldpan.sources import star_tables as star
@@ -80,7 +83,7 @@ def test_records_have_one_shape(spark, runs):
         True, cat.TOO_SHORT_MESSAGE, None, None,
     )
     assert (found[5].llm, found[5].resposta, found[5].tokens_input) == (None, cat.NO_MODEL_MESSAGE, None)
-    assert found[6].erro == ("Erro LLM: " + "x" * 300)[:200] and found[6].resposta is None
+    assert found[6].erro == "Erro LLM: " + "x" * 300 and found[6].resposta is None
     assert (found[0].custo_rotulo, found[7].custo_rotulo, found[4].custo_rotulo) == ("$0.002550", "Gratuito", None)
     assert found[2].resultado is None and found[8].resultado is None
 
@@ -206,3 +209,22 @@ def test_grounding_keeps_the_first_rows_of_a_big_group(spark):
     found = {r.id: r.rows_json for r in ql.grounding(frame, 3).collect()}
     assert found[1] == '[{"position":0,"v":0},{"position":1,"v":2},{"position":2,"v":4}]'
     assert len(found) == 10
+
+
+def test_messages_without_turn_or_conversation_are_kept(spark):
+    rows = [(1, 5, "user", "a"), (1, None, "user", "b"), (None, 3, "user", "c"), (1, 7, "user", "d"), (None, None, "user", "e")]
+    chat = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.position, r.text) for r in ql.newest_first(chat, width=2).collect()}
+    assert found == {(1, 1, "d"), (1, 2, "a"), (1, 3, "b"), (None, 1, "c"), (None, 2, "e")}
+
+
+def test_fine_prices_are_exact(spark):
+    cost = cost_micros(F.col("i"), F.col("o"), F.col("p"), F.col("q"))
+    row = spark.sql("SELECT 1000000L i, 10L o, 0.075 p, CAST(NULL AS decimal(6,3)) q").select(cost.alias("c")).first()
+    assert row.c == 75_000
+
+
+def test_more_preview_rows_than_spark_limits_by_task_are_refused(spark):
+    rows = spark.createDataFrame([(1, 1, 2)], "id long, position int, part int")
+    with pytest.raises(ValueError):
+        ql.grounding(rows, 5_000)
