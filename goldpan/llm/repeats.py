@@ -18,6 +18,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,30 +69,50 @@ def blocks(low: int, high: int, width: int):
     return [(a, min(a + width - 1, high)) for a in range(low, high + 1, width)]
 
 
-def settled(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose span repeats, and one row for each span of a core that repeats while some of its spans do not.
+def settled(rows: DataFrame) -> DataFrame:
+    """The rows that go on, with ``repeats``: wanted rows whose span repeats, and rows of cores that are open.
 
-    ``rows`` have core, span, key, at, low, high and ``wanted``. Of the second result, rows with a repeated span are there to be
-    compared with (``wanted`` false).
+    ``rows`` have core, span, key and spot. Of a core that repeats while some wanted span of it does not, the latter are open; one row of each
+    other span stays beside them to be compared with. Places are told apart by their hash, so both groupings are on plain longs.
     """
-    place = F.struct("key", "at")
-    spans = rows.groupBy("core", "span").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("wanted").alias("wanted"), F.min("low").alias("low"), F.max("high").alias("high"))
-    spans = stored(spans.withColumn("repeats", F.col("lo") != F.col("hi")).drop("hi"), "spans")
-    again = rows.where("wanted").join(spans.where("repeats").select("core", "span"), ["core", "span"], "left_semi")
-    cores = spans.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max(~F.col("repeats") & F.col("wanted")).alias("open"))
-    open_ = spans.join(cores.where("n > 1 AND open").select("core"), "core").select("core", "lo.key", "lo.at", "low", "high", (F.col("wanted") & ~F.col("repeats")).alias("wanted"))
-    return again.select("key", "at", "low", "high"), open_
+    place = F.xxhash64("key", "spot")
+    spans = rows.groupBy("core", "span").agg(F.min(place).alias("one"), F.max(place).alias("other"), F.max(wanted()).alias("asked"))
+    repeats = F.col("one") != F.col("other")
+    cores = spans.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max(~repeats & F.col("asked")).alias("open"))
+    spans = spans.join(cores, "core").withColumn("open", F.col("open") & (F.col("n") > 1)).withColumn("repeats", repeats)
+    spans = spans.where("repeats OR open").select("core", "span", "one", "repeats", "open")
+    found = rows.join(spans, ["core", "span"])
+    again, compared = found["repeats"] & wanted(), found["open"] & (~found["repeats"] | (place == found["one"]))
+    return found.where(again | compared).select(*rows.columns, again.alias("repeats"), compared.alias("compared"))
 
 
-_ROWS = "core binary, span binary, key binary, at int, low int, high int, wanted boolean"
+def spot(at: int, low: int, high: int, asked: bool) -> int:
+    """Position, block and whether an answer is wanted for it, in one long."""
+    return at << 21 | low << 11 | high << 1 | asked
 
 
-def digest(*parts: bytes) -> bytes:
+def wanted():
+    return F.col("spot").bitwiseAND(F.lit(1)) == 1
+
+
+def unspot(value: int) -> tuple[int, int, int, bool]:
+    return value >> 21, value >> 11 & 1023, value >> 1 & 1023, bool(value & 1)
+
+
+_ROWS = "core long, span long, key binary, spot long"
+
+
+def longs(*parts: bytes) -> tuple[int, int]:
+    """A digest of 128 bits over the parts, as two longs."""
     made = xxhash.xxh3_128()
     for part in parts:
         made.update(len(part).to_bytes(4, "little"))
         made.update(part)
-    return made.digest()
+    made = made.intdigest()
+    return (made >> 64) - (1 << 63), (made & _LOW) - (1 << 63)
+
+
+_LOW = (1 << 64) - 1
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400) -> DataFrame:
@@ -103,137 +124,124 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     keyed = keyed.withColumn("key", F.unhex(F.md5("text")))
-    # one row per different text, bucketed, so that no later join shuffles text
+    # one row per different text, compressed and bucketed, so that no later join shuffles text
     name = f"llm_texts_{uuid.uuid4().hex}"
-    texts = keyed.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press(x.as_py()) for x in batch.column(1)], pa.binary())], ["key", "packed"])
+
+    texts = keyed.select("key", "text").mapInArrow(pack, "key binary, packed binary")
+    texts = texts.groupBy("key").agg(F.first("packed").alias("packed"), F.count(F.lit(1)).alias("copies"))
     texts.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").saveAsTable(name)
     texts = spark.table(name)
     reach = least - PREFIX  # starts that a position stands for reach so far before it
 
-    def anchors(batches):
-        for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1)):
-                at, value = positions(text.as_py(), least)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array([key.as_py()] * len(at), pa.binary()), pa.array(at, pa.int32()), pa.array(value.view(np.int64))], ["key", "at", "value"])
-
-    def gathered(batches):
-        """Few batches instead of one per text."""
-        held, size = [], 0
-        for batch in anchors(batches):
-            held.append(batch)
-            size += batch.num_rows
-            if size > 20_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, size = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    found = stored(texts.select("key", "text").mapInArrow(gathered, "key binary, at int, value long"), "positions")
-    place = F.struct("key", "at")
-    again = found.groupBy("value").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("value")
-    wanted = found.join(again, "value", "left_semi").groupBy("key").agg(F.collect_list("at").alias("ats"))
-
-    def first_blocks(batches):
-        for batch in batches:
+    def batched(make, kinds, names):
+        """A function on batches: the rows that ``make`` gives for each input row, in batches of some thousands."""
+
+        def run(batches):
             rows = []
-            for key, text, ats in zip(batch.column(0), batch.column(1), batch.column(2)):
-                key, data = key.as_py(), text.as_py()
-                for at in ats.as_py():
-                    for number, (low, high) in enumerate(blocks(0, reach, WIDTHS[0])):
-                        if max(low, at + least - len(data)) > min(high, at):
-                            continue
-                        core = xxhash.xxh3_128_digest(data[at - low : at - high + least], seed=number)
-                        whole = at >= high and at - low + least <= len(data)
-                        span = xxhash.xxh3_128_digest(data[at - high : at - low + least] if whole else key + at.to_bytes(8, "little"), seed=number + 100)
-                        rows.append((core, span, key, at, low, high))
-                if len(rows) > 20_000:
-                    yield made(rows)
-                    rows = []
+            unpack = zstandard.ZstdDecompressor().decompress
+            for batch in batches:
+                for row in zip(*batch.columns):
+                    rows.extend(make(unpack, *row))
+                    if len(rows) > 20_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+                        rows = []
             if rows:
-                yield made(rows)
-
-    def made(rows):
-        kinds = (pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
-        columns = [pa.array(x, k) for x, k in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array([True] * len(rows))], ["core", "span", "key", "at", "low", "high", "wanted"])
-
-    rows = stored(texts.select("key", "text").join(wanted, "key").mapInArrow(first_blocks, _ROWS), "blocks")
-    done, open_ = settled(rows)
-    repeats = [done]
-
-    def sides(batches):
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+
+        return run
+
+    long, binary = pa.int64(), pa.binary()
+
+    def anchors(unpack, key, packed):
+        at, value = positions(unpack(packed.as_py()), least)
+        key = key.as_py()
+        return [(key, *x) for x in zip(at.tolist(), value.view(np.int64).tolist())]
+
+    found = texts.select("key", "packed").mapInArrow(batched(anchors, (binary, pa.int32(), long), ["key", "at", "value"]), "key binary, at int, value long")
+    found = stored(found, "positions")
+    place = F.xxhash64("key", "at")
+    again = found.groupBy("value").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("one <> other").select("value")
+    ats = found.join(again, "value", "left_semi").groupBy("key").agg(F.collect_list("at").alias("ats"))
+
+    def first_blocks(unpack, key, packed, ats):
+        key, data = key.as_py(), unpack(packed.as_py())
+        for at in ats.as_py():
+            for number, (low, high) in enumerate(blocks(0, reach, WIDTHS[0])):
+                if max(low, at + least - len(data)) > min(high, at):
+                    continue
+                core = longs(bytes([number]), data[at - low : at - high + least])[0]
+                whole = at >= high and at - low + least <= len(data)
+                span = longs(data[at - high : at - low + least]) if whole else longs(key, at.to_bytes(8, "little"))
+                yield core, span[1], key, spot(at, low, high, True)
+
+    names = ["core", "span", "key", "spot"]
+    rows = texts.select("key", "packed").join(ats, "key").mapInArrow(batched(first_blocks, (long, long, binary, long), names), _ROWS)
+    result = [stored(settled(stored(rows, "blocks")), "settled")]
+
+    def sides(unpack, key, packed, items):
         """The bytes around the cores of open blocks, as far as the block's strings reach and the text goes."""
-        for batch in batches:
-            out = []
-            for key, text, items in zip(batch.column(0), batch.column(1), batch.column(2)):
-                key, data = key.as_py(), text.as_py()
-                for x in items.as_py():
-                    at, low, high = x["at"], x["low"], x["high"]
-                    before, after = data[max(0, at - high) : at - low], data[at - high + least : at - low + least]
-                    out.append((x["core"], before, after, key, at, low, high, x["wanted"]))
-            if out:
-                kinds = (pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], ["core", "before", "after", "key", "at", "low", "high", "wanted"])
-
-    by_text = open_.groupBy("key").agg(F.collect_list(F.struct("core", "at", "low", "high", "wanted")).alias("items"))
-    state = "core binary, before binary, after binary, key binary, at int, low int, high int, wanted boolean"
-    current = texts.select("key", "text").join(by_text, "key").mapInArrow(sides, state)
+        key, data = key.as_py(), unpack(packed.as_py())
+        for x in items.as_py():
+            at, low, high, _ = unspot(x["spot"])
+            yield x["core"], data[max(0, at - high) : at - low], data[at - high + least : at - low + least], key, x["spot"]
+
+    open_ = result[0].where("compared").withColumn("spot", F.when(F.col("repeats"), F.col("spot") - 1).otherwise(F.col("spot")))
+    by_text = open_.groupBy("key").agg(F.collect_list(F.struct("core", "spot")).alias("items"))
+    state = ["core", "before", "after", "key", "spot"]
+    current = texts.select("key", "packed").join(by_text, "key")
+    current = current.mapInArrow(batched(sides, (long, binary, binary, binary, long), state), "core long, before binary, after binary, key binary, spot long")
 
     def splitter(width: int):
-        def split(batches):
-            for batch in batches:
-                out = []
-                for core, before, after, key, at, low, high, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                    for number, (a, b) in enumerate(blocks(low, high, width)):
-                        left, right = a - low, high - b  # bytes that the core gains
-                        if len(before) < left or len(after) < right or high - len(after) > low + len(before):
-                            continue
-                        reach_left, reach_right = before[: len(before) - left][-(b - a) :] if b > a else b"", after[right : right + b - a]
-                        grown = digest(core, bytes([number]), before[len(before) - left :], after[:right])
-                        whole = len(reach_left) == b - a == len(reach_right)
-                        span = digest(grown, reach_left, reach_right) if whole else digest(grown, key, at.to_bytes(8, "little"))
-                        out.append((grown, span, key, at, a, b, wanted, reach_left, reach_right))
-                if out:
-                    kinds = (pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], ["core", "span", "key", "at", "low", "high", "wanted", "before", "after"])
+        def split(_, core, before, after, key, place):
+            core, before, after, key = core.as_py(), before.as_py(), after.as_py(), key.as_py()
+            at, low, high, asked = unspot(place.as_py())
+            for number, (a, b) in enumerate(blocks(low, high, width)):
+                left, right = a - low, high - b  # bytes that the core gains
+                if len(before) < left or len(after) < right or high - len(after) > low + len(before):
+                    continue
+                kept = len(before) - left
+                reach_left, reach_right = before[max(0, kept - (b - a)) : kept], after[right : right + b - a]
+                grown = longs(core.to_bytes(8, "little", signed=True), bytes([number]), before[kept:], after[:right])
+                own = [x.to_bytes(8, "little", signed=True) for x in grown]
+                whole = len(reach_left) == b - a == len(reach_right)
+                span = longs(*own, reach_left, reach_right) if whole else longs(*own, key, at.to_bytes(8, "little"))
+                yield grown[0], span[1], key, spot(at, a, b, asked), reach_left, reach_right
 
         return split
 
     for width in WIDTHS[1:]:
-        rows = stored(current.mapInArrow(splitter(width), _ROWS + ", before binary, after binary"), "blocks")
-        done, open_ = settled(rows)
-        repeats.append(done)
-        if width > 1:
-            known = rows.select("core", "key", "at", "before", "after")
-            current = open_.join(known, ["core", "key", "at"]).select("core", "before", "after", "key", "at", "low", "high", "wanted")
-
-    spans = repeats[0]
-    for more in repeats[1:]:
-        spans = spans.union(more)
-    spans = spans.select("key", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + least).alias("stop"))
-    spans = stored(spans, "repeats").groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-
-    def cut(batches):
-        for batch in batches:
-            out = []
-            for key, text, copies, found in zip(*batch.columns):
-                data = text.as_py()
-                pairs = [(0, len(data))] if copies.as_py() > 1 and len(data) >= least else sorted((x["start"], x["stop"]) for x in found.as_py() or ())
-                kept, at, gone, n = hashlib.sha256(), 0, 0, 0
-                last = -1
-                for start, stop in pairs:
-                    if start > last:
-                        n += 1
-                        kept.update(data[at:start])
-                    if stop > last:
-                        gone += stop - max(start, last)
-                        last = at = stop
-                kept.update(data[at:])
-                out.append((key.as_py(), len(data), gone, n, kept.hexdigest()))
-            if out:
-                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    result = texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(cut, "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return keyed.select("doc_id", "key").join(stored(result, "cut"), "key").drop("key")
+        kinds = (long, long, binary, long, binary, binary)
+        rows = current.mapInArrow(batched(splitter(width), kinds, [*names, "before", "after"]), _ROWS + ", before binary, after binary")
+        result.append(stored(settled(stored(rows, "blocks")), "settled"))
+        asked = F.when(F.col("repeats"), F.col("spot") - 1).otherwise(F.col("spot"))
+        current = result[-1].where("compared").select("core", "before", "after", "key", asked.alias("spot"))
+
+    spans = result[0].where("repeats").select("key", "spot")
+    for more in result[1:]:
+        spans = spans.union(more.where("repeats").select("key", "spot"))
+    spans = spans.groupBy("key").agg(F.collect_list("spot").alias("spots"))
+
+    def cut(unpack, key, packed, copies, spots):
+        data = unpack(packed.as_py())
+        pairs = sorted((at - high, at - low + least) for at, low, high, _ in map(unspot, spots.as_py() or ()))
+        if copies.as_py() > 1 and len(data) >= least:
+            pairs = [(0, len(data))]
+        kept, at, gone, n, last = hashlib.sha256(), 0, 0, 0, -1
+        for start, stop in pairs:
+            if start > last:
+                n += 1
+                kept.update(data[at:start])
+            if stop > last:
+                gone += stop - max(start, last)
+                last = at = stop
+        kept.update(data[at:])
+        yield key.as_py(), len(data), gone, n, kept.hexdigest()
+
+    done = texts.join(spans, "key", "left").select("key", "packed", "copies", "spots")
+    done = done.mapInArrow(batched(cut, (binary, long, long, long, pa.string()), ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return keyed.select("doc_id", "key").join(stored(done, "cut"), "key").drop("key")

@@ -1,0 +1,42 @@
+"""The corpus pipeline: each stage against a plain version on its own input."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from goldpan.llm import decontaminate, minhash
+
+
+def test_stages_keep_columns_and_clean_documents(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder).cache()
+        assert out.columns == docs.columns
+        before, after = ({r.doc_id: r.text for r in f.collect()} for f in (docs, out))
+        gone = before.keys() - after.keys()
+        assert after.keys() <= before.keys()
+        if name == "toxicity":
+            toxic = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").where("toxic = 1").collect()}
+            labelled = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+            assert len(gone & toxic) >= 0.7 * len(toxic) and len((gone & labelled) - toxic) <= 0.02 * len(labelled)
+        elif name == "minhash_near_dedup":
+            assert gone == {r.doc_id for r in minhash.near_duplicates(docs, size=5).where("NOT kept").collect()} != set()
+        elif name == "benchmark_decontamination":
+            items = spark.read.parquet(f"{folder}/benchmark.parquet")
+            assert gone == {r.doc_id for r in decontaminate.contaminated(docs, items).collect()} != set()
+        else:
+            assert not gone and 0 < sum(before[i] != after[i] for i in before) < len(before) / 2
+        docs = out
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_stages_take_odd_rows(spark, folder):
+    rows = [(1, None), (2, ""), (3, "same words in this text here"), (4, "same words in this text here"), (None, "no id"), (5, "twice"), (5, "twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.lit(0).cast("long")})
+    out = corpus_pipeline.near_duplicates(spark, docs, folder).collect()
+    assert sorted((r.doc_id or 0) for r in out) == [0, 1, 2, 3, 5]
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), folder).collect() == []
+        stage(spark, docs, folder).collect()
