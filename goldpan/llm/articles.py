@@ -44,7 +44,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 GOOD, BAD, SHORT, NEAR = "good", "bad", "short", "near"
 #: Thresholds of the rules: link density, stop-word density, lengths in characters.
-LINKS, STOPS_LOW, STOPS_HIGH, LENGTH_LOW, LENGTH_HIGH = 0.33, 0.12, 0.20, 70, 200
+LINKS, STOPS_LOW, STOPS_HIGH, LENGTH_LOW, LENGTH_HIGH = 0.33, 0.12, 0.20, 70, 100
 
 
 class Block:
@@ -151,7 +151,7 @@ def second_pass(labels: list[str]) -> list[bool]:
         elif label == NEAR:
             kept.append(True)
         else:
-            kept.append((before[k] if k - before[k][1] <= after[k][1] - k else after[k])[0] == GOOD)
+            kept.append((before[k] if k - before[k][1] < after[k][1] - k else after[k])[0] == GOOD)
     return kept
 
 

@@ -15,7 +15,7 @@ PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "token": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
-    "phone": r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?(?:[ -]?[0-9]{2,4}){2,3}(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?(?:[ -]?[0-9]{2,4}){2,3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
