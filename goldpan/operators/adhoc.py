@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 AGENT_ROWS = 20
+BENCH_ROWS = 10
 PREVIEW_ROWS = 5
 
 

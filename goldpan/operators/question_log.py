@@ -112,6 +112,31 @@ def prompts(questions: DataFrame, schema: str, text_col: str = "text", id_col: s
     return allowed.select(F.col(id_col).alias("id"), prompt.alias("prompt"))
 
 
+def question_plan(
+    questions: DataFrame, providers: dict[str, bool], schema: str, text_col: str = "text", id_col: str = "id"
+) -> DataFrame:
+    """(id, blocked, reason, words, complexity, llm, prompt): screening, complexity, model and prompt in one scan.
+
+    A blocked question has no model and no prompt, and neither has an allowed one without a provider to ask.
+    """
+    planned = with_screening(questions, text_col).withColumn("words", tx.word_count(F.col(text_col)))
+    planned = planned.withColumn("complexity", complexity_of(F.col("words")))
+    planned = planned.withColumn("llm", F.when(~F.col("blocked"), _automatic_model(F.col("complexity"), providers)))
+    prompt = F.concat(F.lit(f"Responda só com SQL.\n{schema}\nPergunta: "), F.col(text_col), F.lit("\nSQL:"))
+    prompt = F.when(F.col("llm").isNotNull(), prompt)
+    return planned.select(F.col(id_col).alias("id"), "blocked", "reason", "words", "complexity", "llm", prompt.alias("prompt"))
+
+
+def interpretation_prompts(asked: DataFrame, results: DataFrame, n: int = 20) -> DataFrame:
+    """(id, prompt): each question of ``asked`` (id, text) and its first ``n`` result rows, to be put into words.
+
+    Questions without result rows have no prompt. Rows of other questions are dropped before they are ranked.
+    """
+    rows = grounding(results.join(asked.select("id"), "id", "left_semi"), n)
+    prompt = F.concat(F.lit("Pergunta: "), F.col("text"), F.lit("\nDados: "), F.col("rows_json"), F.lit("\nResposta:"))
+    return asked.join(rows, "id").select("id", prompt.alias("prompt"))
+
+
 def grounding(results: DataFrame, n: int = 20, id_col: str = "id") -> DataFrame:
     """(id, rows_json): the first ``n`` result rows of each question by position, as one JSON text.
 

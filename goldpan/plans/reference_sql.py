@@ -185,6 +185,17 @@ def _others(table: str, column: str, values: list[str]) -> str:
     )
 
 
+def _interpretation(n: int) -> str:
+    return (
+        f"WITH {_RUNS}, shown AS (SELECT id, CAST(to_json(list({{'position': position, 'event_type': event_type, "
+        "'cents': cents} ORDER BY position)) AS VARCHAR) AS rows_json FROM (SELECT user_id AS id, event_id AS position, "
+        "event_type, CAST(floor(value * 100 + 0.5) AS BIGINT) AS cents, "
+        f"row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events) WHERE n <= {n} GROUP BY id) "
+        "SELECT id, 'Pergunta: ' || text || chr(10) || 'Dados: ' || rows_json || chr(10) || 'Resposta:' AS prompt "
+        "FROM shown JOIN (SELECT user_id AS id, arg_min(question, run_id) AS text FROM runs GROUP BY user_id) USING (id)"
+    )
+
+
 def _from_gold(select: str) -> str:
     return f"WITH {_LAYERS} {select}"
 
@@ -339,6 +350,16 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {_QUESTIONS} SELECT id, 'Responda só com SQL.' || chr(10) || {_quoted(_SCHEMA_TEXT)} || chr(10) || "
             f"'Pergunta: ' || text || chr(10) || 'SQL:' AS prompt FROM asked WHERE ({_REASON}) IS NULL"
         ),
+        "question_plan": (
+            f"SELECT id, blocked, reason, words, complexity, llm, CASE WHEN llm IS NOT NULL THEN 'Responda só com SQL.' "
+            f"|| chr(10) || {_quoted(_SCHEMA_TEXT)} || chr(10) || 'Pergunta: ' || text || chr(10) || 'SQL:' END AS prompt "
+            "FROM (SELECT *, CASE WHEN blocked THEN NULL WHEN complexity = 'simple' THEN 'llama-3.1-8b-instant' "
+            "WHEN complexity = 'medium' THEN 'llama-3.3-70b-versatile' ELSE 'claude-sonnet-4-6' END AS llm "
+            f"FROM (SELECT *, reason IS NOT NULL AS blocked, {_LEVEL} AS complexity FROM (SELECT *, {_REASON} AS reason "
+            f"FROM (SELECT doc_id AS id, text, {_WORDS} AS words FROM documents))))"
+        ),
+        "interpretation_prompts": _interpretation(20),
+        "interpretation_prompts_bench": _interpretation(10),
         "grounding_table": (
             "SELECT id, CAST(to_json(list({'position': position, 'event_type': event_type, 'cents': cents} "
             "ORDER BY position)) AS VARCHAR) AS rows_json FROM (SELECT user_id AS id, event_id AS position, event_type, "

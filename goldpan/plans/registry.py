@@ -89,6 +89,23 @@ def _prompts(spark: SparkSession, folder: str) -> DataFrame:
     return question_log.prompts(_questions(spark, folder), question_log.schema_text())
 
 
+def _question_plan(spark: SparkSession, folder: str) -> DataFrame:
+    asked = star.table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return question_log.question_plan(asked, PROVIDERS, question_log.schema_text())
+
+
+def _interpretation(n: int) -> Query:
+    """The question of the user's first run with the events of that user as its result rows."""
+
+    def job(spark: SparkSession, folder: str) -> DataFrame:
+        events = _events(spark, folder)
+        asked = _runs(spark, folder).join(events.select(F.col("event_id").alias("run_id"), "user_id"), "run_id")
+        asked = asked.groupBy(F.col("user_id").alias("id")).agg(F.min_by("question", "run_id").alias("text"))
+        return question_log.interpretation_prompts(asked, star.query_results(events), n)
+
+    return job
+
+
 def _clean_sql(spark: SparkSession, folder: str) -> DataFrame:
     fenced = F.concat(F.lit(" ```sql\nSELECT '"), F.col("text"), F.lit("'\n```\n\t"))
     return question_log.clean_sql(_questions(spark, folder).withColumn("generated", fenced))
@@ -142,6 +159,9 @@ def queries() -> dict[str, Query]:
         "complexity": lambda s, d: question_log.complexity(_questions(s, d)),
         "routing": lambda s, d: question_log.route(_questions(s, d), PROVIDERS, "override"),
         "prompt_table": _prompts,
+        "question_plan": _question_plan,
+        "interpretation_prompts": _interpretation(adhoc.AGENT_ROWS),
+        "interpretation_prompts_bench": _interpretation(adhoc.BENCH_ROWS),
         "grounding_table": lambda s, d: question_log.grounding(star.query_results(_events(s, d)), adhoc.AGENT_ROWS),
         "sql_clean": _clean_sql,
         "adhoc_sql": _adhoc,
