@@ -21,6 +21,11 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def checked(frame: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A stored narrow ``frame`` marked for broadcast if it has at most ``rows`` rows; larger ones join by shuffle."""
+    return F.broadcast(frame) if frame.count() <= rows else frame
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

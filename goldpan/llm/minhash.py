@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldpan.llm.common import components, stored
+from goldpan.llm.common import checked, components, stored
 from goldpan.llm.shingles import mix, shingles
 
 PERMUTATIONS = 64
@@ -177,10 +177,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     band = stored(reps.select(F.explode("bands").alias("band"), "rep", F.col("n_shingles").alias("n")), "bands")
 
     ends = band.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select("band", "a")
+    ends = checked(stored(ends, "hubs"))
     star = band.join(ends, "band").where("a < rep").select("a", F.col("rep").alias("b"), "n").distinct()
     lengths = band.select(F.col("rep").alias("a"), F.col("n").alias("m")).distinct()
     star = stored(star.join(lengths, "a"), "pairs")
-    several = star.select(F.col("a").alias("rep")).union(star.select("b")).distinct()
+    several = checked(stored(star.select(F.col("a").alias("rep")).union(star.select("b")).distinct(), "classes"))
     texts = found.select("doc_id", "packed").join(several, F.col("doc_id") == F.col("rep"))
     texts = stored(texts.groupBy("rep").agg(F.first("packed").alias("packed")), "texts")
     close = star.where(f"100 * least(m, n) >= {percent} * greatest(m, n)").select("a", "b")
