@@ -153,6 +153,7 @@ def test_every_log_has_its_own_shared_checkpoint(spark):
             _checkpoint_for(spark, "/logs/a")
     else:
         first, second = (_checkpoint_for(spark, p) for p in ("/logs/a", "/logs/b"))
+        assert first != _checkpoint_for(spark, "/logs/a", "/runs/b")
         assert first != second and first.startswith(root.rstrip("/") + "/run_log_stream/")
 
 
