@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import shared_path
+from goldpan.llm.common import checked, shared_path, stored
 
 #: Smallest payload that is stored once for all records that share it.
 REVISIT_BYTES = 1000
@@ -34,6 +34,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     page = page.withColumns({"sha": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
     # digests only: the copies of a payload meet as one row per task
     large = page.where(F.col("size") >= least).groupBy("sha").agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    large = checked(stored(large, "payloads"))
     page = page.join(large, "sha", "left").withColumn("revisit", F.coalesce(~F.col("id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False)))
     address = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
@@ -51,9 +52,9 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     return page.select(value.alias("value"))
 
 
-def write_monolithic(found: DataFrame, path: str, files: int) -> None:
-    """Write records as ``files`` archives at most, each compressed as one stream."""
-    found.repartition(files).write.option("compression", "gzip").option("lineSep", "\r\n\r\n").text(path)
+def write_monolithic(found: DataFrame, path: str, records_per_file: int) -> None:
+    """Write records as archives of so many at most, each compressed as one stream. Every task writes what it reads, so no page is shuffled."""
+    found.write.option("compression", "gzip").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def split_stream(data) -> "list[tuple[bytes, dict[str, str]]]":
@@ -127,32 +128,34 @@ def normalise(spark: SparkSession, source: str, target: str, level: int = 4) ->
     return files.mapInArrow(run, "archive string, at long, length long, record_type string")
 
 
-def read_members(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
-    """Records of normalised archives by their places in the index, each inflated alone: headers (map of lower-case names) and block."""
+def read_members(folder: str, index: DataFrame) -> DataFrame:
+    """Records of normalised archives by their places in the index, each read and inflated alone: headers (map of lower-case names) and block."""
     places = index.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("at", "length"))).alias("places"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!_]*.warc.gz").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
 
     def run(batches):
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for content, found in zip(batch.column(0), batch.column(1)):
-                view = memoryview(content.as_buffer())
+            for archive, found in zip(batch.column(0), batch.column(1)):
                 heads, blocks, held = [], [], 0
-                for place in found.as_py():
-                    record = zlib.decompress(view[place["at"] : place["at"] + place["length"]], 31)
-                    head, _, block = record.partition(b"\r\n\r\n")
-                    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
-                    heads.append([(k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in lines)])
-                    blocks.append(block[:-4])
-                    held += len(block)
-                    if held > 16 << 20:
-                        yield members(heads, blocks)
-                        heads, blocks, held = [], [], 0
+                with store.open_input_file(f"{root}/{archive.as_py()}") as file:
+                    for place in found.as_py():
+                        record = zlib.decompress(file.read_at(place["length"], place["at"]), 31)
+                        head, _, block = record.partition(b"\r\n\r\n")
+                        lines = head.decode("utf-8", "replace").split("\r\n")[1:]
+                        heads.append([(k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in lines)])
+                        blocks.append(block[:-4])
+                        held += len(block)
+                        if held > 16 << 20:
+                            yield members(heads, blocks)
+                            heads, blocks, held = [], [], 0
                 yield members(heads, blocks)
 
     def members(heads: list, blocks: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(heads, pa.map_(pa.string(), pa.string())), pa.array(blocks, pa.binary())], ["headers", "block"])
 
-    return files.join(places, "archive").select("content", "places").mapInArrow(run, "headers map<string,string>, block binary")
+    return places.mapInArrow(run, "headers map<string,string>, block binary")
 
 
 def digests(found: DataFrame, id_type: str = "long") -> DataFrame:
@@ -182,8 +185,8 @@ def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pa
     """Write pages as monolithic archives, normalise those, and read all records back through the index."""
     spark = pages.sparkSession
     raw, target, sidecar = (shared_path(spark, f"warc-{x}") for x in ("raw", "members", "index"))
-    size = pages.agg(F.sum(F.octet_length(payload_col))).first()[0] or 0
-    write_monolithic(records(pages, id_col, url_col, payload_col), raw, max(1, -(-size // ARCHIVE_BYTES)))
+    mean = pages.agg(F.avg(F.octet_length(payload_col))).first()[0] or 0
+    write_monolithic(records(pages, id_col, url_col, payload_col), raw, max(1, int(ARCHIVE_BYTES / max(mean, 1))))
     normalise(spark, raw, target).write.parquet(sidecar)
     index = spark.read.schema("archive string, at long, length long, record_type string").parquet(sidecar)
-    return digests(read_members(spark, target, index), pages.schema[id_col].dataType.simpleString())
+    return digests(read_members(target, index), pages.schema[id_col].dataType.simpleString())
