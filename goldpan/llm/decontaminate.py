@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows, in DataFrame functions only.
 
 Numbers, units and names become typed placeholders, so that a question with other values still has the same template. Windows of
-eight template words are hash-joined; what the placeholders stood for must then map one to one from item to document.
+eight template words are hash-joined; in an occurrence, each value of the item must then stand for one value of the document.
 """
 
 from __future__ import annotations
@@ -67,24 +67,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Documents and items without a text or with fewer words than a window match nothing. Rows without an id are reported
     under a null id; rows with one id are one document. Repeated items match alike. Windows made of placeholders mostly are not
-    used. A number, unit or name of the item must stand for one value throughout the document's matching windows and the
-    other way round, else the pair is dropped. Further columns are ignored; empty tables give an empty result.
+    used. An occurrence is what matches in one text at one distance between text and item. In it, a number, unit or name of the item
+    must stand for one value, else only windows with the item's own values count. Further columns are ignored; empty tables give an empty result.
     """
     items = keyed(benchmark.where(F.col(item_text).isNotNull()), item_id, item_text)
     items = items.where("window IS NOT NULL").withColumn("item_slots", marked(F.col("slot_words"))).where(f"size(item_slots) <= {WINDOW // 2}")
-    items = items.groupBy("key", "window").agg(F.first("item_slots").alias("item_slots"))
-    sizes = items.groupBy("key").agg(F.count(F.lit(1)).alias("windows"))
-    items = items.select(F.col("key").alias("item"), F.col("window").alias("item_window"), "item_slots")
+    items = items.select(F.col("key").alias("item"), F.col("at").alias("item_at"), F.col("window").alias("item_window"), "item_slots").distinct()
+    sizes = items.groupBy(F.col("item").alias("of")).agg(F.count_distinct("item_at").alias("windows"))
     few = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
-    found = windowed(docs.select(F.col(id_col).alias("key"), tokens(F.col(text_col)).alias("words")))
+    # rows that share an id have occurrences of their own, told apart by their texts
+    found = windowed(docs.select(F.col(id_col).alias("key"), F.xxhash64(text_col).alias("row"), tokens(F.col(text_col)).alias("words")))
     hits = found.join(F.broadcast(items) if few else items, F.col("window") == F.col("item_window"))
-    hits = hits.select("key", "item", "window", "item_slots", marked(F.slice("words", F.col("at") + 1, WINDOW)).alias("doc_slots"))
-    seen = hits.groupBy("key", "item").agg(
-        F.count_distinct("window").alias("matched"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "doc_slots")))).alias("pairs"),
-    )
-    one_to_one = (F.size(F.array_distinct(F.col("pairs.item_slots"))) == F.size("pairs")) & (F.size(F.array_distinct(F.col("pairs.doc_slots"))) == F.size("pairs"))
+    hits = hits.select("key", "row", "item", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "item_slots", marked(F.slice("words", F.col("at") + 1, WINDOW)).alias("doc_slots"))
+    seen = hits.groupBy("key", "row", "item", "shift").agg(F.collect_set(F.struct("item_at", "item_slots", "doc_slots")).alias("hits"))
+    seen = seen.withColumn("pairs", F.array_distinct(F.flatten(F.transform("hits", lambda h: F.arrays_zip(h["item_slots"].alias("item"), h["doc_slots"].alias("doc"))))))
+    one_value = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs")
+    seen = seen.withColumn("hits", F.when(one_value, F.col("hits")).otherwise(F.filter("hits", lambda h: h["item_slots"] == h["doc_slots"])))
+    seen = seen.groupBy("key", "item").agg(F.size(F.array_distinct(F.flatten(F.collect_set("hits.item_at")))).alias("matched"))
     # one row per item of a given benchmark
-    out = seen.where(one_to_one).join(sizes.withColumnRenamed("key", "of"), F.col("item") == F.col("of"))
+    out = seen.join(sizes, F.col("item") == F.col("of"))
     out = out.withColumn("share", F.col("matched") / F.col("windows")).where(F.col("share") >= COVERAGE)
-    return out.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "windows", "matched", "share")
+    return out.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "windows", F.col("matched").cast("long").alias("matched"), "share")

@@ -186,6 +186,19 @@ def test_other_values_are_still_caught(spark):
     assert decontaminate.contaminated(frame, benchmark.limit(0)).collect() == []
 
 
+def test_values_are_compared_within_one_occurrence(spark):
+    item = "a train leaves the old station with 12 wagons and 12 guests and meets Maria after 30 km of slow travel"
+    twice = "the price of the box is 5 dollars and the price of the box is 7 dollars so what is the sum of both"
+    other = lambda n, km: item.replace("12", n).replace("30", km)
+    docs = [
+        (1, f"First: {item}. Then: {other('47', '95')}."), (2, f"First: {other('3', '8')}. Then: {other('47', '95')}."), (3, twice), (4, other("30", "30")),
+        (5, item), (5, other("47", "95")), (6, item.replace("12 guests", "13 guests")), (7, other("47", "95").replace("old station", "old and cold station")),
+    ]
+    benchmark = spark.createDataFrame([(1, item), (2, twice)], "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark)
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 1), (2, 1), (3, 2), (4, 1), (5, 1), (7, 1)]
+
+
 def test_benchmark_passages_are_found_as_by_brute_force(spark, folder):
     docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     split = lambda t: re.findall(r"[^\W_]+", t.lower())
