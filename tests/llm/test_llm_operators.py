@@ -199,6 +199,22 @@ def test_values_are_compared_within_one_occurrence(spark):
     assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 1), (2, 1), (3, 2), (4, 1), (5, 1), (7, 1)]
 
 
+def test_items_of_every_kind_are_caught(spark):
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(80)]
+    items = [
+        (1, "What is 12 times 7?"), (2, "Sort 9 4 7 1 3 8 2 6 0 5 11 14 13 12 and add 2"), (None, "an item without any id of its own has words enough"), (4, " ".join(words)),
+        (5, "7"), (6, "the sum of 3 apples and 4 pears and 5 plums is 12 so what is 3 4 5 12 6 7 8 9 10 11 13 14 15 16 17 18 of it"), (7, "!"),
+    ]
+    docs = [
+        (1, "They asked What is 12 times 7? and left"), (2, "Then: sort 9 4 7 1 3 8 2 6 0 5 11 14 13 12 and add 2."), (3, "x " + items[2][1]), (4, "intro " + " ".join(words[30:52]) + " outro"),
+        (5, "what is 15 times 30"), (6, "there are 8 9 5 3 1 2 4 6 0 10 11 of them"), (8, "intro " + " ".join(words[30:42]) + " outro"), (9, "!"), (10, ""),
+        (11, "the sum of 30 apples and 40 pears and 50 plums is 120 so what is 30 40 50 120 60 70 80 90 100 110 130 140 150 160 170 180 of it"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()}
+    assert found == {(1, 1), (1, 5), (2, 2), (2, 5), (3, None), (4, 4), (5, 1), (11, 6)}
+
+
 def test_benchmark_passages_are_found_as_by_brute_force(spark, folder):
     docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     split = lambda t: re.findall(r"[^\W_]+", t.lower())
