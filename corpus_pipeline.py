@@ -10,6 +10,16 @@ from goldpan.llm.common import stored, table
 from goldpan.llm.queries import KEY, TOKENIZER, held_out
 
 
+def rows_of(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key ``row`` made of each row's id and text: it tells rows without an id, or with the same id, apart.
+
+    The key is a function of the row, so that it is the same whenever it is computed; rows with equal ids and texts share it.
+    """
+    # a null and its name as text differ, and so do a null text and an empty one
+    parts = [F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c)) for c in (F.col("doc_id").cast("string"), F.col("text"))]
+    return docs.withColumn("row", F.sha2(F.concat(*parts), 256))
+
+
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled rows of ``docs``, scores below its threshold."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), lambda i: ~held_out(i))
@@ -17,22 +27,34 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; documents without an id stay."""
-    kept = minhash.near_duplicates(docs, size=5)
-    dropped = kept.where("NOT kept").select("doc_id").distinct()
-    repeated = kept.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    out = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    if repeated.isEmpty():
-        return out
-    twice = out.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return out.join(repeated, "doc_id", "left_anti").select(docs.columns).union(twice.select(docs.columns))
+    """One row of each group of near duplicates, that with the smallest id (then digest of the row); rows without an id stay.
+
+    Rows that share an id are documents of their own, but of those with equal texts, one is kept.
+    """
+    has_id = docs.where("doc_id IS NOT NULL")
+    if has_id.groupBy("doc_id").count().where("count > 1").isEmpty():
+        dropped = minhash.near_duplicates(has_id, size=5).where("NOT kept").select("doc_id")
+        return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    # keys of id and row sort as the ids do; they are long, so they are used only where ids repeat
+    number = F.col("doc_id").cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")
+    whole = dict(docs.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint")
+    name = F.lpad(number.cast("string"), 20, "0") if whole else F.col("doc_id").cast("string")
+    rows = rows_of(docs)
+    keyed = rows.where("doc_id IS NOT NULL").select(F.concat(name, F.lit("\x01"), "row").alias("doc_id"), "text")
+    dropped = minhash.near_duplicates(keyed, size=5).where("NOT kept").select(F.substring_index("doc_id", "\x01", -1).alias("row")).distinct()
+    out = rows.join(dropped, "row", "left_anti")
+    # rows with equal ids and texts: one of them, the same each time
+    twice = rows.where("doc_id IS NOT NULL").groupBy("row").count().where("count > 1").select("row")
+    one = out.join(twice, "row", "left_semi").groupBy("row").agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*")
+    return out.join(twice, "row", "left_anti").select(docs.columns).union(one.select(docs.columns))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    # few documents hold items; a null id among them is compared as a value
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti").select(docs.columns)
+    """Rows that hold no benchmark item; a row is judged by its own text, whatever its id."""
+    rows = rows_of(docs)
+    found = decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark"), id_col="row").select(F.col("doc_id").alias("row")).distinct()
+    # few documents hold items
+    return rows.join(found, "row", "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,3 +40,14 @@ def test_stages_take_odd_rows(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), folder).collect() == []
         stage(spark, docs, folder).collect()
+
+
+def test_rows_without_an_id_or_with_the_same_are_judged_alone(spark, folder):
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    clean = [f"the {k}th clean text speaks of quite other things than its neighbours with words like a{k} b{k} c{k} d{k} e{k}" for k in range(4)]
+    rows = [(None, item), (None, clean[0]), (None, clean[1]), (7, item), (7, clean[2]), (7, clean[3]), (8, clean[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.lit(0).cast("long")})
+    left = corpus_pipeline.leaks(spark, docs, folder).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in left) == sorted(((i or 0), t) for i, t in rows if t != item)
+    kept = corpus_pipeline.near_duplicates(spark, docs, folder).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in kept) == sorted(((i or 0), t) for i, t in rows[:-1])
