@@ -39,7 +39,14 @@ AROUND = re.compile(
 )
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_CLOSES = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in HIDDEN}
+#: Hidden elements whose content is no mark-up; unclosed, they reach to the end of the page.
+RAW = {"script", "style", "iframe", "textarea"}
+#: What a head may hold; anything else ends it.
+IN_HEAD = {"base", "link", "meta", "title", "script", "style", "noscript", "template"}
+_CLOSES = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in {*HIDDEN, "title"}}
+#: Names that tell whether or how a page has such a part, and names of parts that hold articles of others.
+_MODIFIERS = re.compile(r"(?:^|(?<=\s))(?:(?:no|has|with|without)[_-]\S*|\S*[_-]fixed)(?=\s|$)", re.I)
+_OTHERS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|respond|disqus|related|recommended)(?:$|[\s_-])", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 GOOD, BAD, SHORT, NEAR = "good", "bad", "short", "near"
@@ -48,25 +55,78 @@ LINKS, STOPS_LOW, STOPS_HIGH, LENGTH_LOW, LENGTH_HIGH = 0.33, 0.12, 0.20, 70, 10
 
 
 class Block:
-    __slots__ = ("inside", "linked", "outside", "pieces")
+    __slots__ = ("inside", "linked", "named", "outside", "pieces")
 
-    def __init__(self, inside: bool, outside: bool):
+    def __init__(self, inside: bool, outside: bool, named: str):
         self.pieces: list[str] = []
-        self.linked, self.inside, self.outside = 0, inside, outside
+        self.linked, self.inside, self.outside, self.named = 0, inside, outside, named
+
+
+def head_end(page: str, at: int) -> int:
+    """Where a head that starts at ``at`` ends: behind its end tag, or at the first text or tag that can't be in it."""
+    while m := _TAG.search(page, at):
+        if page[at : m.start()].strip():
+            return at
+        name = (m[2] or "").lower()
+        if name == "head" and m[1]:
+            return m.end()
+        if name and name not in IN_HEAD:
+            return m.start()
+        end = _CLOSES[name].search(page, m.end()) if name in _CLOSES and not m[1] else m
+        if end is None:
+            return len(page) if name in RAW else m.end()
+        at = end.end()
+    return at
+
+
+def hidden_end(page: str, name: str, at: int, parents: set[str]) -> int:
+    """Where a hidden element whose start tag ends at ``at`` ends.
+
+    An element without an end tag ends with its parent, or at the first block in it, so that no text of the page goes with it.
+    """
+    if name == "head":
+        return head_end(page, at)
+    if name in RAW:
+        end = _CLOSES[name].search(page, at)
+        return end.end() if end else len(page)
+    depth, opened, first = 1, {}, None
+    while m := _TAG.search(page, at):
+        at, found = m.end(), (m[2] or "").lower()
+        if not found:
+            continue
+        if found == name:
+            if not m[1] and name in ("button", "select"):  # they don't nest
+                return m.start() if first is None else first
+            depth += -1 if m[1] else not m[3].endswith("/")
+            if not depth:
+                return at
+        elif not m[1]:
+            if found in RAW:
+                end = _CLOSES[found].search(page, at)
+                at = end.end() if end else len(page)
+            elif found in BLOCKS and found not in VOID:
+                opened[found] = opened.get(found, 0) + 1
+                first = m.start() if first is None else first
+        elif opened.get(found):
+            opened[found] -= 1
+        elif found in parents:
+            return m.start() if first is None else first
+    return len(page) if first is None else first
 
 
 def blocks(page: str) -> list[Block]:
     """Runs of text between block elements, with what surrounds them."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, in an article, outside of it
+    stack: list[tuple[str, bool, bool, str]] = []  # name, in an article, outside of it, outside by this class name
     inside = outside = False
+    named = ""
     links, current, at = 0, None, 0
     while True:
         m = _TAG.search(page, at)
         text = page[at : m.start() if m else len(page)]
         if text:
             if current is None:
-                current = Block(inside, outside)
+                current = Block(inside, outside, named)
                 out.append(current)
             current.pieces.append(text)
             if links:
@@ -78,8 +138,8 @@ def blocks(page: str) -> list[Block]:
             continue
         name, closing = m[2].lower(), bool(m[1])
         if name in HIDDEN and not closing:
-            end = _CLOSES[name].search(page, at)
-            at = end.end() if end else len(page)
+            if not (name in ("svg", "math") and m[3].endswith("/")):
+                at = hidden_end(page, name, at, {x[0] for x in stack})
             current = None if name in BLOCKS else current
             continue
         if name == "a":
@@ -94,26 +154,29 @@ def blocks(page: str) -> list[Block]:
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    inside, outside = stack[k][1], stack[k][2]
+                    inside, outside, named = stack[k][1:]
                     del stack[k:]
                     break
         elif name not in VOID:
             if name == "p":
                 while stack and stack[-1][0] == "p":
-                    inside, outside = stack.pop()[1:]
-            stack.append((name, inside, outside))
+                    inside, outside, named = stack.pop()[1:]
+            stack.append((name, inside, outside, named))
             marks = " ".join(x for found in _MARKS.findall(m[3]) for x in found if x) if m[3] else ""
-            if name in ("article", "main") or (marks and re.search(r"(?:^|\s)main(?:$|\s)", marks)):
-                inside = inside or not outside
+            around = _MODIFIERS.sub(" ", marks) if marks else ""
+            if name in ("article", "main") or (marks and re.search(r"(?:^|\s)main(?:$|\s)", marks) and not AROUND.search(around)):
+                if named and not _OTHERS.search(named) and not AROUND.search(around):
+                    named = ""  # an article tells more than the class of what it is in
+                inside = inside or not (outside or named)
             elif name in OUTSIDE and not (name == "header" and inside):
                 outside = True
-            if marks and name not in ("article", "main", "body", "html") and AROUND.search(marks):
-                outside = True
+            elif around and name not in ("body", "html") and AROUND.search(around):
+                named = f"{named} {around}"
 
 
 def first_pass(text: str, block: Block) -> str:
     """Label of a block on its own."""
-    if block.outside:
+    if block.outside or block.named:
         return BAD
     links = block.linked / max(1, len(text))
     if links > LINKS:
@@ -159,14 +222,20 @@ def main_text(page: str) -> str:
     """Article text of a page, one line per block."""
     found = [(" ".join(html.unescape("".join(b.pieces)).split()), b) for b in blocks(page)]
     found = [(text, b) for text, b in found if text]
-    keep = second_pass([first_pass(text, b) for text, b in found])
+    labels = [first_pass(text, b) for text, b in found]
+    if GOOD not in labels:  # then a class name around the whole page marks nothing: its long and dense blocks are looked for
+        for _, b in found:
+            if not _OTHERS.search(b.named):
+                b.named = ""
+        labels = [first_pass(text, b) for text, b in found]
+    keep = second_pass(labels)
     return "\n".join(text for (text, _), good in zip(found, keep) if good)
 
 
 def extract(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:
     """``pages`` without ``html_col``, with the main text in ``name`` (empty if there is none, or no page).
 
-    Whole pages of any length are read; unclosed elements end with the page. Repeated rows and rows with nulls in other
+    Whole pages of any length are read; unclosed elements end with the page, hidden ones with their parent or at the next block. Repeated rows and rows with nulls in other
     columns pass through. Another column called ``name`` is replaced.
     """
     others = [c for c in pages.columns if c not in (html_col, name)]

@@ -398,6 +398,18 @@ def test_article_rules():
     assert articles.main_text("") == "" and articles.main_text("<p>") == ""
 
 
+def test_no_text_is_lost_behind_unclosed_elements_or_class_names():
+    long = "This is a paragraph of the article and it has all of the words that one would look for in such a text as this one is."
+    hidden = ("<head><title>T</title>", "<head><script>'<p>'</script><meta x></head>", '<svg viewBox="0"/>', "<math/>", "<div><button>Go</div>", "<p><select><option>A</p>", "<div><object data=x></div>")
+    hidden += ("<button>Go", "<button>A</button>", "<svg><svg/><text>A</text></svg>", "<div><object><object>A</object>A</object></div>")
+    for start in hidden:
+        assert articles.main_text(f"<html>{start}<body><p>{long}</p><p>{long}<button>A</button></p></body></html>") == f"{long}\n{long}", start
+    for mark in ('class="content no-sidebar"', 'id="main" class="page-header-fixed"', 'class="has-sidebar"', 'class="page sidebar"'):
+        assert articles.main_text(f"<body><div {mark}><article><p>{long}</p></article></div></body>") == long, mark
+        assert articles.main_text(f"<body><div {mark}><p>{long}</p></div></body>") == long, mark
+    assert articles.main_text(f'<body><p>{long}</p><div class="comments"><article><p>A {long}</p></article></div><div class="sidebar"><p>B {long}</p></div></body>') == long
+
+
 def test_article_elements_are_taken_whole(spark, folder):
     import html
 
