@@ -17,7 +17,12 @@ PATTERNS = {
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "phone": r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?(?:[ -]?[0-9]{2,4}){2,3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9])",
+    "day": r"(?<![0-9A-Za-z./-])(?:"
+    + "|".join(rf"[0-9]{{1,2}}{x}[0-9]{{1,2}}{x}(?:19|20)[0-9]{{2}}|(?:19|20)[0-9]{{2}}{x}[0-9]{{1,2}}{x}[0-9]{{1,2}}" for x in ("/", r"\.", "-"))
+    + r")(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "national": r"(?<![0-9A-Za-z.+/-])(?:(?:1[ -])?(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}|(?:1[ .])?(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .])[0-9]{3}[ .][0-9]{4}"
+    r"|\(0[0-9]{1,4}\) ?[0-9]{3,8}(?:[ -][0-9]{1,5})?|0[1-9](?:[ .-][0-9]{2}){4}|0[1-9][0-9]{1,4}[ /-][0-9]{4,8})(?![0-9]|[ ./-][0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 ANY = "|".join(PATTERNS.values())
@@ -70,8 +75,8 @@ def refilled(value: Column, number: Column) -> Column:
     return done["out"]
 
 
-def lettered(value: Column, key: Column, kind: str, alphabet: str) -> Column:
-    """The characters of ``alphabet`` in ``value`` permuted in place by a keyed network of two halves; others stay."""
+def lettered(value: Column, key: Column, kind: str, *alphabets: str) -> Column:
+    """The characters of each of ``alphabets`` in ``value`` permuted in place by a keyed network of two halves; others stay."""
     size = F.length(value)
     half = F.floor(size / 2).cast("int")
 
@@ -80,8 +85,11 @@ def lettered(value: Column, key: Column, kind: str, alphabet: str) -> Column:
 
         def moved(c: Column, i: Column) -> Column:
             shift = F.conv(F.substring(told(i), ((i % 16) * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("int")
-            place = F.instr(F.lit(alphabet), c)
-            return F.when(place > 0, F.substring(F.lit(alphabet), F.pmod(place - 1 + shift, F.lit(len(alphabet))) + 1, F.lit(1))).otherwise(c)
+            out = c
+            for alphabet in alphabets:
+                place = F.instr(F.lit(alphabet), c)
+                out = F.when(place > 0, F.substring(F.lit(alphabet), F.pmod(place - 1 + shift, F.lit(len(alphabet))) + 1, F.lit(1))).otherwise(out)
+            return out
 
         return F.struct(state["b"].alias("a"), F.array_join(F.transform(F.split(state["a"], ""), moved), "").alias("b"))
 
@@ -117,17 +125,43 @@ def date(value: Column, key: Column) -> Column:
     return F.when(day.isNull() | (day >= 269 * 271), value).otherwise(shown)
 
 
+def day(value: Column, key: Column) -> Column:
+    """Dates in other forms than the standard one, permuted as that and written in their own form; no days stay.
+
+    The year may come first. Else the day comes first before a point, or if the first number is above 12; the month does otherwise, unless the second is.
+    Numbers below ten have a leading zero as long as both numbers of the value have two digits.
+    """
+    parts = F.split(value, "[./-]")
+    sign = F.regexp_extract(value, "[./-]", 0)
+    year_first = F.length(parts[0]) == 4
+    one, two = F.when(year_first, parts[1]).otherwise(parts[0]), F.when(year_first, parts[2]).otherwise(parts[1])
+    day_first = ~year_first & ((sign == ".") | (one.try_cast("int") > 12) | ((sign == "-") & (two.try_cast("int") <= 12)))
+    month, dom = F.when(day_first, two).otherwise(one), F.when(day_first, one).otherwise(two)
+    year = F.when(year_first, parts[0]).otherwise(parts[2])
+    full = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(dom, 2, "0"))
+    wide = (F.length(one) == 2) & (F.length(two) == 2)
+
+    def written(shown: Column) -> Column:
+        short = lambda c: F.when(wide, c).otherwise(F.regexp_replace(c, "^0", ""))
+        y, m, d = F.substring(shown, 1, 4), short(F.substring(shown, 6, 2)), short(F.substring(shown, 9, 2))
+        return F.when(year_first, F.concat_ws("-", y, m, d)).when(day_first, F.concat_ws("-", d, m, y)).otherwise(F.concat_ws("-", m, d, y))
+
+    done = F.transform(F.array(date(full, key)), lambda shown: F.when(shown == full, value).otherwise(F.replace(written(shown), F.lit("-"), sign)))[0]
+    return F.when(F.try_to_date(full, "yyyy-MM-dd").isNull(), value).otherwise(done)
+
+
 def pseudonym(value: Column, key: Column) -> Column:
     """The pseudonym of a found value, or the value itself where it does not validate."""
     is_kind = lambda kind: value.rlike(f"^(?:{PATTERNS[kind]})$")
     at = F.instr(value, "@")
-    user = lettered(F.substring(value, F.lit(1), at - 1), key, "email", "abcdefghijklmnopqrstuvwxyz0123456789")
+    user = lettered(F.substring(value, F.lit(1), at - 1), key, "email", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     number = digits(value)
     return (
         F.when(at > 0, F.concat(user, F.substring(value, at, F.length(value))))
         .when(is_kind("ip"), address(value, key))
         .when(is_kind("date"), date(value, key))
-        .when(is_kind("phone") | is_kind("ssn"), refilled(value, permuted(number, F.length(number), key, "phone")))
+        .when(is_kind("day"), day(value, key))
+        .when(is_kind("phone") | is_kind("ssn") | is_kind("national"), refilled(value, permuted(number, F.length(number), key, "phone")))
         .when(is_kind("card"), card(value, key))
         .when(value.rlike("[a-f]"), lettered(value, key, "token", "0123456789abcdef"))
         .otherwise(lettered(value, key, "token", "0123456789ABCDEF"))

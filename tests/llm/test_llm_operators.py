@@ -258,6 +258,20 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert pseudonyms.pseudonymise(frame.limit(0), "key").collect() == []
 
 
+def test_usual_forms_of_personal_data_are_replaced(spark):
+    forms = {
+        "JSMITH@corp.com": r"[A-Z]{6}@corp\.com", "John.Smith7@corp.com": r"[A-Z][a-z0-9]{3}\.[A-Z][a-z0-9]{5}@corp\.com", "(555) 123-4567": r"\(\d{3}\) \d{3}-\d{4}",
+        "555-123-4567": r"\d{3}-\d{3}-\d{4}", "030 12345678": r"\d{3} \d{8}", "12/03/2024": r"[01]\d/[0-3]\d/(19|20)\d\d", "25/12/2024": r"[0-3]\d/[01]\d/(19|20)\d\d",
+        "3.12.1980": r"[1-3]?\d\.1?\d\.(19|20)\d\d", "2024/02/29": r"(19|20)\d\d/[01]\d/[0-3]\d",
+    }
+    same = ["31.02.2024", "v1.2.2000", "1.2.3", "13/13/2024", "123-4567"]
+    frame = spark.createDataFrame([(v, f"a {v}, b {v}.") for v in [*forms, *same]], "value string, text string")
+    for r in pseudonyms.pseudonymise(frame, "key", count="changed").collect():
+        one, two = re.fullmatch(r"a (.*), b (.*)\.", r.text).groups()
+        assert one == two and r.changed == (0 if r.value in same else 2), r
+        assert one == r.value if r.value in same else re.fullmatch(forms[r.value], one) and one != r.value, r
+
+
 def test_feistel_is_a_permutation(spark):
     all_of = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("v"))
     out = all_of.select(pseudonyms.permuted(F.col("v"), F.lit(3), F.lit("k"), "x").alias("p")).collect()
