@@ -95,26 +95,31 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int) -> list[tupl
     found: list[tuple[int, tuple[int, ...]]] = []
     steps = 0
 
-    def extend(room: int, top: int, chosen: list[int]) -> bool:
-        nonlocal steps
-        i = bisect_left(lengths, min(room, top) + 1) - 1
-        grown = False
-        while i >= 0:
-            x = lengths[i]
-            if counts[x] - chosen.count(x) > 0:
-                steps += 1
-                grown = True
-                if extend(room - x, x, [*chosen, x]) or steps > FILLING_STEPS:
-                    return True
-                if counts.get(room) and x < room and chosen:
-                    break  # the exact piece came first and dominates
+    below = lambda room, top: bisect_left(lengths, min(room, top) + 1) - 1
+    chosen: list[int] = []
+    levels = [[room, below(room, room), False]]  # room left, next length to try, whether one fitted; a level for each chosen piece
+    while levels:
+        level = levels[-1]
+        room, i, grown = level
+        while i >= 0 and counts[lengths[i]] <= chosen.count(lengths[i]):
             i -= 1
+        if i >= 0:
+            x = lengths[i]
+            steps += 1
+            # an exact piece came first and dominates
+            level[1:] = [-1 if counts.get(room) and x < room and chosen else i - 1, True]
+            chosen.append(x)
+            levels.append([room - x, below(room - x, x), False])
+            continue
         if not grown and not (lengths and lengths[0] <= room and counts[lengths[0]] - chosen.count(lengths[0]) > 0):
             found.append((room, tuple(chosen)))
-            return sum(not waste for waste, _ in found) >= FILLINGS
-        return False
-
-    extend(room, room, [])
+            if sum(not waste for waste, _ in found) >= FILLINGS:
+                break
+        levels.pop()
+        if chosen:
+            chosen.pop()
+        if steps > FILLING_STEPS:
+            break
     found.sort(key=lambda x: (x[0], len(x[1]), [-v for v in x[1]]))
     kept: list[tuple[int, ...]] = []
     for _, filling in found:
@@ -193,7 +198,7 @@ def complete(counts: dict[int, int], capacity: int, nodes: int = SEARCH_NODES) -
         return out[::-1]
 
     left, plan, waste = dict(counts), [], 0
-    stack = [(descend(left, plan, 0), 0)]
+    stack = [(descend(left, plan, 0), 0)] if used(best) > bound else []
     while stack and nodes and used(best) > bound:
         choices, waste = stack[-1]
         allowed = (used(best) - 1) * capacity - total  # a better plan wastes no more

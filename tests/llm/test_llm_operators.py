@@ -109,6 +109,14 @@ def test_plan_is_optimal_where_brute_force_can_tell():
     assert packing.complete({}, 10) == []
 
 
+def test_plans_of_very_many_short_pieces():
+    assert packing.complete({1: 5000}, 1024) == [((1,) * 1024, 4), ((1,) * 904, 1)]
+    for counts in ({1: 3000, 700: 3}, {1: 1500, 2: 900, 1023: 2}):
+        plan = packing.complete(counts, 1024)
+        assert {k: sum(p.count(k) * n for p, n in plan) for k in counts} == counts and all(sum(p) <= 1024 for p, _ in plan)
+    assert len(packing.fillings([1], {1: 3000}, 1023)[0]) == 1023
+
+
 # near duplicates
 
 
