@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm import articles, chat, decontaminate, minhash, packing, pseudonyms, repeats, toxicity, vectors, warc
+from goldpan.llm import articles, chat, decontaminate, manifest, minhash, packing, pseudonyms, reference_sql, repeats, spelling, tokens, toxicity, vectors, warc
 from goldpan.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Demonstration key; a deployment passes its own.
 KEY = "goldpan-demonstration-key"
 
@@ -67,10 +68,23 @@ def op10_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op12_merkle_descent(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return manifest.proven(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+
+
+def op13_spliced_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.counted(table(spark, folder, "documents"), WORD_VOCABULARY)
+
+
 def queries() -> dict:
     found = {k: f for k, f in globals().items() if k.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return reference_sql.oracle_sql()
