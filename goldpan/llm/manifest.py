@@ -32,7 +32,7 @@ def digest(*fields: Column) -> Column:
 
 @dataclass(frozen=True)
 class Manifest:
-    """``leaves``: group, idx, leaf and the columns given; ``trees``: group, n, height, digest; ``store``: digest, shard, children, level."""
+    """``leaves``: group, idx, n, leaf and the columns given; ``trees``: group, height, digest; ``store``: digest, shard, children, level."""
 
     leaves: DataFrame
     trees: DataFrame
@@ -40,10 +40,10 @@ class Manifest:
 
 
 def numbered(rows: DataFrame, group: str, *order: str) -> DataFrame:
-    """``rows`` with ``idx``, their place from 0 in their group in the given order, and no ordering of a whole group in one task.
+    """``rows`` with ``idx``, their place from 0 in their group in the given order, and ``n``, the size of the group.
 
-    Rows are dealt by range, ties by their place in the input; a range is numbered in its task, and the counts of the ranges before
-    are added.
+    No task orders a whole group: rows are dealt by range, ties by their place in the input; a range is numbered in its task, and the
+    counts of the ranges before are added.
     """
     ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [group, *order, "_tie"]
@@ -51,19 +51,18 @@ def numbered(rows: DataFrame, group: str, *order: str) -> DataFrame:
     dealt = stored(dealt.withColumn("_place", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_place", 33)), "ranges")
     counts = dealt.groupBy(group, "_range").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    whole = Window.partitionBy(group)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("n", F.sum("_n").over(whole)).drop("_n")
     placed = dealt.join(counts, [group, "_range"])
     return placed.withColumn("idx", F.col("_place") - F.col("_first") + F.col("_before")).drop("_place", "_range", "_first", "_before")
 
 
 def build(leaves: DataFrame, label: str) -> Manifest:
-    """The trees over ``leaves`` (group, idx, leaf, ...): a level is a grouping of the one below, a sixteenth of its rows.
+    """The trees over ``leaves`` (group, idx, n, leaf, ...): a level is a grouping of the one below, a sixteenth of its rows.
 
     ``leaves`` is stored by the caller, since every level and the proofs read it.
     """
-    sizes = leaves.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    nodes, roots, records, level = leaves.select("group", "idx", F.col("leaf").alias("digest")), [], [], 0
-    nodes = nodes.join(sizes, "group")
+    nodes, roots, records, level = leaves.select("group", "idx", "n", F.col("leaf").alias("digest")), [], [], 0
     while True:
         # a group of one node left is done
         roots.append(nodes.where("n = 1").select("group", F.lit(level).alias("height"), "digest"))
@@ -81,7 +80,7 @@ def build(leaves: DataFrame, label: str) -> Manifest:
     trees = roots[0]
     for more in roots[1:]:
         trees = trees.union(more)
-    trees = stored(trees.join(sizes, "group"), f"{label}-trees")
+    trees = stored(trees, f"{label}-trees")
     empty = leaves.sparkSession.createDataFrame([], "digest string, shard int, children array<string>, level int")
     store = empty
     for more in records:
@@ -95,28 +94,29 @@ def _segment(children: Column, at: Column) -> Column:
     return F.struct(joined(F.slice(children, F.lit(1), at)).alias("before"), joined(F.slice(children, at + 2, F.lit(FAN))).alias("after"))
 
 
-def descend(starts: DataFrame, store: DataFrame, requests: DataFrame, until: int) -> DataFrame:
-    """(group, idx, digest, path) at level ``until`` of all trees with requested leaves there.
+def descend(starts: DataFrame, store: DataFrame, requests: DataFrame, until: int, *kept: str) -> DataFrame:
+    """(group, idx, digest, path, kept columns) at level ``until`` of all trees with requested leaves there.
 
-    ``starts`` has group, height, digest and path of each tree's root, ``requests`` group and idx of leaves. Trees lower than
+    ``starts`` has group, height, digest, path and the columns to keep of each tree's root, ``requests`` group and idx of leaves. Trees lower than
     ``until`` give no row. The path holds one segment a level, the root's first.
     """
     top = starts.agg(F.max("height")).first()[0] or 0
-    columns = ["group", "idx", "digest", "path"]
-    here = starts.where(F.lit(False)).select("group", F.lit(0).cast("long").alias("idx"), "digest", "path")
+    columns = ["group", "idx", "digest", "path", *kept]
+    starts = starts.withColumn("idx", F.lit(0).cast("long"))
+    here = starts.where(F.lit(False)).select(columns)
     for level in range(top, until - 1, -1):
-        entering = starts.where(F.col("height") == level).select("group", F.lit(0).cast("long").alias("idx"), "digest", "path")
-        here = here.union(entering)
+        here = here.union(starts.where(F.col("height") == level).select(columns))
         if level == until:
             break
         opened = here.withColumn("shard", F.pmod("idx", F.lit(SHARDS)).cast("int"))
         opened = opened.join(store.where(F.col("level") == level).drop("level"), ["digest", "shard"])
-        taken = opened.select("group", F.col("idx").alias("above"), "path", "children", F.posexplode("children").alias("at", "digest"))
+        taken = opened.select("group", F.col("idx").alias("above"), "path", "children", *kept, F.posexplode("children").alias("at", "digest"))
         taken = taken.select(
             "group",
             (F.col("above") * FAN + F.col("at")).alias("idx"),
             "digest",
             F.concat("path", F.array(_segment(F.col("children"), F.col("at")))).alias("path"),
+            *kept,
         )
         wanted = requests.select("group", F.shiftright("idx", 4 * (level - 1)).alias("idx")).distinct()
         here = taken.join(wanted, ["group", "idx"], "left_semi").select(columns)
@@ -131,7 +131,8 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "d
     further columns that the leaves carry. Rows that repeat are leaves of their own; further columns of ``docs`` are ignored.
     """
     rows = docs.select(F.struct(F.col(source_col).alias("source")).alias("group"), F.col(id_col).alias("doc_id"), digest(*map(F.col, fields)).alias("leaf"), *[c.alias(n) for n, c in more.items()])
-    lower = build(stored(numbered(rows, "group", "doc_id", "leaf"), "leaves"), "tree")
+    # stored first, since dealing by range reads its input twice
+    lower = build(stored(numbered(stored(rows, "digests"), "group", "doc_id", "leaf"), "leaves"), "tree")
     roots = lower.trees.select(F.lit(0).alias("group"), F.col("group").alias("source"), F.col("digest").alias("leaf"), "height")
     return lower, build(stored(numbered(roots, "group", "source"), "sources"), "top")
 
@@ -147,20 +148,20 @@ def opened(lower: Manifest, upper: Manifest, requests: DataFrame | None = None)
     root = upper.trees.select(F.col("group").alias("top"), F.col("digest").alias("root"))
     found = found.withColumnRenamed("group", "top").join(sources, "idx").join(root, "top")
     starts = stored(found.select("group", "height", "digest", "path", F.col("digest").alias("subroot"), "root"), "subroots")
-    kept = starts.select("group", "subroot", "root")
-    runs = descend(starts.select("group", "height", "digest", "path"), lower.store, asked.select("group", "idx"), 1)
-    columns = [c for c in lower.leaves.columns if c not in ("group", "idx")]
+    kept = ["subroot", "root"]
+    runs = descend(starts, lower.store, asked.select("group", "idx"), 1, *kept)
+    columns = [c for c in lower.leaves.columns if c not in ("group", "idx", "n")]
     leaves = lower.leaves if requests is None else lower.leaves.join(requests.select("group", "idx").distinct(), ["group", "idx"], "left_semi")
     # leaves of a run join as one row, so that a path is moved once per run
     items = leaves.groupBy("group", F.shiftright("idx", 4).alias("idx")).agg(F.collect_list(F.struct((F.col("idx") % FAN).cast("int").alias("at"), *columns)).alias("items"))
     records = lower.store.where("level = 1").drop("level")
     last = runs.withColumn("shard", F.pmod("idx", F.lit(SHARDS)).cast("int")).join(records, ["digest", "shard"])
-    last = last.join(items, ["group", "idx"]).select("group", "path", "children", F.explode("items").alias("item"))
+    last = last.join(items, ["group", "idx"]).select("path", "children", *kept, F.explode("items").alias("item"))
     # the digest that the descent reaches is the leaf's own
     last = last.where(F.get("children", F.col("item.at")) == F.col("item.leaf"))
-    last = last.select("group", "item.*", F.concat("path", F.array(_segment(F.col("children"), F.col("item.at")))).alias("path")).drop("at")
-    lone = starts.where("height = 0").select("group", "path").join(leaves.drop("idx"), "group")
-    return last.select("group", *columns, "path").union(lone.select("group", *columns, "path")).join(kept, "group")
+    last = last.select("item.*", *kept, F.concat("path", F.array(_segment(F.col("children"), F.col("item.at")))).alias("path")).drop("at")
+    lone = starts.where("height = 0").join(leaves.where("n = 1").drop("idx"), "group")
+    return last.select(*columns, *kept, "path").union(lone.select(*columns, *kept, "path"))
 
 
 def proven(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
