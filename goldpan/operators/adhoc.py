@@ -12,9 +12,33 @@ BENCH_ROWS = 10
 PREVIEW_ROWS = 5
 
 
-# SELECT can call methods of the virtual machine.
-_CALLS_OUT = {"reflect", "try_reflect", "java_method"}
+# What a query may be made of; everything else is refused. Parsed nodes of plans and expressions, by class name.
+_PLANS = set(
+    """Aggregate Distinct Except Filter Generate GlobalLimit Intersect Join LateralJoin LocalLimit LocalRelation Offset OneRowRelation
+    Pivot Project Sample Sort SubqueryAlias Union UnresolvedHaving UnresolvedInlineTable UnresolvedRelation UnresolvedSubqueryColumnAliases
+    UnresolvedTVFAliases UnresolvedTableValuedFunction UnresolvedWith Unpivot Window WithWindowDefinition""".split()
+)
+_UNRESOLVED = set(
+    """MultiAlias UnresolvedAlias UnresolvedAttribute UnresolvedExtractValue UnresolvedFunction UnresolvedGenerator UnresolvedInlineTable UnresolvedNamedLambdaVariable
+    UnresolvedOrdinal UnresolvedStar UnresolvedStarExceptOrReplace UnresolvedStarWithColumns UnresolvedSubqueryColumnAliases""".split()
+)
+_SUBQUERIES = {"Exists", "InSubquery", "LateralSubquery", "ListQuery", "ScalarSubquery"}
 _TABLE_FUNCTIONS = {"range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack"}
+# Groups of built-in functions that compute from their arguments alone. Functions of no group (those of the user) and of other
+# groups (Java methods, files, the session) are refused, and so is any name with a qualifier.
+_GROUPS = set(
+    """agg_funcs array_funcs bitwise_funcs collection_funcs conditional_funcs conversion_funcs datetime_funcs generator_funcs hash_funcs
+    json_funcs lambda_funcs map_funcs math_funcs predicate_funcs string_funcs struct_funcs url_funcs window_funcs""".split()
+)
+_EXPRESSIONS = "org.apache.spark.sql.catalyst.expressions."
+_ANALYSIS = "org.apache.spark.sql.catalyst.analysis."
+# Resolved leaves that hold no stored rows; all others must lie inside a view.
+_LEAVES = {"CTERelationRef", "LocalRelation", "OneRowRelation", "Range", "UnionLoopRef"}
+# Resolved expressions that run code from outside or tell of the session; some are written without brackets.
+_OUTSIDE = set(
+    """CallMethodViaReflection TryReflect ScalaUDF ScalaUDAF PythonUDF PythonUDAF InputFileName CurrentUser CurrentDatabase CurrentCatalog
+    SparkVersion""".split()
+)
 
 
 class UnsafeQuery(ValueError):
@@ -25,60 +49,104 @@ def _each(items) -> list:
     return [items.apply(i) for i in range(items.size())]
 
 
-def _relations(node, own: frozenset[str]) -> list[list[str]]:
-    """Names of the relations that a parsed plan reads, but for its own common table expressions.
+class _Check:
+    """Walks the plan of a query, as parsed and again as resolved.
 
-    Raises ``UnsafeQuery`` at script transforms, calls of Java methods and unknown table functions.
+    The parsed walk comes first, since resolving already opens files and evaluates names given as expressions.
     """
-    kind = node.nodeName()
-    if "ScriptTransformation" in kind:
-        raise UnsafeQuery("The query may not start programs.")
-    if kind == "UnresolvedRelation":
-        name = _each(node.multipartIdentifier())
-        return [] if len(name) == 1 and name[0].lower() in own else [name]
-    found = []
-    if kind == "UnresolvedWith":
-        for cte in _each(node.cteRelations()):
-            inner = own | {cte._1().lower()} if node.allowRecursion() else own
-            found += _relations(cte._2(), inner)
-            own = own | {cte._1().lower()}
-    if kind == "UnresolvedTableValuedFunction" and _each(node.name())[-1].lower() not in _TABLE_FUNCTIONS:
-        raise UnsafeQuery("The query may not call this table function.")
-    for expression in _each(node.expressions()):
-        found += _in_expression(expression, own)
-    for child in _each(node.children()):
-        found += _relations(child, own)
-    return found
-
-
-def _in_expression(expression, own: frozenset[str]) -> list[list[str]]:
-    kind = expression.getClass().getSimpleName()
-    found = []
-    if kind == "UnresolvedFunction" and _each(expression.nameParts())[-1].lower() in _CALLS_OUT:
-        raise UnsafeQuery("The query may not call Java methods.")
-    if "Subquery" in kind or kind in ("Exists", "ListQuery"):
-        found += _relations(expression.query().plan() if kind == "InSubquery" else expression.plan(), own)
-    for child in _each(expression.children()):
-        found += _in_expression(child, own)
-    return found
+
+    def __init__(self, spark: SparkSession, views: Collection[str] | None):
+        self.state = spark._jsparkSession.sessionState()
+        self.identifier = spark._jvm.org.apache.spark.sql.catalyst.FunctionIdentifier
+        self.views = None if views is None else {v.lower() for v in views}
+
+    def is_view(self, name: str) -> bool:
+        if self.views is not None:
+            return name.lower() in self.views
+        return "." not in name and self.state.catalog().getTempView(name).isDefined()
+
+    def parsed(self, node, own: frozenset[str] = frozenset()) -> None:
+        """``own`` are the names of the common table expressions in sight."""
+        kind = node.getClass().getSimpleName()
+        if kind not in _PLANS:
+            raise UnsafeQuery(f"The query may not use {kind}.")
+        if kind == "UnresolvedRelation":
+            name = _each(node.multipartIdentifier())
+            if not (len(name) == 1 and name[0].lower() in own) and not self.is_view(".".join(name)):
+                raise UnsafeQuery(f"The query may only read the given views, not {'.'.join(name)}.")
+        if kind == "UnresolvedWith":
+            for cte in _each(node.cteRelations()):
+                inner = own | {cte._1().lower()} if node.allowRecursion() else own
+                self.parsed(cte._2(), inner)
+                own = own | {cte._1().lower()}
+        if kind == "UnresolvedTableValuedFunction":
+            name = _each(node.name())
+            if len(name) != 1 or name[0].lower() not in _TABLE_FUNCTIONS:
+                raise UnsafeQuery("The query may not call this table function.")
+        for expression in _each(node.expressions()):
+            self.parsed_expression(expression, own)
+        for child in _each(node.children()):
+            self.parsed(child, own)
+
+    def parsed_expression(self, expression, own: frozenset[str]) -> None:
+        whole, kind = expression.getClass().getName(), expression.getClass().getSimpleName()
+        if not (whole.startswith(_EXPRESSIONS) or whole.startswith(_ANALYSIS) and kind in _UNRESOLVED):
+            raise UnsafeQuery(f"The query may not use {kind}.")
+        if kind == "UnresolvedFunction":
+            self.function(_each(expression.nameParts()))
+        if kind == "UnresolvedGenerator":
+            self.function(expression.name().unquotedString().split("."))
+        if kind in _SUBQUERIES:
+            self.parsed(expression.query().plan() if kind == "InSubquery" else expression.plan(), own)
+        elif "Subquery" in kind:
+            raise UnsafeQuery(f"The query may not use {kind}.")
+        for child in _each(expression.children()):
+            self.parsed_expression(child, own)
+
+    def function(self, name: list[str]) -> None:
+        found = self.state.functionRegistry().lookupFunction(self.identifier(name[-1])) if len(name) == 1 else None
+        if found is None or found.isEmpty() or found.get().getGroup() not in _GROUPS:
+            raise UnsafeQuery(f"The query may not call {'.'.join(name)}.")
+
+    def resolved(self, node) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind == "View":
+            name = node.desc().identifier()
+            if not (self.is_view(name.table()) or self.is_view(name.unquotedString())):
+                raise UnsafeQuery("The query may only read the given views.")
+            return
+        children = [*_each(node.children()), *_each(node.innerChildren())]
+        if not children and kind not in _LEAVES:
+            raise UnsafeQuery(f"The query may only read the given views, not {kind}.")
+        for expression in _each(node.expressions()):
+            self.resolved_expression(expression)
+        for child in children:
+            self.resolved(child)
+
+    def resolved_expression(self, expression) -> None:
+        kind = expression.getClass().getSimpleName()
+        if kind in _OUTSIDE or kind.startswith("Hive"):
+            raise UnsafeQuery(f"The query may not use {kind}.")
+        if kind in _SUBQUERIES and kind != "InSubquery":
+            self.resolved(expression.plan())
+        for child in _each(expression.children()):
+            self.resolved_expression(child)
 
 
 def run_select(spark: SparkSession, sql: str, n: int = AGENT_ROWS, views: Collection[str] | None = None) -> DataFrame:
     """At most ``n`` rows of one query.
 
     The text becomes a subquery, so commands and several statements cannot be parsed, and the limit is part of the
-    plan. The parsed plan may read the given ``views`` (by default the session's temporary views) and its own common table
-    expressions, and nothing else: no files, other tables, programs or Java methods.
+    plan. The query may read the given ``views`` (by default the session's temporary views) and its own common table
+    expressions, and call built-in functions of their arguments. Its plan is walked as parsed and as resolved, against lists of what is known to be
+    harmless: no files, other tables, names made by expressions, programs, Java methods or functions of the user.
     """
     bounded_sql = f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n) q LIMIT {int(n)}"
-    state = spark._jsparkSession.sessionState()
-    allowed = None if views is None else {v.lower() for v in views}
-    for name in _relations(state.sqlParser().parsePlan(bounded_sql), frozenset()):
-        whole = ".".join(name)
-        known = whole.lower() in allowed if allowed is not None else len(name) == 1 and state.catalog().getTempView(whole).isDefined()
-        if not known:
-            raise UnsafeQuery(f"The query may only read the given views, not {whole}.")
-    return spark.sql(bounded_sql)
+    check = _Check(spark, views)
+    check.parsed(check.state.sqlParser().parsePlan(bounded_sql))
+    rows = spark.sql(bounded_sql)
+    check.resolved(rows._jdf.queryExecution().analyzed())
+    return rows
 
 
 def try_select(spark: SparkSession, sql: str, n: int = AGENT_ROWS, views: Collection[str] | None = None) -> tuple[DataFrame | None, str]:
