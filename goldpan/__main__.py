@@ -15,26 +15,38 @@ from pyspark.sql import SparkSession
 
 from goldpan.operators.adhoc import AGENT_ROWS, try_select
 from goldpan.plans import medallion, reports
-from goldpan.sources import star_tables, store_csv
+from goldpan.sources import publication, star_tables, store_csv
 from goldpan.sources.writers import COLUMNAR, write_bronze
 
 GOLD_VIEWS = ("gold_state", "gold_class", "gold_kpis")
 
 
 def refresh(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Load bronze, build every layer and test it; the exit code is 1 if a quality test fails."""
+    """Load bronze, build every layer as a new version, test and publish it.
+
+    The exit code is 1 if a quality test fails; the version is then not published, and readers keep the one before.
+    """
     if args.layout == "csv":
         bronze = write_bronze(store_csv.bronze(spark, args.input), f"{args.output}/bronze", args.format)
         model = medallion.from_store_csv(spark, bronze)
     else:
         model = medallion.from_star_tables(star_tables.bronze(spark, args.input))
-    checks = medallion.refresh(model, args.output, args.format)["dq_report"]
+    tables, version = medallion.refresh_and_publish(spark, model, args.output, args.format)
+    checks = tables["dq_report"]
     checks.orderBy("table", "column", "test").show(len(medallion.LAYER_CHECKS), truncate=False)
-    return 0 if checks.filter("NOT passed").isEmpty() else 1
+    if version is None:
+        return 1
+    print(f"published {version.version}")
+    for name in publication.prune(spark, args.output, args.keep):
+        print(f"removed {name}")
+    return 0
 
 
 def _gold(spark: SparkSession, args: argparse.Namespace, name: str):
-    return spark.read.format(args.format).load(f"{args.lake}/{name}")
+    version = publication.current(spark, args.lake)
+    if version is None:
+        raise SystemExit(f"nothing is published below {args.lake}")
+    return version.read(spark, name)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -65,6 +77,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     command.add_argument("--layout", choices=("csv", "star"), default="csv")
     command.add_argument("--input", required=True)
     command.add_argument("--output", required=True)
+    command.add_argument("--keep", type=int, default=2, help="published versions to keep")
     command.set_defaults(run=refresh)
     command = commands.add_parser("report", help="dashboard datasets and answers")
     command.add_argument("--lake", required=True)

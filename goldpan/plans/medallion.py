@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from goldpan.operators import gold, quality, silver
 from goldpan.sources import star_tables, store_csv
+from goldpan.sources.publication import Publication, publish_version, version_folder
 from goldpan.sources.writers import COLUMNAR, write_layer
 
 # The checks of the star-schema tables. Line keys repeat in that data, so the last one reports failures.
@@ -163,3 +164,16 @@ def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR) -> dict[str, Da
     }
     tables["dq_report"] = write("dq_report", quality.run_checks(tables, LAYER_CHECKS))
     return tables
+
+
+def refresh_and_publish(spark: SparkSession, model: OrderModel, root: str, fmt: str = COLUMNAR) -> tuple[dict[str, DataFrame], Publication | None]:
+    """Refresh into a new version folder below ``root`` and publish it if all its quality tests pass.
+
+    A refresh that fails, or whose tests fail, leaves the version that readers see as it was; the tables of the latter are returned, without
+    a publication.
+    """
+    folder = version_folder(root)
+    tables = refresh(model, folder, fmt)
+    if not tables["dq_report"].filter("NOT passed").isEmpty():
+        return tables, None
+    return tables, publish_version(spark, root, folder, tables, fmt)

@@ -259,7 +259,8 @@ def oracle_sql() -> dict[str, str]:
             + " AS satisfaction"
         ),
         "gold_scan": _from_gold("SELECT * FROM gold ORDER BY total_pedidos DESC, customer_state"),
-        "gold_with_fallback": _from_gold("SELECT *, 'snapshot' AS source FROM gold"),
+        "gold_with_fallback": _from_gold("SELECT *, 'snapshot' AS source, 'missing' AS reason FROM gold"),
+        "gold_published": _from_gold("SELECT *, 'table' AS source, CAST(NULL AS VARCHAR) AS reason FROM gold"),
         "gold_display": _from_gold(f"SELECT {_DISPLAY}, {_BAND} AS class_band FROM gold"),
         "dashboard_kpis": _from_gold(
             f"SELECT CAST(sum(total_pedidos) AS BIGINT) AS orders, {_mean('ticket_medio')} AS ticket, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,8 +13,11 @@ from goldpan import catalog as cat
 from goldpan.operators import adhoc, benchmark, dashboard, gold, quality, question_log, questions, silver
 from goldpan.plans import reports
 from goldpan.plans.medallion import STAR_CHECKS, OrderModel, from_star_tables
+from goldpan.session import work_dir
 from goldpan.sources import star_tables as star
-from goldpan.sources.snapshot import gold_or_snapshot
+from goldpan.sources.publication import publish_version, version_folder
+from goldpan.sources.snapshot import gold_or_snapshot, published_gold
+from goldpan.sources.writers import write_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +85,14 @@ def _gold_with_fallback(spark: SparkSession, folder: str) -> DataFrame:
     return gold_or_snapshot(spark, "gold_state_unpublished", _model(spark, folder).gold_state())
 
 
+def _gold_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold written as a version, published, and read back through its manifest: the live branch."""
+    root, gold_rows = work_dir(spark, "publication", uuid.uuid4().hex), _model(spark, folder).gold_state()
+    version = version_folder(root)
+    publish_version(spark, root, version, {"gold_state": write_layer(gold_rows, f"{version}/gold_state")})
+    return published_gold(spark, root, gold_rows.limit(0))
+
+
 def _guardrail(spark: SparkSession, folder: str) -> DataFrame:
     return question_log.guardrail(star.table(spark, folder, "documents"), id_col="doc_id")
 
@@ -152,6 +164,7 @@ def queries() -> dict[str, Query]:
         "gold_kpis": _totals(gold.gold_kpis),
         "gold_scan": _gold_scan,
         "gold_with_fallback": _gold_with_fallback,
+        "gold_published": _gold_published,
         **{name: _gold(job) for name, job in {**reports.DASHBOARD, **reports.ANSWERS}.items()},
         "q_region_late": _region_late,
         "dq_report": lambda s, d: quality.run_checks(star.bronze(s, d), STAR_CHECKS),

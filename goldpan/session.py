@@ -54,3 +54,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return "/".join([root.rstrip("/"), *parts])
+
+
+def work_dir(spark: SparkSession, *parts: str) -> str:
+    """A path for stored intermediate data: below ``spark.checkpoint.dir``, or where that is unset, as in tests, below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    return "/".join([root.rstrip("/"), *parts])

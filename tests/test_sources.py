@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
+from dataclasses import replace
+
 import pytest
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -9,11 +12,12 @@ from pyspark.sql import functions as F
 
 from goldpan.__main__ import main
 from goldpan.operators import gold, silver
-from goldpan.plans.medallion import from_store_csv, refresh
+from goldpan.plans.medallion import from_store_csv, refresh, refresh_and_publish
 from goldpan.plans.reports import report
+from goldpan.sources import publication, store_csv
 from goldpan.sources import star_tables as star
-from goldpan.sources import store_csv
-from goldpan.sources.writers import write_bronze, write_bucketed
+from goldpan.sources.snapshot import published_gold
+from goldpan.sources.writers import write_bronze, write_bucketed, write_layer
 
 RAW = {
     "orders": [
@@ -110,7 +114,69 @@ def test_command_line(spark, raw_folder, tmp_path, capfd):
     assert err.strip()
     star_lake = str(tmp_path / "star")
     assert main(["refresh", "--layout", "star", "--input", "/root/testdata/sf0.001", "--output", star_lake]) == 0
-    assert spark.read.parquet(f"{star_lake}/gold_kpis").first().orders == 484
+    assert publication.current(spark, star_lake).read(spark, "gold_kpis").first().orders == 484
+
+
+def test_publication(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    gold = spark.createDataFrame([("SP", 2), ("RJ", 1)], "customer_state string, total_pedidos long")
+    aside = spark.createDataFrame([("AC", 9)], gold.schema)
+
+    def add(rows):
+        folder = publication.version_folder(root)
+        return publication.publish_version(spark, root, folder, {"gold_state": write_layer(rows, f"{folder}/gold_state")})
+
+    def seen():
+        return {(r.customer_state, r.source, r.reason) for r in published_gold(spark, root, aside).collect()}
+
+    assert publication.current(spark, root) is None and seen() == {("AC", "snapshot", "missing")}
+    first = add(gold)
+    assert seen() == {("SP", "table", None), ("RJ", "table", None)}
+    second = add(gold.where("total_pedidos = 1"))
+    assert (first.number, second.number) == (1, 2) and seen() == {("RJ", "table", None)}
+    # a version whose files are gone, or that is empty, is passed over for the one before
+    shutil.rmtree(tmp_path / "lake" / "versions" / second.version)
+    assert seen() == {("SP", "snapshot", "missing"), ("RJ", "snapshot", "missing")}
+    add(gold.limit(0))
+    assert seen() == {("SP", "snapshot", "empty"), ("RJ", "snapshot", "empty")}
+    fourth = add(gold)
+    (tmp_path / "lake" / "versions" / fourth.version / "gold_state" / "part-x.parquet").write_text("no table")
+    for file in (tmp_path / "lake" / "versions" / fourth.version / "gold_state").glob("part-0*"):
+        file.unlink()
+    assert {r for _, _, r in seen()} == {"unreadable"}
+    last = add(gold)
+    assert publication.prune(spark, root, keep=1) != [] and [p.number for p in publication.history(spark, root)] == [last.number]
+    assert {p.name for p in (tmp_path / "lake" / "versions").iterdir()} == {last.version} and len(seen()) == 2
+
+
+def test_failed_refresh_leaves_the_published_version(spark, raw_folder, tmp_path):
+    root = str(tmp_path / "lake")
+    model = from_store_csv(spark, store_csv.bronze(spark, raw_folder))
+    _, version = refresh_and_publish(spark, model, root)
+    broken = replace(model, states=model.states.withColumn("state", F.lit(None).cast("string")))
+    tables, none = refresh_and_publish(spark, broken, root)
+    assert none is None and not tables["dq_report"].filter("NOT passed").isEmpty()
+    failing = replace(model, orders=model.orders.withColumn("customer_id", F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        refresh_and_publish(spark, failing, root)
+    assert publication.current(spark, root).version == version.version
+    assert {r.source for r in published_gold(spark, root, model.gold_state()).collect()} == {"table"}
+
+
+def test_publishers_at_once_take_numbers_of_their_own(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    gold = spark.createDataFrame([("SP", 2)], "customer_state string, total_pedidos long")
+    first = publication.publish_version(spark, root, publication.version_folder(root, "a"), {"gold_state": gold})
+    known, asked = publication._numbers, []
+
+    def late(spark, root):
+        asked.append(1)
+        return [] if len(asked) == 1 else known(spark, root)  # has not seen the other's manifest yet
+
+    monkeypatch.setattr(publication, "_numbers", late)
+    second = publication.publish_version(spark, root, publication.version_folder(root, "b"), {"gold_state": gold})
+    assert (first.number, second.number) == (1, 2)
+    assert [p.version for p in publication.history(spark, root)] == ["b", "a"]
 
 
 def test_malformed_rows_stop_the_load(spark, tmp_path):
