@@ -288,21 +288,52 @@ def log_rows(runs: DataFrame, prices: DataFrame, gold_table: str = cat.GOLD_TABL
 # Chat history
 
 
+# Quantile cuts of a conversation that holds many messages: this many at most, found in blocks of CUT_BLOCK.
+CUTS = 1023
+CUT_BLOCK = 32
+# A stretch holds at least this share of all messages, which bounds the number of large conversations, and that of their cuts.
+STRETCHES = 100_000
+
+
+def _stretch(turn: Column, cuts: Column) -> Column:
+    """How many of the ascending ``cuts`` are at most ``turn``: first by every ``CUT_BLOCK``-th of them, then inside a block."""
+    below = lambda part: F.size(F.filter(part, lambda cut: cut <= turn))
+    coarse = F.filter(cuts, lambda _, i: i % CUT_BLOCK == 0)
+    blocks = below(coarse)
+    inside = F.slice(cuts, (blocks - 1) * CUT_BLOCK + 1, CUT_BLOCK)
+    return F.when(blocks == 0, 0).otherwise((blocks - 1) * CUT_BLOCK + below(inside))
+
+
 def newest_first(chat: DataFrame, width: int = 100_000) -> DataFrame:
     """(conv_id, position, turn, role, text): position 1 is the newest message of its conversation.
 
-    A conversation may hold a large share of all messages, so it is ranked in stretches of ``width`` turns. Turns do
-    not repeat in a conversation, so a stretch has at most ``width`` messages. Messages without a turn come last, and
-    those without a conversation form one. The rank inside a stretch plus the
-    number of messages in newer stretches is the exact position. Message text is shuffled once.
+    ``turn`` may be a number, a date or a time. Equal turns are ordered by role, then text; messages without a turn come last, and
+    those without a conversation form one.
+
+    A conversation may hold a large share of all messages. One with more than ``width`` messages is ranked in stretches between
+    quantiles of its own turns, however these lie, of about ``width`` messages each (or a ``CUTS``-th of the conversation, or one in ``STRETCHES`` of all
+    messages, if that is more). The rank inside a stretch plus the number of messages in newer stretches is the exact position,
+    whatever the quantiles are: they only matter for balance. Message text is shuffled once.
     """
     # a struct of nullable fields compares null to null as equal, and joins on it keep the partitioning of the windows
-    place = F.struct("conv_id", F.floor(F.col("turn") / width).alias("stretch"))
-    stretches = chat.withColumn("place", place)
+    conv = F.struct("conv_id")
+    counts = chat.groupBy(conv.alias("conv")).agg(F.count(F.lit(1)).alias("messages"))
+    width = F.greatest(F.lit(width), F.floor(counts.agg(F.sum("messages").alias("all")).scalar() / STRETCHES))
+    # at most STRETCHES rows, with some 2 * STRETCHES cuts in all
+    large = F.broadcast(counts.where(F.col("messages") > width).withColumn("every", F.greatest(F.lit(1), F.floor(F.lit(CUTS + 1) * width / F.col("messages")))))
+    # partial aggregates are sketches of bounded size, a task and conversation each; only large conversations have any
+    steps = F.array(*[F.lit((k + 1) / (CUTS + 1)) for k in range(CUTS)])
+    of_large = chat.select(conv.alias("conv"), "turn").join(large, "conv")
+    quantiles = of_large.groupBy("conv", "every").agg(F.percentile_approx("turn", steps, F.lit(10 * CUTS)).alias("cuts"))
+    cuts = quantiles.select("conv", F.filter("cuts", lambda _, i: (i + 1) % F.col("every") == 0).alias("cuts"))
+
+    dealt = chat.withColumn("conv", conv).join(F.broadcast(cuts), "conv", "left")
+    place = F.struct("conv_id", F.when(F.col("turn").isNull(), -1).otherwise(F.coalesce(_stretch(F.col("turn"), F.col("cuts")), F.lit(0))).alias("stretch"))
+    stretches = dealt.select("conv_id", "turn", "role", "text", place.alias("place"))
     sizes = stretches.groupBy("place").agg(F.count(F.lit(1)).alias("size"))
     newer = Window.partitionBy("place.conv_id").orderBy(F.desc("place.stretch")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("place", F.coalesce(F.sum("size").over(newer), F.lit(0)).alias("skip"))
-    inside = Window.partitionBy("place").orderBy(F.desc("turn"))
+    inside = Window.partitionBy("place").orderBy(F.desc("turn"), "role", "text")
     ranked = stretches.withColumn("rank", F.row_number().over(inside))
     return ranked.join(offsets, "place").select(
         "conv_id", (F.col("rank") + F.col("skip")).cast("bigint").alias("position"), "turn", "role", "text"

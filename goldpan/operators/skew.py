@@ -10,15 +10,22 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 4096
 ROWS_PER_PART = 200_000
+# Sketches of splits are first merged in this many groups, so that the last task merges no more than these.
+SKETCH_GROUPS = 64
 
 
 def hot_keys(frame: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """(key, _parts) of the values with more than ``rows_per_part`` rows and the number of parts that brings each
     down to about that size; at most ``MAX_HOT_KEYS`` rows.
 
-    One pass with a mergeable frequency sketch: each task sends one sketch, no key is shuffled.
+    One pass with mergeable frequency sketches, merged as a tree: each task sends one sketch to the group of its split, and each group
+    one to the last task. No key is shuffled.
     """
-    top = frame.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
+    split = frame.select(F.col(key).alias("item"), (F.spark_partition_id() % SKETCH_GROUPS).alias("group"))
+    groups = split.groupBy("group").agg(F.expr(f"approx_top_k_accumulate(item, {SKETCH_ITEMS})").alias("sketch"))
+    # a constant key, since a task without groups has no sketch to send on
+    whole = groups.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
+    top = whole.select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
     return (
         top.select(F.inline("top"))
         .filter((F.col("count") > rows_per_part) & F.col("item").isNotNull())

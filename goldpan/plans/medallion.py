@@ -99,6 +99,11 @@ class OrderModel:
     def enriched(self) -> DataFrame:
         return silver.enrich(self.facts, self.profiles, self.orders)
 
+    def lost_orders(self) -> DataFrame:
+        """(cause, lost): delivered orders that the enriched table cannot have, by what they lack."""
+        facts = {"items": self.facts_with("n_items"), "payments": self.facts_with("paid_cents")}
+        return quality.lost_orders(self.orders, facts, self.customers, self.states)
+
     def state_totals(self) -> DataFrame:
         return gold.state_totals_from_facts(self.facts, self.profiles)
 
@@ -138,7 +143,8 @@ def from_store_csv(spark: SparkSession, tables: dict[str, DataFrame]) -> OrderMo
 
 
 def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR) -> dict[str, DataFrame]:
-    """Write the layers in order and return the tables: four silver tables, enriched silver, three gold tables, report.
+    """Write the layers in order and return the tables: four silver tables, enriched silver, three gold tables,
+    the orders lost on the way by cause, and the report.
 
     Each raw fact table is reduced and written once; the silver tables are made of those files. Orders
     are joined once for all gold tables. Every step reads the stored files of the one before, so a lost executor costs
@@ -162,7 +168,10 @@ def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR) -> dict[str, Da
         "gold_class": write("gold_class", gold.gold_class(totals)),
         "gold_kpis": write("gold_kpis", gold.gold_kpis(totals)),
     }
-    tables["dq_report"] = write("dq_report", quality.run_checks(tables, LAYER_CHECKS))
+    tables["lost_orders"] = write("lost_orders", base.lost_orders())
+    tests = quality.run_checks(tables, LAYER_CHECKS)
+    tests = tests.unionByName(quality.reconciled(tables["silver_delivered"], enriched, tables["lost_orders"]))
+    tables["dq_report"] = write("dq_report", tests)
     return tables
 
 

@@ -173,6 +173,20 @@ def _nulls(table: str, column: str) -> str:
     return _check(table, column, "not_null", f"SELECT count(*) FROM {table} WHERE {column} IS NULL")
 
 
+def _lost(cause: str) -> str:
+    """Delivered orders outside the enriched table; a line is an item and a payment at once."""
+    lacks = (
+        "CASE WHEN o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL) THEN 'items' "
+        "WHEN c_custkey IS NULL THEN 'customer' WHEN r_name IS NULL THEN 'state' END"
+    )
+    joined = (
+        "orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region "
+        "ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey"
+    )
+    count = f"SELECT count(*) FROM (SELECT {lacks} AS cause FROM {joined} WHERE o_orderstatus = 'F') WHERE cause = '{cause}'"
+    return _check("silver_orders_enriched", cause, "lost", count)
+
+
 def _repeats(table: str, columns: str) -> str:
     keys = f"SELECT {columns} FROM {table} GROUP BY {columns} HAVING count(*) > 1"
     return _check(table, columns, "unique", f"SELECT count(*) FROM ({keys})")
@@ -333,6 +347,7 @@ def oracle_sql() -> dict[str, str]:
                 _repeats("nation", "n_name"),
                 _repeats("region", "r_regionkey"),
                 _repeats("lineitem", "l_orderkey,l_linenumber"),
+                *[_lost(cause) for cause in ("items", "payments", "customer", "state")],
             ]
         ),
         "guardrail": (
@@ -395,7 +410,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM costed WHERE ran"
         ),
         "chat_latest": (
-            "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS position, turn, role, text "
+            "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role, text) AS position, turn, role, text "
             "FROM conversations"
         ),
         "benchmark_grid": (

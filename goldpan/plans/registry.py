@@ -93,6 +93,12 @@ def _gold_published(spark: SparkSession, folder: str) -> DataFrame:
     return published_gold(spark, root, gold_rows.limit(0))
 
 
+def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks of the raw tables, and the orders lost between delivered and enriched silver."""
+    tables = star.bronze(spark, folder)
+    return quality.run_checks(tables, STAR_CHECKS).unionByName(quality.lost_checks(from_star_tables(tables).lost_orders()))
+
+
 def _guardrail(spark: SparkSession, folder: str) -> DataFrame:
     return question_log.guardrail(star.table(spark, folder, "documents"), id_col="doc_id")
 
@@ -167,7 +173,7 @@ def queries() -> dict[str, Query]:
         "gold_published": _gold_published,
         **{name: _gold(job) for name, job in {**reports.DASHBOARD, **reports.ANSWERS}.items()},
         "q_region_late": _region_late,
-        "dq_report": lambda s, d: quality.run_checks(star.bronze(s, d), STAR_CHECKS),
+        "dq_report": _dq_report,
         "guardrail": _guardrail,
         "complexity": lambda s, d: question_log.complexity(_questions(s, d)),
         "routing": lambda s, d: question_log.route(_questions(s, d), PROVIDERS, "override"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 # Any columnar format the session can read and write will do, such as a table format whose jars are installed.
@@ -32,12 +33,31 @@ def write_bucketed(frame: DataFrame, table: str, key: str, buckets: int) -> Data
     return frame.sparkSession.table(table)
 
 
-def append_run_log(rows: DataFrame, path: str) -> None:
-    """Append log rows, one folder per date. Running it again appends them again; the stream does not.
+def new_log_rows(rows: DataFrame, logged: DataFrame, key: str = "run_id") -> DataFrame:
+    """The ``rows`` whose ``key`` and date ``logged`` does not hold, one of each key and date.
+
+    Only the logged dates that ``rows`` touch are read: their folders are chosen at run time from the dates of ``rows``, which are
+    at most one row per day.
+    """
+    days = rows.select("dt").distinct()
+    touched = logged.select(key, "dt").join(F.broadcast(days), "dt", "left_semi")
+    return rows.dropDuplicates([key, "dt"]).join(touched, [key, "dt"], "left_anti").select(rows.columns)
+
+
+def append_run_log(rows: DataFrame, path: str, key: str | None = "run_id") -> None:
+    """Append log rows, one folder per date. Rows that the log holds already, by ``key`` and date, are not appended again, so that a job
+    that failed half-way can be run anew. Without a ``key``, all rows are appended.
 
     The rebalance hint lets adaptive execution merge small dates into few files and split a date that holds a large
     share of the rows over several tasks.
     """
+    spark = rows.sparkSession
+    if key is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+            rows = new_log_rows(rows, spark.read.schema(rows.schema).parquet(path), key)
+        else:
+            rows = rows.dropDuplicates([key, "dt"])
     rows.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from goldpan import catalog as cat
 from goldpan.functions.bands import income_class, late_severity
 from goldpan.functions.measures import cents, from_cents
-from goldpan.operators import dashboard, gold, questions, silver, skew
+from goldpan.operators import dashboard, gold, quality, questions, silver, skew
 from goldpan.plans import medallion
 from goldpan.plans.medallion import OrderModel
 from goldpan.plans.reports import report
@@ -179,7 +179,7 @@ def test_refresh_writes_all_layers(model, expected, tmp_path):
         assert (paid[order].paid, paid[order].in_instalments) == (row["paid"], row["in_instalments"])
     assert {tuple(r) for r in stored["silver_reviews"].collect()} == {tuple(r) for r in model.reviews.collect()}
     report = stored["dq_report"].collect()
-    assert len(report) == len(medallion.LAYER_CHECKS) and all(r.passed for r in report)
+    assert len(report) == len(medallion.LAYER_CHECKS) + 1 and all(r.passed for r in report)
     again = medallion.refresh(model, str(tmp_path / "orc"), "orc")
     assert again["gold_kpis"].first() == gold.gold_kpis(model.state_totals()).first()
 
@@ -209,6 +209,24 @@ def test_orders_without_delivery_date_have_no_delay(spark, model):
 # Skew
 
 
+def test_sketches_merge_as_a_tree(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        keys = spark.range(0, 400_000, 1, 200).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+        hot = skew.hot_keys(keys, "k", 50_000)
+        plan = hot._jdf.queryExecution().executedPlan().toString()
+        assert [(r.k, r._parts) for r in hot.collect()] == [(7, 3)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # one exchange deals the sketches of splits to groups, and only merged groups go on to the last task
+    last, merged = plan.split("approx_top_k_accumulate", 1)
+    assert last.count("Exchange") == 1 and "partial_approx_top_k_combine" in last
+    assert merged.count("Exchange") == 1 and "Exchange hashpartitioning(group" in merged
+    assert skew.hot_keys(keys.limit(0), "k", 1).collect() == []
+    groups = keys.select((F.spark_partition_id() % skew.SKETCH_GROUPS).alias("g")).distinct().count()
+    assert groups == skew.SKETCH_GROUPS < 200
+
+
 def test_hot_keys_are_found_and_bounded(spark):
     keys = spark.range(90_000).select(F.when(F.col("id") < 30_000, 7).otherwise(F.col("id")).alias("k"))
     [(key, parts)] = skew.hot_keys(keys, "k", 5_000).collect()
@@ -402,14 +420,31 @@ def test_instalment_gap_to_rich(golden):
     assert gaps == {"Baixa Renda": 10.5, "Médio": 10.5, "Rico": 0.0}
 
 
+def test_lost_orders_are_counted_by_first_cause(spark):
+    orders = spark.createDataFrame([(i, c) for i, c in enumerate([1, 1, 1, 2, 3, 9, None, 1])], "order_id long, customer_id long")
+    items = spark.createDataFrame([(i,) for i in (0, 1, 2, 3, 4, 5, 6)], "order_id long")
+    payments = spark.createDataFrame([(i,) for i in (0, 1, 3, 4, 5, 6)], "order_id long")
+    customers = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "customer_id long, state_key long")
+    states = spark.createDataFrame([(10,)], "state_key long")
+    lost = quality.lost_orders(orders, {"items": items, "payments": payments}, customers, states)
+    assert {r.cause: r.lost for r in lost.collect()} == {"items": 1, "payments": 1, "customer": 2, "state": 2}
+    kept = orders.where("order_id IN (0, 1)")
+    assert quality.reconciled(orders, kept, lost).first().passed
+    assert quality.reconciled(orders, kept.limit(1), lost).first().failures == 1
+    none = quality.lost_orders(orders.limit(0), {"items": items, "payments": payments}, customers, states)
+    assert [r.lost for r in none.collect()] == [0, 0, 0, 0]
+
+
 def test_provenance_of_gold(spark, golden, tmp_path):
     snapshot = golden.limit(3)
-    assert {r.source for r in gold_or_snapshot(spark, "no_such_table", snapshot).collect()} == {"snapshot"}
+    missing = gold_or_snapshot(spark, "no_such_table", snapshot).collect()
+    assert {(r.source, r.reason) for r in missing} == {("snapshot", "missing")}
     golden.createOrReplaceTempView("gold_view_live")
     live = gold_or_snapshot(spark, "gold_view_live", snapshot)
-    assert live.count() == 27 and live.first().source == "table"
+    assert live.count() == 27 and live.first().source == "table" and live.first().reason is None
     golden.filter("false").createOrReplaceTempView("gold_view_empty")
-    assert gold_or_snapshot(spark, "gold_view_empty", snapshot).first().source == "snapshot"
+    empty = gold_or_snapshot(spark, "gold_view_empty", snapshot).first()
+    assert (empty.source, empty.reason) == ("snapshot", "empty")
     publish(golden, "gold_published")
     published = gold_or_snapshot(spark, "gold_published", snapshot)
     assert published.count() == 27 and published.first().source == "table"

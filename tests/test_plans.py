@@ -21,7 +21,6 @@ SHUFFLES = {
     "sql_clean": 0,
     "answer_status": 0,
     "grounding_table": 1,
-    "chat_latest": 4,
 }
 NO_CROSS = ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "Scan ExistingRDD")
 
@@ -79,3 +78,12 @@ def test_result_rows_are_limited_before_the_shuffle(spark, folder):
 def test_constant_tables_are_local_and_broadcast(spark, folder):
     text = plan(spark, folder, "run_cost")
     assert "BroadcastHashJoin" in text and "LocalTableScan" in text
+
+
+def test_chat_text_is_read_and_shuffled_once(large, folder):
+    text = plan(large, folder, "chat_latest")
+    assert len(re.findall(r"ReadSchema: struct<[^>]*text:string", text)) == 1
+    # the sort by text needs no exchange but that of its window; all others move turns, counts or cuts
+    window = text.index("Window [row_number()")
+    below = text[window : text.index("FileScan", window)]
+    assert below.count("Exchange hashpartitioning(place") == 1 and below.count("Exchange") - below.count("BroadcastExchange") == 1

@@ -7,6 +7,7 @@ from decimal import Decimal, ROUND_HALF_UP
 
 import pytest
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from goldpan import catalog as cat
@@ -14,7 +15,7 @@ from goldpan.functions.measures import cost_micros
 from goldpan.operators import benchmark as bm
 from goldpan.operators import question_log as ql
 from goldpan.sources import star_tables as star
-from goldpan.sources.writers import append_run_log, read_run_log
+from goldpan.sources.writers import append_run_log, new_log_rows, read_run_log
 from goldpan.streaming.run_log_stream import _checkpoint_for, append_runs, read_runs
 
 SCHEMA = (
@@ -126,12 +127,32 @@ def test_log_is_appended_by_date(spark, runs, tmp_path):
     append_run_log(rows, path)
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
     stored = read_run_log(spark, path, schema)
-    assert stored.count() == 12
+    assert stored.count() == 6  # the second time, all rows are there
     assert (tmp_path / "log" / "dt=2024-03-01").is_dir()
     plan = stored.filter("dt = date'2024-03-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
+def test_log_append_can_be_repeated(spark, tmp_path):
+    path, schema = str(tmp_path / "log"), "run_id long, v string, dt date"
+    days = [dt.date(2024, 3, d) for d in (1, 2, 3)]
+    first = spark.createDataFrame([(i, "a", days[i % 3]) for i in range(30)], schema)
+    append_run_log(first, path)
+    held = spark.read.schema(schema).parquet(path)
+    again = new_log_rows(first.where("day(dt) = 2"), held)
+    assert again.isEmpty()
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan  # only folders of dates that the new rows have are read
+    # half of the rows are new; a run of another date is another row, and a row given twice counts once
+    more = spark.createDataFrame([(i, "b", days[i % 3]) for i in range(15, 45)] + [(0, "c", days[1]), (0, "c", days[1])], schema)
+    append_run_log(more, path)
+    append_run_log(more, path)
+    rows = spark.read.schema(schema).parquet(path).collect()
+    assert len(rows) == 46 and sum(r.v == "a" for r in rows) == 30
+    append_run_log(more, path, key=None)
+    assert spark.read.schema(schema).parquet(path).count() == 78
+
+
 def test_stream_logs_each_run_once(spark, folder, tmp_path):
     runs = star.model_runs(star.table(spark, folder, "events"))
     landing, log, marks = (str(tmp_path / n) for n in ("landing", "log", "marks"))
@@ -205,6 +226,26 @@ def test_chat_positions_match_brute_force(spark):
         assert {tuple(r) for r in ql.newest_first(frame, width).collect()} == expected
 
 
+def test_large_chat_is_ranked_in_even_stretches(spark):
+    # turns are times that lie very unevenly, many are equal, and one conversation holds a third of all messages
+    turn = F.timestamp_seconds((F.col("id") * F.col("id") % 1009) * (F.col("id") % 7) * (F.col("id") % 7) * 977)
+    chat = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 40 + 2).alias("conv_id"), turn.alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.col("id").cast("string").alias("text"),
+    )
+    found = ql.newest_first(chat, width=1_000)
+    order = Window.partitionBy("conv_id").orderBy(F.desc("turn"), "role", "text")
+    plain = chat.withColumn("position", F.row_number().over(order).cast("bigint")).select(found.columns)
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    spread = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 40 + 2).alias("conv_id"), (F.col("id") * F.col("id")).alias("turn"), F.lit("r").alias("role"), F.lit("t").alias("text"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = sorted(r["count"] for r in ql.newest_first(spread, width=250).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
 def test_grounding_keeps_the_first_rows_of_a_big_group(spark):
     frame = spark.range(50_000).selectExpr("if(id < 40000, 1, id % 9 + 2) AS id", "id AS position", "id * 2 AS v")
     found = {r.id: r.rows_json for r in ql.grounding(frame, 3).collect()}
