@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 #: Kinds in the order in which they are tried at one place of a text.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # tried at the start of a run only, and a run is not given back: linear in runs without an @
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "token": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "phone": r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?(?:[ -]?[0-9]{2,4}){2,3}(?![0-9]|\.[0-9])",
@@ -88,7 +89,8 @@ def lettered(value: Column, key: Column, kind: str, *alphabets: str) -> Column:
             out = c
             for alphabet in alphabets:
                 place = F.instr(F.lit(alphabet), c)
-                out = F.when(place > 0, F.substring(F.lit(alphabet), F.pmod(place - 1 + shift, F.lit(len(alphabet))) + 1, F.lit(1))).otherwise(out)
+                # half of a single character is empty, and stays so
+                out = F.when((place > 0) & (c != ""), F.substring(F.lit(alphabet), F.pmod(place - 1 + shift, F.lit(len(alphabet))) + 1, F.lit(1))).otherwise(out)
             return out
 
         return F.struct(state["b"].alias("a"), F.array_join(F.transform(F.split(state["a"], ""), moved), "").alias("b"))
@@ -172,7 +174,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count: str |
     """``docs`` with personal data in ``text_col`` replaced; ``count`` names one more column, how many values changed.
 
     Null texts stay null, and texts without such values, of any length, stay as they are. Only valid numbers (Luhn), octets and dates are
-    replaced. Digits, separators, case and length of a value stay, and so does the host of an address.
+    replaced. Digits, separators, case and length of a value stay, and so does the host of an address. Rows that repeat are treated alike, other columns
+    stay, and an empty table gives an empty result.
     """
     text, secret = F.col(text_col), F.lit(key)
     values = F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(0))
