@@ -7,6 +7,7 @@ record, compresses every record as a member of its own and notes where each begi
 from __future__ import annotations
 
 import gzip
+import io
 import uuid
 import zlib
 
@@ -21,6 +22,8 @@ REVISIT_BYTES = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Payload bytes to an archive file, about.
 ARCHIVE_BYTES = 8 << 20
+#: Archive bytes to a task that reads them back, about, and most such tasks.
+READ_BYTES, READ_TASKS = 16 << 20, 50_000
 _CHUNK = 1 << 16
 
 
@@ -58,23 +61,19 @@ def write_monolithic(found: DataFrame, path: str, records_per_file: int) -> None
 
 
 def split_stream(data) -> "list[tuple[bytes, dict[str, str]]]":
-    """Records of a gzip stream (whole bytes or a buffer), one after the other, with their headers. Inflates once, chunk by chunk."""
-    inflate, buffer, view = zlib.decompressobj(31), bytearray(), memoryview(data)
-    at = 0
+    """Records of a gzip stream (bytes or an open file), one after the other, with their headers. Reads and inflates once, chunk by chunk."""
+    inflate, buffer, rest = zlib.decompressobj(31), bytearray(), b""
+    read = data.read if hasattr(data, "read") else io.BytesIO(data).read
 
     def more() -> bool:
-        nonlocal inflate, at
+        nonlocal inflate, rest
+        chunk = rest or read(_CHUNK)
+        if not chunk:
+            return False
         if inflate.eof:  # a further member
-            rest = inflate.unused_data
-            if not rest and at >= len(view):
-                return False
             inflate = zlib.decompressobj(31)
-            buffer.extend(inflate.decompress(rest))
-            return True
-        if at >= len(view):
-            return False
-        buffer.extend(inflate.decompress(view[at : at + _CHUNK]))
-        at += _CHUNK
+        buffer.extend(inflate.decompress(chunk))
+        rest = inflate.unused_data
         return True
 
     while True:
@@ -96,23 +95,26 @@ def split_stream(data) -> "list[tuple[bytes, dict[str, str]]]":
 
 
 def normalise(spark: SparkSession, source: str, target: str, level: int = 4) -> DataFrame:
-    """Rewrite every archive below ``source`` into ``target``, one member per record; the index is (archive, at, length, record_type).
+    """Rewrite every archive in the folder ``source`` into ``target``, one member per record; the index is (archive, at, length, record_type).
 
-    Each task writes a file under another name and then renames it, so a task that runs again leaves one whole file. Archives
-    are named after their sources. The file system is the one that ``target`` names.
+    Spark lists the archives; their tasks read them as streams, so an archive may be of any size, and a task holds one record. Each task writes a file under another name and then renames it, so a task that runs again leaves one whole file. Archives
+    are named after their sources. The file systems are those that ``source`` and ``target`` name. An empty folder gives an empty index; repeated
+    records stay as they are.
     """
 
     def run(batches):
         from pyarrow import fs
 
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                name = path.as_py().rsplit("/", 1)[-1].removesuffix(".gz").removesuffix(".txt") + ".warc.gz"
+            for path in batch.column(0):
+                file = path.as_py().rsplit("/", 1)[-1]
+                name = file.removesuffix(".gz").removesuffix(".txt") + ".warc.gz"
                 store, root = fs.FileSystem.from_uri(target)
                 store.create_dir(root, recursive=True)
                 at, rows, draft = 0, [], f"{root}/_{name}.{uuid.uuid4().hex}"
-                with store.open_output_stream(draft, compression=None) as out:
-                    for record, headers in split_stream(content.as_buffer()):
+                own, folder = fs.FileSystem.from_uri(source)
+                with store.open_output_stream(draft, compression=None) as out, own.open_input_stream(f"{folder}/{file}", compression=None) as content:
+                    for record, headers in split_stream(content):
                         member = gzip.compress(record, level, mtime=0)
                         out.write(member)
                         rows.append((at, len(member), headers.get("warc-type")))
@@ -124,13 +126,18 @@ def normalise(spark: SparkSession, source: str, target: str, level: int = 4) ->
                     ["archive", "at", "length", "record_type"],
                 )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")
     return files.mapInArrow(run, "archive string, at long, length long, record_type string")
 
 
 def read_members(folder: str, index: DataFrame) -> DataFrame:
-    """Records of normalised archives by their places in the index, each read and inflated alone: headers (map of lower-case names) and block."""
-    places = index.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("at", "length"))).alias("places"))
+    """Records of normalised archives by their places in the index, each read and inflated alone: headers (map of lower-case names) and block.
+
+    The index is small, so the number of tasks follows from the bytes that it points to. An empty index gives no rows; a place that it holds twice is read twice.
+    """
+    archives, size = index.agg(F.count_distinct("archive"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    wanted = max(index.sparkSession.sparkContext.defaultParallelism, size // READ_BYTES)
+    places = index.repartition(max(1, min(archives, wanted, READ_TASKS)), "archive").groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("at", "length"))).alias("places"))
 
     def run(batches):
         from pyarrow import fs
