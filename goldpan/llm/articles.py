@@ -79,39 +79,51 @@ def head_end(page: str, at: int) -> int:
     return at
 
 
-def hidden_end(page: str, name: str, at: int, parents: set[str]) -> int:
-    """Where a hidden element whose start tag ends at ``at`` ends.
+def closings(page: str) -> dict[int, int]:
+    """Where the hidden elements that have an end tag end, by where their start tags end."""
+    opened: dict[str, list[int]] = {}
+    out, at = {}, 0
+    while m := _TAG.search(page, at):
+        at, name = m.end(), (m[2] or "").lower()
+        if name in RAW and not m[1]:
+            end = _CLOSES[name].search(page, at)
+            at = end.end() if end else len(page)
+        elif name in HIDDEN and m[1]:
+            if opened.get(name):
+                out[opened[name].pop()] = at
+        elif name in HIDDEN and not (name in ("svg", "math") and m[3].endswith("/")):
+            opened.setdefault(name, []).append(at)
+    return out
+
+
+def hidden_end(page: str, name: str, at: int, parents: set[str], end: int | None) -> tuple[int, int]:
+    """Where a hidden element ends whose start tag ends at ``at`` and whose end tag, if any, ends at ``end``; and how far that was read.
 
-    An element without an end tag ends with its parent, or at the first block in it, so that no text of the page goes with it.
+    An element without an end tag, or whose parent ends before it, ends with its parent, or at the first block in it, so that no text of the page goes with it.
     """
-    if name == "head":
-        return head_end(page, at)
-    if name in RAW:
-        end = _CLOSES[name].search(page, at)
-        return end.end() if end else len(page)
-    depth, opened, first = 1, {}, None
+    opened, first = {}, None
     while m := _TAG.search(page, at):
         at, found = m.end(), (m[2] or "").lower()
+        if at == end:
+            return at, at
         if not found:
             continue
-        if found == name:
-            if not m[1] and name in ("button", "select"):  # they don't nest
-                return m.start() if first is None else first
-            depth += -1 if m[1] else not m[3].endswith("/")
-            if not depth:
-                return at
-        elif not m[1]:
+        if found == name and not m[1] and name in ("button", "select"):  # they don't nest
+            return m.start() if first is None else first, at
+        if not m[1]:
             if found in RAW:
-                end = _CLOSES[found].search(page, at)
-                at = end.end() if end else len(page)
+                close = _CLOSES[found].search(page, at)
+                at = close.end() if close else len(page)
             elif found in BLOCKS and found not in VOID:
                 opened[found] = opened.get(found, 0) + 1
                 first = m.start() if first is None else first
+                if end is None:
+                    return first, at
         elif opened.get(found):
             opened[found] -= 1
-        elif found in parents:
-            return m.start() if first is None else first
-    return len(page) if first is None else first
+        elif found != name and found in parents:
+            return m.start() if first is None else first, at
+    return len(page) if first is None else first, len(page)
 
 
 def blocks(page: str) -> list[Block]:
@@ -121,6 +133,7 @@ def blocks(page: str) -> list[Block]:
     inside = outside = False
     named = ""
     links, current, at = 0, None, 0
+    ends, read = None, 0  # of hidden elements; how far has been read for one that its parent cut short
     while True:
         m = _TAG.search(page, at)
         text = page[at : m.start() if m else len(page)]
@@ -139,7 +152,17 @@ def blocks(page: str) -> list[Block]:
         name, closing = m[2].lower(), bool(m[1])
         if name in HIDDEN and not closing:
             if not (name in ("svg", "math") and m[3].endswith("/")):
-                at = hidden_end(page, name, at, {x[0] for x in stack})
+                if name == "head":
+                    at = head_end(page, at)
+                elif name in RAW:
+                    close = _CLOSES[name].search(page, at)
+                    at = close.end() if close else len(page)
+                else:
+                    ends = closings(page) if ends is None else ends
+                    end = ends.get(at)
+                    # what the parent of an earlier one cut short has no end tag before that place
+                    at, seen = hidden_end(page, name, at, {x[0] for x in stack}, None if end is not None and at < read < end else end)
+                    read = max(read, seen)
             current = None if name in BLOCKS else current
             continue
         if name == "a":
