@@ -27,11 +27,14 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> int:
     The exit code is 1 if a quality test fails; the version is then not published, and readers keep the one before.
     """
     if args.layout == "csv":
-        bronze = write_bronze(store_csv.bronze(spark, args.input), f"{args.output}/bronze", args.format)
+        bronze = write_bronze(store_csv.bronze(spark, args.input), f"{args.output}/bronze", args.format, store_csv.BUCKET_KEYS, args.buckets)
         model = medallion.from_store_csv(spark, bronze)
     else:
-        model = medallion.from_star_tables(star_tables.bronze(spark, args.input))
-    tables, version = medallion.refresh_and_publish(spark, model, args.output, args.format)
+        bronze = star_tables.bronze(spark, args.input)
+        if args.buckets:
+            bronze |= write_bronze({t: bronze[t] for t in star_tables.BUCKET_KEYS}, f"{args.output}/bronze", args.format, star_tables.BUCKET_KEYS, args.buckets)
+        model = medallion.from_star_tables(bronze)
+    tables, version = medallion.refresh_and_publish(spark, model, args.output, args.format, args.buckets)
     checks = tables["dq_report"]
     checks.orderBy("table", "column", "test").show(len(medallion.LAYER_CHECKS), truncate=False)
     if version is None:
@@ -78,6 +81,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     command.add_argument("--input", required=True)
     command.add_argument("--output", required=True)
     command.add_argument("--keep", type=int, default=2, help="published versions to keep")
+    command.add_argument("--buckets", type=int, default=0, help="buckets of tables keyed on the order, about one per 128 MB of the largest; 0 for none")
     command.set_defaults(run=refresh)
     command = commands.add_parser("report", help="dashboard datasets and answers")
     command.add_argument("--lake", required=True)

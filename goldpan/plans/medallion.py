@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from goldpan.operators import gold, quality, silver
 from goldpan.sources import star_tables, store_csv
 from goldpan.sources.publication import Publication, publish_version, version_folder
-from goldpan.sources.writers import COLUMNAR, write_layer
+from goldpan.sources.writers import COLUMNAR, write_bucketed_layer, write_layer
 
 # The checks of the star-schema tables. Line keys repeat in that data, so the last one reports failures.
 STAR_CHECKS = [
@@ -110,10 +110,18 @@ class OrderModel:
     def gold_state(self) -> DataFrame:
         return gold.gold_state(self.state_totals())
 
-    def stored(self, folder: str, fmt: str = COLUMNAR) -> OrderModel:
-        """The same model with every per-order and review table written once and read back."""
-        per_order = {name: write_layer(frame, f"{folder}/{name}", fmt) for name, frame in self.per_order.items()}
-        return replace(self, per_order=per_order, reviews=write_layer(self.reviews, f"{folder}/silver_reviews", fmt))
+    def stored(self, folder: str, fmt: str = COLUMNAR, buckets: int = 0) -> OrderModel:
+        """The same model with every per-order and review table written once and read back; with ``buckets``, those with one row per order
+        are bucketed on the order."""
+
+        def write(name: str, frame: DataFrame) -> DataFrame:
+            path = f"{folder}/{name}"
+            if buckets and "order_id" in frame.columns:
+                return write_bucketed_layer(frame, path, "order_id", buckets, fmt)
+            return write_layer(frame, path, fmt)
+
+        per_order = {name: write(name, frame) for name, frame in self.per_order.items()}
+        return replace(self, per_order=per_order, reviews=write("silver_reviews", self.reviews))
 
 
 def from_star_tables(tables: dict[str, DataFrame]) -> OrderModel:
@@ -142,7 +150,7 @@ def from_store_csv(spark: SparkSession, tables: dict[str, DataFrame]) -> OrderMo
     )
 
 
-def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR) -> dict[str, DataFrame]:
+def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR, buckets: int = 0) -> dict[str, DataFrame]:
     """Write the layers in order and return the tables: four silver tables, enriched silver, three gold tables,
     the orders lost on the way by cause, and the report.
 
@@ -150,12 +158,15 @@ def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR) -> dict[str, Da
     are joined once for all gold tables. Every step reads the stored files of the one before, so a lost executor costs
     no more than re-reading. Give every refresh a new folder and publish at the end: a refresh that fails then leaves
     the published tables as they were.
+
+    With ``buckets`` and a bronze layer bucketed alike on the order (``write_bronze``), raw facts are grouped and orders joined with their facts without
+    an exchange on the order.
     """
 
     def write(name: str, frame: DataFrame) -> DataFrame:
         return write_layer(frame, f"{folder}/{name}", fmt)
 
-    base = model.stored(folder, fmt)
+    base = model.stored(folder, fmt, buckets)
     enriched = write("silver_orders_enriched", base.enriched())
     totals = write("state_totals", gold.state_totals(enriched))
     tables = {
@@ -175,14 +186,14 @@ def refresh(model: OrderModel, folder: str, fmt: str = COLUMNAR) -> dict[str, Da
     return tables
 
 
-def refresh_and_publish(spark: SparkSession, model: OrderModel, root: str, fmt: str = COLUMNAR) -> tuple[dict[str, DataFrame], Publication | None]:
+def refresh_and_publish(spark: SparkSession, model: OrderModel, root: str, fmt: str = COLUMNAR, buckets: int = 0) -> tuple[dict[str, DataFrame], Publication | None]:
     """Refresh into a new version folder below ``root`` and publish it if all its quality tests pass.
 
     A refresh that fails, or whose tests fail, leaves the version that readers see as it was; the tables of the latter are returned, without
     a publication.
     """
     folder = version_folder(root)
-    tables = refresh(model, folder, fmt)
+    tables = refresh(model, folder, fmt, buckets)
     if not tables["dq_report"].filter("NOT passed").isEmpty():
         return tables, None
     return tables, publish_version(spark, root, folder, tables, fmt)

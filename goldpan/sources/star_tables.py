@@ -43,6 +43,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 ORDER_TABLES = ("customer", "events", "lineitem", "nation", "orders", "region")
 
 
+#: The key on which the large raw tables meet.
+BUCKET_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
 def bronze(spark: SparkSession, folder: str, names: Sequence[str] = ORDER_TABLES) -> dict[str, DataFrame]:
     """Stored tables by name; by default those of the order pipeline."""
     return {name: table(spark, folder, name) for name in names}

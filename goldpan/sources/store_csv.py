@@ -43,6 +43,10 @@ def read_csv(spark: SparkSession, folder: str, name: str, pattern: str = "*{name
     )
 
 
+#: The key on which the large raw tables meet.
+BUCKET_KEYS = {name: "order_id" for name in ("orders", "order_items", "order_payments", "order_reviews")}
+
+
 def bronze(spark: SparkSession, folder: str, pattern: str = "*{name}*.csv") -> dict[str, DataFrame]:
     """All seven raw tables by name."""
     return {name: read_csv(spark, folder, name, pattern) for name in SCHEMAS}

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldpan.operators.skew import hot_keys
+
 
 # Any columnar format the session can read and write will do, such as a table format whose jars are installed.
 COLUMNAR = "parquet"
@@ -16,9 +20,36 @@ def write_layer(frame: DataFrame, path: str, fmt: str = COLUMNAR) -> DataFrame:
     return frame.sparkSession.read.format(fmt).load(path)
 
 
-def write_bronze(tables: dict[str, DataFrame], folder: str, fmt: str = COLUMNAR) -> dict[str, DataFrame]:
-    """Store raw tables in columns, so text files are parsed once and later scans can prune columns."""
-    return {name: write_layer(frame, f"{folder}/{name}", fmt) for name, frame in tables.items()}
+def write_bronze(
+    tables: dict[str, DataFrame], folder: str, fmt: str = COLUMNAR, keys: dict[str, str] | None = None, buckets: int = 0
+) -> dict[str, DataFrame]:
+    """Store raw tables in columns, so text files are parsed once and later scans can prune columns.
+
+    With ``buckets``, tables named in ``keys`` are bucketed on their key, so that grouping and joining on it need no exchange. A bucket is
+    read by one task; where a key alone fills more than an average one, the table is stored without buckets, and grouping on the
+    key combines map-side as usual.
+    """
+    out = {}
+    for name, frame in tables.items():
+        key, path = (keys or {}).get(name) if buckets else None, f"{folder}/{name}"
+        # the sketch reports keys above about a thousandth of the rows only, and such keys fill a bucket of a thousand or more
+        full = key and hot_keys(frame, key, max(1, frame.count() // min(buckets, 1000)))
+        out[name] = write_layer(frame, path, fmt) if key is None or not full.isEmpty() else write_bucketed_layer(frame, path, key, buckets, fmt)
+    return out
+
+
+def write_bucketed_layer(frame: DataFrame, path: str, key: str, buckets: int, fmt: str = COLUMNAR) -> DataFrame:
+    """Replace a stored layer table by one bucketed on ``key`` and read it back as such.
+
+    Spark knows buckets by catalog tables only, so the files are read through an entry that is dropped at once; the returned frame goes on
+    knowing the buckets, and readers of the path see plain files.
+    """
+    spark, table = frame.sparkSession, f"goldpan_layer_{uuid.uuid4().hex}"
+    frame.write.mode("overwrite").format(fmt).option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    stored = spark.table(table)
+    stored.schema  # resolved while the entry is there
+    spark.sql(f"DROP TABLE {table}")
+    return stored
 
 
 def publish(frame: DataFrame, table: str, fmt: str = COLUMNAR) -> DataFrame:
