@@ -40,6 +40,6 @@ def cost_micros(tokens_in: Column, tokens_out: Column, price_in: Column, price_o
     return F.round(spent(tokens_in, price_in) + spent(tokens_out, price_out), 0).cast("bigint")
 
 
-def cost_label(micros: Column) -> Column:
+def cost_label(micros: Column, free: str = FREE_LABEL) -> Column:
     """Cost in dollars to six decimals as text; runs that cost nothing are labelled free."""
-    return F.when(micros > 0, F.format_string("$%.6f", micros / 1e6)).otherwise(FREE_LABEL)
+    return F.when(micros > 0, F.format_string("$%.6f", micros / 1e6)).otherwise(free)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldpan import catalog as cat
 from goldpan.functions import text as tx
 from goldpan.functions.bands import model_family
-from goldpan.functions.measures import cost_micros, ratio
+from goldpan.functions.measures import cost_label, cost_micros, ratio
+
+#: Cost of a benchmark cell that costs nothing.
+CELL_FREE = "Gratis"
 
 
 def grid(questions: list[str], models: list[str], runs: DataFrame) -> DataFrame:
@@ -24,8 +27,8 @@ def grid(questions: list[str], models: list[str], runs: DataFrame) -> DataFrame:
 
 
 def _with_outcome(runs: DataFrame, prices: DataFrame) -> DataFrame:
-    """Latency, cost and answer of each run. A failed run counts zero latency and cost and shows its error, cut to 80
-    characters. Only the tokens of the first prompt are charged, with defaults where a run reports none."""
+    """Latency, cost, answer and SQL of each run. A failed run counts zero latency and cost and shows its error, cut to 80
+    characters. Only the tokens of the first prompt are charged, with defaults where a run reports none; a failed run has empty SQL."""
     ok = F.col("ok")
     spent = cost_micros(
         F.coalesce("tokens_in", F.lit(cat.DEFAULT_TOKENS_IN)),
@@ -43,6 +46,7 @@ def _with_outcome(runs: DataFrame, prices: DataFrame) -> DataFrame:
         F.when(ok, F.col("latency_ms")).otherwise(zero).alias("latency_ms"),
         F.when(ok, spent).otherwise(zero).alias("cost_micros"),
         F.when(ok, tx.strip(F.coalesce("answer", F.lit("")))).otherwise(error).alias("answer"),
+        F.when(ok, tx.strip_fences(F.coalesce("generated", F.lit("")))).otherwise("").alias("sql"),
     )
 
 
@@ -54,12 +58,17 @@ def bench_runs(runs: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
+def _price_label(llm: Column) -> Column:
+    """Price of a benchmark model as text, a dash for other models."""
+    label = F.lit("-")
+    for model, _, text in reversed(cat.BENCH_MODELS):
+        label = F.when(llm == model, text).otherwise(label)
+    return label
+
+
 def by_model(runs: DataFrame, prices: DataFrame) -> DataFrame:
     """Totals per model. Costs are rounded per run and then summed, in whole millionths. Failed runs add nothing to
     ``latency_sum``, so ``avg_latency_ok`` divides by the runs that succeeded."""
-    label = F.lit(None).cast("string")
-    for model, _, text in reversed(cat.BENCH_MODELS):
-        label = F.when(F.col("llm") == model, text).otherwise(label)
     totals = (
         _with_outcome(runs, prices)
         .groupBy("llm")
@@ -77,13 +86,30 @@ def by_model(runs: DataFrame, prices: DataFrame) -> DataFrame:
         (F.col("cost_micros") / 1e6).alias("cost_sum"),
         "ok_count",
         "run_count",
-        F.coalesce(label, F.lit("-")).alias("price_label"),
+        _price_label(F.col("llm")).alias("price_label"),
         F.round(ratio(F.col("latency_sum"), F.col("ok_count")), 4).alias("avg_latency_ok"),
     )
 
 
 def answer_matrix(runs: DataFrame, prices: DataFrame, questions: list[str], models: list[str]) -> DataFrame:
-    """One row per benchmark question with one column per model: the answer of its first run, cut to 180 characters.
+    """One row per benchmark question with one column per model: the answer of its first run, cut to 180 characters."""
+    answers = _first_outcomes(runs, prices, questions, models)
+    return answers.groupBy("question").pivot("llm", models).agg(F.min_by("answer", "run_id"))
+
+
+def cells(runs: DataFrame, prices: DataFrame, questions: list[str], models: list[str]) -> DataFrame:
+    """(question, llm, ok, answer, sql, latency_ms, cost_usd, cost_label, price_label): what a benchmark shows for a question and a model.
+
+    Each is the first run of the pair; pairs without runs have no row. A failed run shows its error at no latency and no cost.
+    """
+    micros = F.col("cost_micros")
+    shown = {"cost_usd": micros / 1e6, "cost_label": cost_label(micros, CELL_FREE), "price_label": _price_label(F.col("llm"))}
+    first = _first_outcomes(runs, prices, questions, models)
+    return first.select("question", "llm", "ok", "answer", "sql", "latency_ms", *[c.alias(name) for name, c in shown.items()])
+
+
+def _first_outcomes(runs: DataFrame, prices: DataFrame, questions: list[str], models: list[str]) -> DataFrame:
+    """The outcome of the first run of each benchmark question with each model, its answer cut to 180 characters.
 
     The first run of each pair is found by number alone, which hashes; keeping the answer text in the aggregate would
     sort all runs. Only the first runs are then read in full. There is at most one per question and model of the two
@@ -92,5 +118,4 @@ def answer_matrix(runs: DataFrame, prices: DataFrame, questions: list[str], mode
     wanted = runs.filter(F.col("question").isin(questions) & F.col("llm").isin(models))
     first = wanted.groupBy("question", "llm").agg(F.min("run_id").alias("run_id"))
     kept = wanted.join(F.broadcast(first), ["question", "llm", "run_id"], "left_semi")
-    answers = _with_outcome(kept, prices).withColumn("answer", tx.prefix(F.col("answer"), 180))
-    return answers.groupBy("question").pivot("llm", models).agg(F.min_by("answer", "run_id"))
+    return _with_outcome(kept, prices).withColumn("answer", tx.prefix(F.col("answer"), 180))

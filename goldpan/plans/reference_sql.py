@@ -431,4 +431,11 @@ def oracle_sql() -> dict[str, str]:
             + " AS avg_latency_ok FROM costed GROUP BY llm"
         ),
         "benchmark_answers": f"WITH {_RUNS} SELECT question, {answers} FROM costed GROUP BY question",
+        "benchmark_cells": (
+            f"WITH {_RUNS} SELECT question, llm, ok, substr(bench_answer, 1, 180) AS answer, "
+            "CASE WHEN ok THEN 'SELECT ' || chr(39) || props || chr(39) ELSE '' END AS sql, bench_latency AS latency_ms, "
+            "bench_micros / 1e6 AS cost_usd, CASE WHEN bench_micros > 0 THEN printf('$%.6f', bench_micros / 1e6) ELSE 'Gratis' END "
+            f"AS cost_label, CASE llm {_LABELS} END AS price_label FROM "
+            "(SELECT *, row_number() OVER (PARTITION BY question, llm ORDER BY run_id) AS n FROM costed) WHERE n = 1"
+        ),
     }

@@ -194,4 +194,5 @@ def queries() -> dict[str, Query]:
         "benchmark_runs": lambda s, d: benchmark.bench_runs(_runs(s, d), price(s)),
         "benchmark_by_model": lambda s, d: benchmark.by_model(_runs(s, d), price(s)),
         "benchmark_answers": _answers,
+        "benchmark_cells": lambda s, d: benchmark.cells(_runs(s, d), price(s), cat.BENCH_QUESTIONS, cat.bench_models()),
     }

@@ -215,6 +215,19 @@ def test_answers_keep_the_first_run(spark):
     assert row["gpt-4o"] == "a" * 180 and row["gpt-4o-mini"] == "mini" and row["qwen-qwq-32b"] is None
 
 
+def test_cells_show_the_first_run(spark):
+    rows = [run(9, answer="late"), run(2, answer="a" * 300), run(5, llm="qwen-qwq-32b", answer=None), run(4, llm="gpt-4o-mini", ok=False, generation_error="e" * 99)]
+    rows += [run(1, question="not in the benchmark"), run(0, llm="mystery")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    found = {r.llm: r for r in bm.cells(table, cat.price_table(spark), ["Qual região?"], cat.bench_models()).collect()}
+    assert set(found) == {"gpt-4o", "gpt-4o-mini", "qwen-qwq-32b"}
+    first, free, failed = found["gpt-4o"], found["qwen-qwq-32b"], found["gpt-4o-mini"]
+    assert first.answer == "a" * 180 and first.cost_label == f"${first.cost_usd:.6f}" and first.price_label == "$2.5/1M"
+    assert (free.answer, free.cost_usd, free.cost_label, free.price_label) == ("", 0.0, "Gratis", "Gratuito")
+    assert (failed.ok, failed.answer, failed.sql, failed.latency_ms, failed.cost_label) == (False, "Erro: " + "e" * 80, "", 0, "Gratis")
+    assert bm.cells(table.limit(0), cat.price_table(spark), ["Qual região?"], cat.bench_models()).collect() == []
+
+
 def test_chat_positions_match_brute_force(spark):
     chat = [(c, t, "user", f"{c}/{t}") for c, turns in ((1, range(1000)), (2, [3]), (3, [5, 90, 7, 250])) for t in turns]
     frame = spark.createDataFrame(chat, "conv_id bigint, turn bigint, role string, text string").repartition(5)
