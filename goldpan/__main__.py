@@ -36,7 +36,7 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> int:
         model = medallion.from_star_tables(bronze)
     tables, version = medallion.refresh_and_publish(spark, model, args.output, args.format, args.buckets)
     checks = tables["dq_report"]
-    checks.orderBy("table", "column", "test").show(len(medallion.LAYER_CHECKS), truncate=False)
+    checks.orderBy("table", "column", "test").show(len(medallion.LAYER_CHECKS) + 1, truncate=False)
     if version is None:
         return 1
     print(f"published {version.version}")
