@@ -19,19 +19,25 @@ BROADCAST_WINDOWS = 500_000
 #: Units of measure.
 UNITS = "km|cm|mm|kg|mg|ml|lbs?|miles?|metres?|meters?|litres?|liters?|grams?|hours?|minutes?|seconds?|days?|weeks?|years?|dollars?|euros?|percent|usd|eur"
 NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"
+#: Stands for the space inside a name of several words, which is one slot.
+JOINED = "\ue003"
+#: Between words: no point or comma with a digit on either side, so that a decimal or grouped number is one word. The run is not given back.
+BETWEEN = rf"[^\p{{L}}\p{{Nd}}{NUMBER}-{JOINED}]++(?<![0-9][.,](?=[0-9]))"
 
 
 def slots(text: Column) -> Column:
-    """Text with numbers, then units behind numbers, then capitalised words inside a sentence led by a placeholder mark."""
+    """Text with numbers, then units behind numbers, then names (runs of capitalised words inside a sentence) led by a placeholder mark."""
     marked = F.regexp_replace(text, r"[0-9]+(?:[.,][0-9]+)*", f" {NUMBER}$0 ")
     marked = F.regexp_replace(marked, rf"({NUMBER}[0-9.,]+ +)((?i:{UNITS}))\b", f"$1{UNIT}$2")
     marked = F.when(text.rlike("[0-9]"), marked).otherwise(text)
-    return F.regexp_replace(marked, r"\p{Lu}(?<=[a-zß-ÿ,;] .)\p{Ll}+", f"{NAME}$0")
+    marked = F.regexp_replace(marked, r"\p{Lu}(?<=[a-zß-ÿ,;] .)\p{Ll}++(?: \p{Lu}\p{Ll}++)*+", f"{NAME}$0")
+    # the first word of a name, or the one behind a space that was just replaced, before another capitalised word
+    return F.regexp_replace(marked, rf"({NAME}\p{{L}}++|(?!^)\G\p{{L}}++) (?=\p{{Lu}}\p{{Ll}})", f"$1{JOINED}")
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words with their placeholder marks; everything that is not a letter, digit or mark separates."""
-    words = F.split(F.lower(slots(text)), rf"[^\p{{L}}\p{{Nd}}{NUMBER}{UNIT}{NAME}.]*[^\p{{L}}\p{{Nd}}{NUMBER}{UNIT}{NAME}]+|\.+$")
+    words = F.split(F.lower(slots(text)), BETWEEN)
     return F.filter(words, lambda w: w != "")
 
 
@@ -98,14 +104,21 @@ def marked(words: Column) -> Column:
     return F.filter(words, lambda w: w >= NUMBER)
 
 
-def own_windows(texts: DataFrame, lengths: list[int]) -> DataFrame:
-    """(of, item_at, item_window, item_length, light, item_slots) of benchmark ``texts`` (of, text, words, length).
+def own_forms(texts: DataFrame) -> DataFrame:
+    """(of, inner, words, length) of benchmark ``texts`` (of, text): each text as it stands, and as it reads inside a sentence.
 
-    A first word with a capital is a name where it follows other words, so the window at the start of a text has that form, too.
+    A first word with a capital is a name, or the start of one, where it follows other words, so the window at the start of a text has that form, too.
     """
-    follows = F.concat(F.array(F.concat(F.lit(NAME), F.element_at("words", 1))), F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0))))
-    inner = texts.where(F.col("text").rlike(r"^[^\p{L}\p{Nd}]*\p{Lu}\p{Ll}") & (F.element_at("words", 1) < NUMBER)).withColumn("words", follows)
-    found = windowed(texts.withColumn("inner", F.lit(False)).unionByName(inner.withColumn("inner", F.lit(True))).drop("text").withColumnRenamed("length", "own"), lengths)
+    plain = texts.withColumn("words", tokens(F.col("text"))).withColumn("inner", F.lit(False))
+    inner = plain.where(F.col("text").rlike(r"^[^\p{L}\p{Nd}]*\p{Lu}\p{Ll}") & (F.element_at("words", 1) < NUMBER))
+    follows = tokens(F.concat(F.lit("a "), F.regexp_replace("text", r"^[^\p{L}\p{Nd}]+", "")))
+    inner = inner.withColumns({"words": F.slice(follows, 2, F.greatest(F.size(follows) - 1, F.lit(0))), "inner": F.lit(True)})
+    return plain.unionByName(inner).select("of", "inner", "words", F.least(F.size("words"), F.lit(WINDOW)).alias("length"))
+
+
+def own_windows(forms: DataFrame, lengths: list[int]) -> DataFrame:
+    """(of, inner, item_at, item_window, item_length, light, item_slots) of benchmark ``forms``; of the inner form only what starts with the text."""
+    found = windowed(forms.withColumnRenamed("length", "own"), lengths)
     found = found.where("window IS NOT NULL AND length = own AND (at = 0 OR NOT inner)")
     found = found.withColumn("item_slots", marked(F.slice("words", F.col("at") + 1, F.col("length"))))
     light = F.size("item_slots") <= F.floor(F.col("length") / 2)
@@ -124,11 +137,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     are ignored; empty tables give an empty result.
     """
     given = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_id).alias("item"), F.xxhash64(item_text).alias("of"), F.col(item_text).alias("text"))
-    texts = given.groupBy("of").agg(F.first("text").alias("text")).withColumn("words", tokens(F.col("text")))
-    texts = texts.withColumn("length", F.least(F.size("words"), F.lit(WINDOW)))
+    forms = own_forms(given.groupBy("of").agg(F.first("text").alias("text")))
     # at most eight lengths
-    lengths = sorted((r["length"] for r in texts.select("length").distinct().collect() if r["length"] > 0), reverse=True) or [WINDOW]
-    items = own_windows(texts, lengths)
+    lengths = sorted((r["length"] for r in forms.select("length").distinct().collect() if r["length"] > 0), reverse=True) or [WINDOW]
+    items = own_windows(forms, lengths)
     sizes = items.where("NOT inner").groupBy("of").agg(F.count(F.lit(1)).alias("all"), F.count_if("light").alias("few"))
     items = items.drop("inner")
     few = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS

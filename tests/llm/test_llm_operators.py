@@ -224,6 +224,24 @@ def test_items_of_every_kind_are_caught(spark):
     assert found == {(1, 1), (1, 5), (2, 2), (2, 5), (3, None), (4, 4), (5, 1), (11, 6)}
 
 
+def test_decimals_grouped_numbers_and_long_names_are_one_slot(spark):
+    words = lambda t: spark.range(1).select(decontaminate.tokens(F.lit(t)).alias("w")).first().w
+    number, unit, name, joined = decontaminate.NUMBER, decontaminate.UNIT, decontaminate.NAME, decontaminate.JOINED
+    assert words("3.5 km, 1,200. (0.25) .5 7,x") == [number + "3.5", unit + "km", number + "1,200", number + "0.25", number + "5", number + "7", "x"]
+    assert words("from New York City to Paris, Old York. End") == ["from", name + joined.join(["new", "york", "city"]), "to", name + "paris", name + joined.join(["old", "york"]), "end"]
+    speed = "a car drives at a speed of 3.5 km per hour for 2.5 hours how far does it go"
+    travel = "a letter from New York takes two days"
+    first = "New York has so many bridges that nobody counts them"
+    docs = [
+        (1, "x " + speed.replace("3.5", "4.2").replace("2.5", "7.1") + " y"), (2, "x " + speed.replace("3.5", "1,200").replace("2.5", "40")), (3, travel.replace("New York", "Paris")),
+        (4, travel.replace("New York", "Rio Grande Valley")), (5, "they say New York has so many bridges that nobody counts them"), (6, "they say Paris has so many bridges that nobody counts them"),
+        (7, speed.replace("3.5 km per", "per 3.5")), (8, first), (9, "say that " + first.replace("many ", "")),
+    ]
+    benchmark = spark.createDataFrame([(1, speed), (2, travel), (3, first)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()}
+    assert found == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, 3), (8, 3)}
+
+
 def test_benchmark_passages_are_found_as_by_brute_force(spark, folder):
     docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     split = lambda t: re.findall(r"[^\W_]+", t.lower())
