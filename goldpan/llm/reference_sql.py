@@ -130,18 +130,71 @@ def archives() -> str:
 
 
 def chat() -> str:
-    """All turns, and the assistant's texts, of every conversation and of one more."""
-    return """
+    """All turns, and the assistant's texts, of every conversation and of one more; an example is all turns up to an assistant's, or up to the last.
+
+    A formatted turn has 16 characters of marks besides role and text, in which three characters are written as four or five more.
+    """
+    size = lambda c: f"length({c}) + 4 * (length({c}) - length(replace({c}, '&', ''))) + 3 * (length({c}) - length(replace({c}, '<', ''))) + 4 * (length({c}) - length(replace({c}, '[', '')))"
+    return f"""
     WITH turns AS (
-      SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
       UNION ALL SELECT -7, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) r(n)
+    ), placed AS (
+      SELECT *, sum(16 + {size("role")} + {size("text")}) OVER so_far AS chars,
+        row_number() OVER so_far AS place, count(*) OVER (PARTITION BY conv_id) AS turns
+      FROM turns WINDOW so_far AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
     ), whole AS (
-      SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
-        coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS said
-      FROM turns GROUP BY conv_id
+      SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '') AS said,
+        sum(chars) FILTER (role = 'assistant' OR place = turns) AS formatted_chars
+      FROM placed GROUP BY conv_id
     )
-    SELECT conv_id, n_turns, turns_sha256, length(said)::BIGINT AS loss_chars, sha256(said) AS loss_sha256 FROM whole"""
+    SELECT conv_id, n_turns, turns_sha256, length(said)::BIGINT AS loss_chars, sha256(said) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars FROM whole"""
+
+
+def _grouped(links: str) -> str:
+    """Table expressions: for the nodes of ``links`` (a, b; both ways) the smallest one that each reaches."""
+    return f"""
+    reached AS (SELECT DISTINCT a AS node, a AS there FROM {links} UNION SELECT node, b FROM reached JOIN {links} ON there = a),
+    roots AS (SELECT node, min(there) AS root FROM reached GROUP BY node)"""
+
+
+def near_vectors() -> str:
+    """Every pair of different vectors, in double precision."""
+    return f"""
+    WITH RECURSIVE given AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    fine AS (
+      SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM given
+      WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+    ),
+    links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM fine x JOIN fine y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v) WHERE list_dot_product(x.v, y.v) >= 0.95),
+    {_grouped("links")}
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+    FROM given LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = vec_id LEFT JOIN roots ON node = vec_id"""
+
+
+def near_documents() -> str:
+    """Shingles of four words; documents that share one are compared on whole sets, equal sets as one."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    WITH RECURSIVE worded AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ),
+    sets AS (
+      SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k : k + 3], ' ')) END)) AS s FROM worded
+    ),
+    numbered AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN min(doc_id) OVER (PARTITION BY s) ELSE doc_id END AS rep, s FROM sets),
+    classes AS (SELECT doc_id AS rep, n, s FROM numbered WHERE doc_id = rep AND n > 0),
+    shingles AS (SELECT rep, n, unnest(s) AS g FROM classes),
+    pairs AS (SELECT x.rep AS a, y.rep AS b, count(*) AS both_, x.n + y.n AS size FROM shingles x JOIN shingles y ON x.g = y.g AND x.rep <> y.rep AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) GROUP BY x.rep, y.rep, x.n, y.n),
+    links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * both_ >= 80 * (size - both_)),
+    {_grouped("links")}
+    SELECT doc_id, n::BIGINT AS n_shingles, coalesce(root, rep) AS component_id, coalesce(root, rep) = doc_id AS kept FROM numbered LEFT JOIN roots ON node = rep"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_members": archives(), "op11_spelling_variants": spelling(), "op12_merkle_descent": manifest()}
+    return {
+        "op4_warc_members": archives(), "op5_rotated_codes": near_vectors(), "op6_prefix_target_chat": chat(), "op8_min_max_hashing": near_documents(),
+        "op11_spelling_variants": spelling(), "op12_merkle_descent": manifest(),
+    }
