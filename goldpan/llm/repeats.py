@@ -23,8 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.llm.common import stored
+from goldpan.operators.skew import hot_keys
 
 PREFIX = 128
+#: Rows of a key that are joined in one task; more are dealt over several.
+ROWS_PER_PART = 20_000
 #: Widths of the blocks of starts, from round to round.
 WIDTHS = (69, 18, 5, 1)
 _PIECE = 1 << 20
@@ -69,6 +72,20 @@ def blocks(low: int, high: int, width: int):
     return [(a, min(a + width - 1, high)) for a in range(low, high + 1, width)]
 
 
+def joined(rows: DataFrame, other: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """Inner join with ``other``, which is unique on ``keys``; rows of a frequent key are dealt over parts by a hash of ``spread``.
+
+    A frequency sketch names at most a thousand hashes of keys, so their list is small enough for a broadcast at every size. The result does
+    not depend on which keys it names.
+    """
+    hashed = F.xxhash64(*keys)
+    hot = F.broadcast(hot_keys(rows.select(hashed.alias("hash")), "hash", ROWS_PER_PART))
+    parts = F.coalesce("_parts", F.lit(1))
+    left = rows.withColumn("hash", hashed).join(hot, "hash", "left").withColumn("part", F.pmod(F.xxhash64(*spread), parts).cast("int"))
+    right = other.withColumn("hash", hashed).join(hot, "hash", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return left.drop("hash", "_parts").join(right.drop("hash", "_parts"), [*keys, "part"]).drop("part")
+
+
 def settled(rows: DataFrame) -> DataFrame:
     """The rows that go on, with ``repeats``: wanted rows whose span repeats, and rows of cores that are open.
 
@@ -79,15 +96,15 @@ def settled(rows: DataFrame) -> DataFrame:
     spans = rows.groupBy("core", "span").agg(F.min(place).alias("one"), F.max(place).alias("other"), F.max(wanted()).alias("asked"))
     repeats = F.col("one") != F.col("other")
     cores = spans.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max(~repeats & F.col("asked")).alias("open"))
-    spans = spans.join(cores, "core").withColumn("open", F.col("open") & (F.col("n") > 1)).withColumn("repeats", repeats)
+    spans = joined(spans, cores, ["core"], ["span"]).withColumn("open", F.col("open") & (F.col("n") > 1)).withColumn("repeats", repeats)
     spans = spans.where("repeats OR open").select("core", "span", "one", "repeats", "open")
-    found = rows.join(spans, ["core", "span"])
-    again, compared = found["repeats"] & wanted(), found["open"] & (~found["repeats"] | (place == found["one"]))
+    found = joined(rows, spans, ["core", "span"], ["key", "spot"])
+    again, compared = F.col("repeats") & wanted(), F.col("open") & (~F.col("repeats") | (place == F.col("one")))
     return found.where(again | compared).select(*rows.columns, again.alias("repeats"), compared.alias("compared"))
 
 
-def spot(at: int, low: int, high: int, asked: bool) -> int:
-    """Position, block and whether an answer is wanted for it, in one long."""
+def spot(at, low: int, high: int, asked: bool):
+    """Position (or array of them), block and whether an answer is wanted for it, in one long."""
     return at << 21 | low << 11 | high << 1 | asked
 
 
@@ -99,19 +116,29 @@ def unspot(value: int) -> tuple[int, int, int, bool]:
     return value >> 21, value >> 11 & 1023, value >> 1 & 1023, bool(value & 1)
 
 
+def runs(spots: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of the maximal runs of bytes that the blocks at ``spots`` cover."""
+    at, low, high = spots >> 21, spots >> 11 & 1023, spots >> 1 & 1023
+    order = np.argsort(at - high)
+    start, reached = (at - high)[order], np.maximum.accumulate((at - low + least)[order])
+    new = np.append(True, start[1:] > reached[:-1])[: len(start)]
+    return start[new], reached[np.append(new[1:], True)[: len(start)]]
+
+
 _ROWS = "core long, span long, key binary, spot long"
 
 
 def longs(*parts: bytes) -> tuple[int, int]:
     """A digest of 128 bits over the parts, as two longs."""
-    made = xxhash.xxh3_128()
-    for part in parts:
-        made.update(len(part).to_bytes(4, "little"))
-        made.update(part)
-    made = made.intdigest()
+    made = xxhash.xxh3_128_intdigest(b"".join([x for part in parts for x in (len(part).to_bytes(4, "little"), part)]))
     return (made >> 64) - (1 << 63), (made & _LOW) - (1 << 63)
 
 
+def digests(parts, number: int, seed: int) -> np.ndarray:
+    """A digest of 64 bits of each of ``number`` parts."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(x, seed) for x in parts), np.uint64, number).view(np.int64)
+
+
 _LOW = (1 << 64) - 1
 
 
@@ -157,30 +184,58 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 
     long, binary = pa.int64(), pa.binary()
 
-    def anchors(unpack, key, packed):
-        at, value = positions(unpack(packed.as_py()), least)
-        key = key.as_py()
-        return [(key, *x) for x in zip(at.tolist(), value.view(np.int64).tolist())]
+    def by_column(make, names):
+        """A function on batches of (key, packed, more): the columns that ``make`` gives for each text behind its repeated key, in batches of some thousands."""
 
-    found = texts.select("key", "packed").mapInArrow(batched(anchors, (binary, pa.int32(), long), ["key", "at", "value"]), "key binary, at int, value long")
+        def run(batches):
+            unpack = zstandard.ZstdDecompressor().decompress
+            keys, made = [], []
+
+            def batch():
+                sizes = [len(x[0]) for x in made]
+                key = pa.array(keys, binary).take(pa.array(np.repeat(np.arange(len(keys)), sizes)))
+                return pa.RecordBatch.from_arrays([key, *[pa.array(np.concatenate(x)) for x in zip(*made)]], ["key", *names])
+
+            held = 0
+            for rows in batches:
+                for key, packed, *more in zip(*rows.columns):
+                    keys.append(key.as_py())
+                    made.append(make(keys[-1], unpack(packed.as_py()), *more))
+                    held += len(made[-1][0])
+                    if held > 20_000:
+                        yield batch()
+                        keys.clear(), made.clear()
+                        held = 0
+            if held:
+                yield batch()
+
+        return run
+
+    def anchors(_, data):
+        at, value = positions(data, least)
+        return at, value.view(np.int64)
+
+    found = texts.select("key", "packed").mapInArrow(by_column(anchors, ["at", "value"]), "key binary, at long, value long")
     found = stored(found, "positions")
     place = F.xxhash64("key", "at")
     again = found.groupBy("value").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("one <> other").select("value")
-    ats = found.join(again, "value", "left_semi").groupBy("key").agg(F.collect_list("at").alias("ats"))
-
-    def first_blocks(unpack, key, packed, ats):
-        key, data = key.as_py(), unpack(packed.as_py())
-        for at in ats.as_py():
-            for number, (low, high) in enumerate(blocks(0, reach, WIDTHS[0])):
-                if max(low, at + least - len(data)) > min(high, at):
-                    continue
-                core = longs(bytes([number]), data[at - low : at - high + least])[0]
-                whole = at >= high and at - low + least <= len(data)
-                span = longs(data[at - high : at - low + least]) if whole else longs(key, at.to_bytes(8, "little"))
-                yield core, span[1], key, spot(at, low, high, True)
+    ats = joined(found, again, ["value"], ["key", "at"]).groupBy("key").agg(F.collect_list("at").alias("ats"))
+
+    def first_blocks(key, data, ats):
+        """Cores, spans and spots around positions; the core's digest is seeded with the number of its block, and a span that leaves the text is one of its own."""
+        at, out = ats.values.to_numpy(), []
+        for number, (low, high) in enumerate(blocks(0, reach, WIDTHS[0])):
+            own = at[np.maximum(low, at + least - len(data)) <= np.minimum(high, at)]
+            core = digests((data[x - low : x - high + least] for x in own.tolist()), len(own), number + 2)
+            whole = (own >= high) & (own - low + least <= len(data))
+            span = np.empty(len(own), np.int64)
+            span[whole] = digests((data[x - high : x - low + least] for x in own[whole].tolist()), int(whole.sum()), 0)
+            span[~whole] = digests((key + x.to_bytes(8, "little") for x in own[~whole].tolist()), int((~whole).sum()), 1)
+            out.append((core, span, spot(own, low, high, True)))
+        return [np.concatenate(x) for x in zip(*out)]
 
     names = ["core", "span", "key", "spot"]
-    rows = texts.select("key", "packed").join(ats, "key").mapInArrow(batched(first_blocks, (long, long, binary, long), names), _ROWS)
+    rows = texts.select("key", "packed").join(ats, "key").mapInArrow(by_column(first_blocks, ["core", "span", "spot"]), "key binary, core long, span long, spot long").select(*names)
     result = [stored(settled(stored(rows, "blocks")), "settled")]
 
     def sides(unpack, key, packed, items):
@@ -228,20 +283,16 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 
     def cut(unpack, key, packed, copies, spots):
         data = unpack(packed.as_py())
-        pairs = sorted((at - high, at - low + least) for at, low, high, _ in map(unspot, spots.as_py() or ()))
+        start, stop = runs(np.empty(0, np.int64) if spots.values is None else spots.values.to_numpy(), least)
         if copies.as_py() > 1 and len(data) >= least:
-            pairs = [(0, len(data))]
-        kept, at, gone, n, last = hashlib.sha256(), 0, 0, 0, -1
-        for start, stop in pairs:
-            if start > last:
-                n += 1
-                kept.update(data[at:start])
-            if stop > last:
-                gone += stop - max(start, last)
-                last = at = stop
-        kept.update(data[at:])
-        yield key.as_py(), len(data), gone, n, kept.hexdigest()
+            start, stop = np.array([0]), np.array([len(data)])
+        kept = hashlib.sha256()
+        for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(data)]):
+            kept.update(data[a:b])
+        yield key.as_py(), len(data), int((stop - start).sum()), len(start), kept.hexdigest()
 
     done = texts.join(spans, "key", "left").select("key", "packed", "copies", "spots")
     done = done.mapInArrow(batched(cut, (binary, long, long, long, pa.string()), ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return keyed.select("doc_id", "key").join(stored(done, "cut"), "key").drop("key")
+    done = stored(done, "cut")
+    spark.sql(f"DROP TABLE {name}")  # the texts are not read any more
+    return keyed.select("doc_id", "key").join(done, "key").drop("key")

@@ -322,7 +322,32 @@ def brute_repeats(docs, least):
     return out
 
 
-def test_repeats_equal_brute_force(spark, odd_docs):
+def test_runs_of_blocks_are_merged():
+    rng = random.Random(9)
+    for _ in range(200):
+        spots = [repeats.spot(rng.randrange(300, 5000), low := rng.randrange(200), rng.randrange(low, 273), True) for _ in range(rng.randrange(12))]
+        gone = np.zeros(7000, bool)
+        for at, low, high, _ in map(repeats.unspot, spots):
+            gone[at - high : at - low + 400] = True
+        start, stop = repeats.runs(np.array(spots, np.int64), 400)
+        edges = np.flatnonzero(np.diff(gone.astype(int), prepend=0))
+        assert start.tolist() == edges[::2].tolist() and stop.tolist() == edges[1::2].tolist()
+
+
+def test_frequent_keys_are_dealt_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "ROWS_PER_PART", 50)
+    rows = spark.range(2000).select(F.when(F.col("id") < 900, 7).otherwise(F.col("id") % 40 + 100).alias("core"), F.col("id").alias("span"), F.lit(None).cast("long").alias("x"))
+    other = spark.range(300).select(F.col("id").alias("core"), (F.col("id") * 2).alias("y"))
+    out = repeats.joined(rows, other, ["core"], ["span"])
+    assert sorted(map(tuple, out.select("core", "span", "x", "y").collect())) == sorted(map(tuple, rows.join(other, "core").select("core", "span", "x", "y").collect()))
+    # the hot key is more than one group of the join
+    parts = rows.select(F.xxhash64("core").alias("hash")).transform(lambda f: repeats.hot_keys(f, "hash", 50)).orderBy(F.desc("_parts")).collect()
+    assert parts[0]["_parts"] == 18 and len(parts) <= 41
+
+
+@pytest.mark.parametrize("rows_per_part", [3, 20_000])
+def test_repeats_equal_brute_force(spark, odd_docs, rows_per_part, monkeypatch):
+    monkeypatch.setattr(repeats, "ROWS_PER_PART", rows_per_part)
     rng = random.Random(6)
     noise = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
     passage, other = noise(900), noise(420)
