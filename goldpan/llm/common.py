@@ -21,6 +21,14 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def forget(frame: DataFrame) -> None:
+    """Delete the files of a ``stored`` frame, once what was made of it is stored itself; nothing may read it any more."""
+    files, spark = frame.inputFiles(), frame.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in files}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def checked(frame: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A stored narrow ``frame`` marked for broadcast if it has at most ``rows`` rows; larger ones join by shuffle."""
     return F.broadcast(frame) if frame.count() <= rows else frame

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import stored
+from goldpan.llm.common import forget, stored
 from goldpan.operators.skew import hot_keys
 
 PREFIX = 128
@@ -236,7 +236,10 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 
     names = ["core", "span", "key", "spot"]
     rows = texts.select("key", "packed").join(ats, "key").mapInArrow(by_column(first_blocks, ["core", "span", "spot"]), "key binary, core long, span long, spot long").select(*names)
-    result = [stored(settled(stored(rows, "blocks")), "settled")]
+    made = stored(rows, "blocks")
+    forget(found)
+    result = [stored(settled(made), "settled")]
+    forget(made)
 
     def sides(unpack, key, packed, items):
         """The bytes around the cores of open blocks, as far as the block's strings reach and the text goes."""
@@ -272,7 +275,9 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     for width in WIDTHS[1:]:
         kinds = (long, long, binary, long, binary, binary)
         rows = current.mapInArrow(batched(splitter(width), kinds, [*names, "before", "after"]), _ROWS + ", before binary, after binary")
-        result.append(stored(settled(stored(rows, "blocks")), "settled"))
+        made = stored(rows, "blocks")
+        result.append(stored(settled(made), "settled"))
+        forget(made)
         asked = F.when(F.col("repeats"), F.col("spot") - 1).otherwise(F.col("spot"))
         current = result[-1].where("compared").select("core", "before", "after", "key", asked.alias("spot"))
 
@@ -294,5 +299,8 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     done = texts.join(spans, "key", "left").select("key", "packed", "copies", "spots")
     done = done.mapInArrow(batched(cut, (binary, long, long, long, pa.string()), ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     done = stored(done, "cut")
-    spark.sql(f"DROP TABLE {name}")  # the texts are not read any more
+    # neither the texts nor the blocks are read any more
+    spark.sql(f"DROP TABLE {name}")
+    for more in result:
+        forget(more)
     return keyed.select("doc_id", "key").join(done, "key").drop("key")

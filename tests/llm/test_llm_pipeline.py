@@ -42,6 +42,17 @@ def test_stages_take_odd_rows(spark, folder):
         stage(spark, docs, folder).collect()
 
 
+def test_columns_with_the_names_that_stages_use_stay(spark, folder):
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    rows = [(1, "a first text of its own kind", "r1", 0.5), (2, item, "r2", 0.6), (2, "another text under an id used twice", "r3", None), (None, "no id", None, 0.7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Row string, toxicity_score double").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(0).cast("long"), "row_": F.lit(1), "one": F.lit(2)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        left = {(r.doc_id, r.Row, r.toxicity_score) for r in out.collect()}
+        assert left == {(i, row, score) for i, text, row, score in rows if name != "benchmark_decontamination" or text != item}
+
+
 def test_rows_without_an_id_or_with_the_same_are_judged_alone(spark, folder):
     item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
     clean = [f"the {k}th clean text speaks of quite other things than its neighbours with words like a{k} b{k} c{k} d{k} e{k}" for k in range(4)]
