@@ -142,18 +142,46 @@ def grounding(results: DataFrame, n: int = 20, id_col: str = "id") -> DataFrame:
 
     Spark turns the rank filter into a per-task group limit before the shuffle, so a question with very many rows
     sends at most ``n`` per task, and each collected list has at most ``n`` rows. Spark does so up to a limit of its
-    own, and larger ``n`` are refused.
+    own; for larger ``n``, rows behind a quantile of their question's positions are left out first (see ``_up_to_cut``), which takes positions that are
+    numbers, dates or times.
     """
     largest = int(results.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > largest:
-        raise ValueError(f"at most {largest} rows a question, or raise spark.sql.optimizer.windowGroupLimitThreshold")
     fields = ["position", *[c for c in results.columns if c not in (id_col, "position")]]
     order = Window.partitionBy(id_col).orderBy(*fields)
-    first = results.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n)
+    few = results if n <= largest else _up_to_cut(results, n, id_col)
+    first = few.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n)
     rows = F.to_json(F.sort_array(F.collect_list(F.struct(*fields))))
     return first.groupBy(F.col(id_col).alias("id")).agg(rows.alias("rows_json"))
 
 
+# Shares of a question's rows at which its positions are cut, and the accuracy of these quantiles: ranks are off by one in so many of the rows at most.
+SHARES = tuple(2.0**-k for k in range(14, 0, -1))
+ACCURACY = 100_000
+# Only questions with more than one in this many of all rows are cut, so there are fewer of them than that.
+LARGE_QUESTIONS = 100_000
+
+
+def _up_to_cut(results: DataFrame, n: int, id_col: str) -> DataFrame:
+    """The rows of ``results`` that may be among the first ``n`` of their question, without a shuffle of rows.
+
+    A question with many rows is cut at the smallest share of them that holds ``n`` rows whatever the error of the quantile; about twice
+    as many rows are left (or a 16,000th of the question, if that is more), and rows that tie with the cut or have no position. Nothing among the first ``n`` is left out.
+    """
+    # a struct compares null to null as equal: rows without a question are one
+    question = F.struct(id_col)
+    counts = results.groupBy(question.alias("_question")).agg(F.count("position").alias("_all"))
+    least = F.greatest(F.lit(4 * n), F.floor(counts.agg(F.sum("_all").alias("rows")).scalar() / LARGE_QUESTIONS))
+    large = F.broadcast(counts.where(F.col("_all") > least))
+    # partial aggregates are sketches of bounded size, one a task and large question
+    of_large = results.select(question.alias("_question"), "position").join(large, "_question")
+    quantiles = of_large.groupBy("_question", "_all").agg(F.percentile_approx("position", F.array(*map(F.lit, SHARES)), F.lit(ACCURACY)).alias("_cuts"))
+    wanted = F.array(*[F.lit(share - 1 / ACCURACY) * F.col("_all") >= n + 1 for share in SHARES])
+    cut = F.try_element_at("_cuts", F.nullif(F.array_position(wanted, True), F.lit(0)).cast("int"))
+    cuts = F.broadcast(quantiles.select("_question", cut.alias("_cut")))
+    kept = results.withColumn("_question", question).join(cuts, "_question", "left")
+    return kept.where("_cut IS NULL OR position IS NULL OR position <= _cut").select(results.columns)
+
+
 def clean_sql(generated: DataFrame, sql_col: str = "generated", id_col: str = "id") -> DataFrame:
     """(id, sql): generated SQL without code fences and outer white space."""
     return generated.select(F.col(id_col).alias("id"), tx.strip_fences(F.col(sql_col)).alias("sql"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal, ROUND_HALF_UP
 
 import pytest
@@ -279,7 +280,26 @@ def test_fine_prices_are_exact(spark):
     assert row.c == 75_000
 
 
-def test_more_preview_rows_than_spark_limits_by_task_are_refused(spark):
-    rows = spark.createDataFrame([(1, 1, 2)], "id long, position int, part int")
-    with pytest.raises(ValueError):
-        ql.grounding(rows, 5_000)
+def test_many_first_rows_are_right_and_cut_before_their_shuffle(spark):
+    # one question has most rows, one none to cut, one no id; positions repeat, and some are missing
+    frame = spark.range(150_000).selectExpr(
+        "if(id % 10 < 7, 1, if(id % 10 = 7, 2, if(id % 10 = 8, NULL, id % 900 + 3))) AS id",
+        "if(id % 50001 = 0, NULL, (id * 7919) % 120000) AS position", "id AS v",
+    )
+    n = 5_000
+    plain = {}
+    for row in frame.collect():
+        plain.setdefault(row.id, []).append(((row.position is not None, row.position or 0, row.v), row))
+    wanted = {k: [r.v for _, r in sorted(rows, key=lambda x: x[0])[:n]] for k, rows in plain.items()}
+    assert {r.id: [x["v"] for x in json.loads(r.rows_json)] for r in ql.grounding(frame, n).collect()} == wanted
+    left = {r.id: r["count"] for r in ql._up_to_cut(frame, n, "id").groupBy("id").count().collect()}
+    assert n <= left[1] <= len(plain[1]) // 4 + 100 and left[2] == len(plain[2])
+    plan = ql.grounding(frame, n)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_percentile_approx" in plan and "CartesianProduct" not in plan
+
+
+def test_many_first_rows_of_few_rows_and_none(spark):
+    rows = spark.createDataFrame([(1, 1, 2), (1, 2, 3), (None, 1, 4)], "id long, position int, part int")
+    found = {r.id: r.rows_json for r in ql.grounding(rows, 5_000).collect()}
+    assert found == {1: '[{"position":1,"part":2},{"position":2,"part":3}]', None: '[{"position":1,"part":4}]'}
+    assert ql.grounding(rows.limit(0), 5_000).collect() == []
