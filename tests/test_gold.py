@@ -414,6 +414,15 @@ def test_reports_on_an_empty_gold_table(golden):
     assert not any(rows.values())
 
 
+def test_correlation_of_equal_values_is_null(golden):
+    same = golden.withColumn("satisfacao_media", F.lit(3.07))
+    assert tuple(questions.gdp_and_satisfaction(same).first()) == (None, 27)
+    assert tuple(questions.gdp_and_satisfaction(golden.withColumn("pib_per_capita", F.lit(0.1))).first())[0] is None
+    assert tuple(questions.gdp_and_satisfaction(golden.limit(1)).first()) == (None, 1)
+    line = golden.withColumn("satisfacao_media", F.col("pib_per_capita") * -2)
+    assert tuple(questions.gdp_and_satisfaction(line).first()) == (-1.0, 27)
+
+
 def test_instalment_gap_to_rich(golden):
     varied = golden.withColumn("pct_parcelados", F.when(F.col("classe_economica") == "Rico", 50.0).otherwise(60.5))
     gaps = {r.income_class: r.diff_from_rich for r in questions.instalments_by_class(varied).collect()}
