@@ -180,7 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, usable, id_col: str = "doc_id", te
     # ``kept`` has at most ``rows`` rows; their texts may be long, and stay where they are
     sample = texts.join(F.broadcast(kept), "id").select("id", (F.col("toxic") > 0).cast("int").alias("toxic"), F.col("text").cast("binary").alias("text"))
     sample = stored(sample, "labelled")
-    ones, zeros = sample.agg(F.count_if("toxic = 1"), F.count_if("toxic = 0")).first()
+    ones, zeros = sample.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not ones or not zeros:
         return constant([1] * ones + [0] * zeros)
 
@@ -236,124 +236,6 @@ def train(docs: DataFrame, labels: DataFrame, usable, id_col: str = "doc_id", te
     return fitted(model, cells(found, "at", "value"), cells(twins, "gap_at", "gap"), found["toxic"].to_numpy())
 
 
-def score(self, text: str) -> float:
-        z = self.bias + sum(self.weights[k] * v for k, v in self.values(word_counts(text)).items())
-        return float(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-
-
-def gain(a: int, b: int, ones: int, zeros: int) -> float:
-    """How well a feature in ``a`` of the toxic and ``b`` of the other texts tells them (likelihood ratio)."""
-    xlog = lambda x: x * math.log(x) if x > 0 else 0.0
-    return xlog(a) + xlog(b) + xlog(ones - a) + xlog(zeros - b) - xlog(a + b) - xlog(ones + zeros - a - b)
-
-
-def telling(a: int, b: int, ones: int, zeros: int) -> bool:
-    return a > 2 and a * zeros > b * ones
-
-
-def named(known: list[str], limit: int) -> list[str]:
-    """All identity terms, for the penalty to act on, then the ``known`` features, best first."""
-    return [*_KIND, *(f for f in known if f not in _KIND)][:limit]
-
-
-def informative(texts: list[Counter], toxic: list[int], limit: int) -> list[str]:
-    """The features that tell toxic texts best, of texts held in memory."""
-    here, there = Counter(), Counter()
-    for counts, label in zip(texts, toxic):
-        (here if label else there).update({f for w in counts for f in features(w)})
-    ones, zeros = sum(toxic), len(toxic) - sum(toxic)
-    known = {f: gain(n, there[f], ones, zeros) for f, n in here.items() if telling(n, there[f], ones, zeros)}
-    return named(sorted(known, key=lambda f: (-known[f], f)), limit)
-
-
-class Cells:
-    """Values by row and feature number, laid flat."""
-
-    def __init__(self, lengths: np.ndarray, columns: np.ndarray, values: np.ndarray):
-        self.rows = np.repeat(np.arange(len(lengths)), lengths)
-        self.columns, self.values, self.n = columns.astype(int), values.astype(float), len(lengths)
-
-    @classmethod
-    def of(cls, rows: list[dict[int, float]]) -> Cells:
-        columns, values = ([x for row in rows for x in part(row)] for part in (dict.keys, dict.values))
-        return cls(np.array([len(x) for x in rows], int), np.array(columns), np.array(values))
-
-
-def twin_gap(model: Classifier, counts: Counter) -> dict[int, float] | None:
-    """The difference between the values of a text and of its twin; None if it names no group."""
-    twin = swapped(counts)
-    if not twin:
-        return None
-    gap = Counter(model.values(counts))
-    gap.subtract(model.values(twin))
-    return dict(gap)
-
-
-def constant(toxic: list[int]) -> Classifier:
-    """For labels of one kind at most: the share of toxic ones, one half if there are none."""
-    rate = min(0.999, max(0.001, sum(toxic) / len(toxic))) if len(toxic) else 0.5
-    return Classifier({}, np.zeros(0), math.log(rate / (1 - rate)))
-
-
-def fitted(model: Classifier, texts: Cells, twins: Cells, toxic: np.ndarray, penalty: float = 1.0, steps: int = 400) -> Classifier:
-    """Train the weights of ``model`` on the values of texts and on the gaps to their twins."""
-    r, c, v, tr, tc, tv = texts.rows, texts.columns, texts.values, twins.rows, twins.columns, twins.values
-    y, w, b = np.array(toxic, float), model.weights, -2.0
-    first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    for step in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(b + np.bincount(r, v * w[c], len(y)), -30, 30)))
-        slope = np.bincount(c, v * (p - y)[r], len(w)) / len(y) + 1e-4 * w
-        if twins.n:
-            gap = np.bincount(tr, tv * w[tc], twins.n)
-            slope += penalty * 2 * np.bincount(tc, tv * gap[tr], len(w)) / twins.n
-        slope = np.append(slope, (p - y).mean())
-        first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
-        move = 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-        w -= move[:-1]
-        b -= move[-1]
-    model.bias = float(b)
-    return model
-
-
-def fit(texts: list[Counter], toxic: list[int], penalty: float = 1.0, limit: int = FEATURES, steps: int = 400) -> Classifier:
-    """Train on word counts and labels. Without labels of both kinds the score is the share of toxic ones, one half if none."""
-    if len(set(toxic)) < 2:
-        return constant(toxic)
-    names = informative(texts, toxic, limit)
-    model = Classifier({f: k for k, f in enumerate(names)}, np.zeros(len(names)), 0.0)
-    gaps = [gap for x in texts if (gap := twin_gap(model, x)) is not None]
-    return fitted(model, Cells.of([model.values(x) for x in texts]), Cells.of(gaps), toxic, penalty, steps)
-
-
-def train(docs: DataFrame, labels: DataFrame, usable, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> Classifier:
-    """Fit on at most ``rows`` labelled documents, the first by hash of the id among those ``usable`` (a condition on the id).
-
-    Null ids, labels and texts are left out, and of a repeated id one label counts, the larger.
-    """
-    kept = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
-    kept = kept.where(usable(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    kept = kept.orderBy(F.xxhash64("id"), "id").limit(rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-
-    def count(batches):
-        for batch in batches:
-            found = [word_counts(t.as_py().decode("utf-8", "replace")) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([list(x) for x in found], pa.list_(pa.string())), pa.array([list(x.values()) for x in found], pa.list_(pa.int64()))],
-                ["toxic", "words", "times"],
-            )
-
-    # ``kept`` has at most ``rows`` rows
-    sample = texts.join(F.broadcast(kept), "id").select(F.col("toxic").cast("int"), F.col("text").cast("binary"), "id").orderBy("id")
-    schema = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("times", T.ArrayType(T.LongType()))])
-    found = sample.select("toxic", "text").mapInArrow(count, schema).toArrow()
-    toxic, counts = [], []
-    for label, words, times in zip(found["toxic"], found["words"], found["times"]):
-        toxic.append(int(label.as_py() > 0))
-        counts.append(Counter(dict(zip(words.as_py(), times.as_py()))))
-    return fit(counts, toxic)
-
-
 def score(docs: DataFrame, model: Classifier, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with one more column, the score of the whole text; null and empty texts score as texts without words."""
     at = docs.columns.index(text_col)

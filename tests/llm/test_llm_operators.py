@@ -552,6 +552,23 @@ def test_held_out_toxic_documents_are_found(spark):
     assert hit / sum(r.toxic for r in rows) > 0.9 and hit / sum(r.score >= 0.3 for r in rows) > 0.9
 
 
+def test_training_gathers_no_words_on_the_driver(spark, monkeypatch):
+    rng = random.Random(4)
+    words = lambda k: [f"w{rng.randrange(60)}" for _ in range(20)] + ["women"] * (k % 3 == 0) + ["idiot"] * (k % 2)
+    texts = [" ".join(words(k)) for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    expected = toxicity.fit([toxicity.word_counts(t) for t in texts], [k % 2 for k in range(60)])
+    # both take the words of all texts in memory
+    monkeypatch.setattr(toxicity, "fit", None)
+    monkeypatch.setattr(toxicity, "informative", None)
+    model = toxicity.train(docs, labels, lambda i: i >= 0)
+    assert model.index == expected.index
+    assert np.allclose(model.weights, expected.weights) and np.isclose(model.bias, expected.bias)
+    one_kind = toxicity.train(docs, labels.withColumn("toxic", F.lit(0)), lambda i: i >= 0)
+    assert not one_kind.index
+
+
 def test_group_terms_do_not_sway_the_score():
     rng = random.Random(2)
     filler = lambda: [f"w{rng.randrange(60)}" for _ in range(20)]
