@@ -14,10 +14,10 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """Write ``frame`` to the shared folder and read it back: cuts lineage, and survives lost executors."""
+def stored(frame: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``frame`` to the shared folder, with the writer's ``options``, and read it back: cuts lineage, and survives lost executors."""
     path = shared_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -12,8 +12,8 @@ those that start in it (by hash), and equal strings hold the same one at the sam
 
 from __future__ import annotations
 
-import hashlib
 import uuid
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from goldpan.llm.common import forget, stored
 from goldpan.operators.skew import hot_keys
@@ -67,7 +68,7 @@ def positions(data: bytes, least: int) -> tuple[np.ndarray, np.ndarray]:
     return at, np.concatenate(kept)[first]
 
 
-def blocks(low: int, high: int, width: int):
+def blocks(low: int, high: int, width: int) -> list[tuple[int, int]]:
     """(first, last) starts of the parts of a block."""
     return [(a, min(a + width - 1, high)) for a in range(low, high + 1, width)]
 
@@ -112,8 +113,9 @@ def wanted():
     return F.col("spot").bitwiseAND(F.lit(1)) == 1
 
 
-def unspot(value: int) -> tuple[int, int, int, bool]:
-    return value >> 21, value >> 11 & 1023, value >> 1 & 1023, bool(value & 1)
+def unspot(value):
+    """Position, block and whether an answer is wanted, of a long or an array of them."""
+    return value >> 21, value >> 11 & 1023, value >> 1 & 1023, value & 1
 
 
 def runs(spots: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,13 +127,9 @@ def runs(spots: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return start[new], reached[np.append(new[1:], True)[: len(start)]]
 
 
-_ROWS = "core long, span long, key binary, spot long"
-
-
-def longs(*parts: bytes) -> tuple[int, int]:
-    """A digest of 128 bits over the parts, as two longs."""
-    made = xxhash.xxh3_128_intdigest(b"".join([x for part in parts for x in (len(part).to_bytes(4, "little"), part)]))
-    return (made >> 64) - (1 << 63), (made & _LOW) - (1 << 63)
+_ROWS = "core long, span long, key binary, spot long, before binary, after binary"
+#: Bytes of remaining text in a batch of results.
+_BATCH = 8 << 20
 
 
 def digests(parts, number: int, seed: int) -> np.ndarray:
@@ -139,11 +137,114 @@ def digests(parts, number: int, seed: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(x, seed) for x in parts), np.uint64, number).view(np.int64)
 
 
-_LOW = (1 << 64) - 1
+def sides(least: int):
+    """A function on batches of (key, packed, items): the open blocks with the bytes around their cores, as far as the block's strings reach and the text goes."""
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        core, before, after, keys, spots = [], [], [], [], []
+
+        def batch():
+            key = pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in core])))
+            made = [pa.array(np.concatenate(core)), pa.array(before, pa.binary()), pa.array(after, pa.binary()), key, pa.array(np.concatenate(spots))]
+            return pa.RecordBatch.from_arrays(made, ["core", "before", "after", "key", "spot"])
+
+        for rows in batches:
+            for key, packed, items in zip(*rows.columns):
+                data = unpack(packed.as_py())
+                keys.append(key.as_py()), core.append(items.values.field("core").to_numpy()), spots.append(items.values.field("spot").to_numpy())
+                at, low, high, _ = (x.tolist() for x in unspot(spots[-1]))
+                before += [data[max(0, x - b) : x - a] for x, a, b in zip(at, low, high)]
+                after += [data[x - b + least : x - a + least] for x, a, b in zip(at, low, high)]
+                if len(before) > 5_000:
+                    yield batch()
+                    core, before, after, keys, spots = [], [], [], [], []
+        if keys:
+            yield batch()
+
+    return run
+
+
+def splitter(width: int, around):
+    """A function on batches that ``around`` turns into (core, before, after, key, spot): the parts of each block, of at most ``width`` starts.
+
+    The core of a part is a digest of the old core, the part's number, which says how many bytes are gained on either side, and those
+    bytes. Its span is a digest of that and the bytes around, or of its place if they leave the text.
+    """
+
+    def run(batches):
+        split = cache(blocks)
+        for rows in around(batches):
+            core, key, spots = rows.column("core").to_numpy().tobytes(), rows.column("key").to_pylist(), rows.column("spot").to_numpy()
+            at, low, high, asked = unspot(spots)
+            who, first, last, grown, spans, befores, afters = [], [], [], [], [], [], []
+            each = zip(rows.column("before").to_pylist(), rows.column("after").to_pylist(), low.tolist(), high.tolist())
+            for i, (before, after, a0, b0) in enumerate(each):
+                if b0 - len(after) > a0 + len(before):
+                    continue
+                own = core[8 * i : 8 * i + 8]
+                for number, (a, b) in enumerate(split(a0, b0, width)):
+                    kept, right, reach = len(before) - (a - a0), b0 - b, b - a
+                    if kept < 0 or len(after) < right:
+                        continue
+                    digest = xxhash.xxh3_128_digest(own + bytes((number,)) + before[kept:] + after[:right])
+                    reach_left, reach_right = before[max(0, kept - reach) : kept], after[right : right + reach]
+                    if len(reach_left) == reach == len(reach_right):
+                        spans.append(xxhash.xxh3_64_digest(digest + reach_left + reach_right, 0))
+                    else:
+                        spans.append(xxhash.xxh3_64_digest(digest + key[i] + int(at[i]).to_bytes(8, "little"), 1))
+                    who.append(i), first.append(a), last.append(b), grown.append(digest[:8]), befores.append(reach_left), afters.append(reach_right)
+            if who:
+                spot_ = spot(at[who], np.array(first), np.array(last), asked[who])
+                made = [np.frombuffer(b"".join(x), np.int64) for x in (grown, spans)]
+                made = [*map(pa.array, made), rows.column("key").take(pa.array(who)), pa.array(spot_), pa.array(befores, pa.binary()), pa.array(afters, pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, ["core", "span", "key", "spot", "before", "after"])
+
+    return run
+
+
+def cutter(least: int):
+    """A function on batches of (doc_id, packed, spots): doc_id, size of the text, spans removed, and the bytes that remain."""
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for rows in batches:
+            ids, sizes, starts, stops, kept, held, since = rows.column("doc_id"), [], [], [], [], 0, 0
+
+            def batch():
+                offsets = pa.array(np.cumsum([0, *map(len, starts)]), pa.int32())
+                spans = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in (starts, stops)], ["start", "stop"])
+                made = [ids.slice(since, len(sizes)), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, spans), pa.array(kept, pa.binary())]
+                return pa.RecordBatch.from_arrays(made, ["doc_id", "n_bytes", "spans", "kept"])
+
+            for number, (packed, spots) in enumerate(zip(rows.column("packed"), rows.column("spots"))):
+                data = unpack(packed.as_py())
+                start, stop = runs(np.empty(0, np.int64) if spots.values is None else spots.values.to_numpy(), least)
+                left = b"".join([data[a:b] for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(data)])]) if len(start) else data
+                sizes.append(len(data)), starts.append(start), stops.append(stop), kept.append(left)
+                held += len(left)
+                if held > _BATCH:
+                    yield batch()
+                    sizes, starts, stops, kept, held, since = [], [], [], [], 0, number + 1
+            if sizes:
+                yield batch()
+
+    return run
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text for every row of ``docs``: figures of what ``without_repeats`` cuts, and what remains.
+
+    ``text`` is what remains as a string. Bytes that a cut within a character leaves behind show as U+FFFD there; the digest is of the bytes.
+    """
+    cut = without_repeats(docs, id_col, text_col, least)
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["stop"] - x["start"])
+    figures = [n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")]
+    return cut.select("doc_id", "n_bytes", *figures, F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400) -> DataFrame:
+    """doc_id, n_bytes, spans (start and stop of each maximal run of bytes removed), kept (the bytes that remain) for every row of ``docs``.
 
     Removed is every byte of a string of ``least`` UTF-8 bytes that also starts elsewhere, in this or another row. Null texts are empty, rows with a
     repeated or null id are rows of their own, further columns are ignored, and an empty table gives an empty result. ``least`` is at least 2 * 128.
@@ -157,33 +258,15 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     def pack(batches):
         press = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press(x.as_py()) for x in batch.column(1)], pa.binary())], ["key", "packed"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([press(x.as_py()) for x in batch.column(2)], pa.binary())], ["key", "doc_id", "packed"])
 
-    texts = keyed.select("key", "text").mapInArrow(pack, "key binary, packed binary")
-    texts = texts.groupBy("key").agg(F.first("packed").alias("packed"), F.count(F.lit(1)).alias("copies"))
+    schema = StructType([keyed.schema["key"], keyed.schema["doc_id"], StructField("packed", BinaryType())])
+    texts = keyed.select("key", "doc_id", "text").mapInArrow(pack, schema)
+    texts = texts.groupBy("key").agg(F.first("packed").alias("packed"), F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     texts.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").saveAsTable(name)
     texts = spark.table(name)
     reach = least - PREFIX  # starts that a position stands for reach so far before it
 
-    def batched(make, kinds, names):
-        """A function on batches: the rows that ``make`` gives for each input row, in batches of some thousands."""
-
-        def run(batches):
-            rows = []
-            unpack = zstandard.ZstdDecompressor().decompress
-            for batch in batches:
-                for row in zip(*batch.columns):
-                    rows.extend(make(unpack, *row))
-                    if len(rows) > 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
-                        rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
-
-        return run
-
-    long, binary = pa.int64(), pa.binary()
-
     def by_column(make, names):
         """A function on batches of (key, packed, more): the columns that ``make`` gives for each text behind its repeated key, in batches of some thousands."""
 
@@ -193,7 +276,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
 
             def batch():
                 sizes = [len(x[0]) for x in made]
-                key = pa.array(keys, binary).take(pa.array(np.repeat(np.arange(len(keys)), sizes)))
+                key = pa.array(keys, pa.binary()).take(pa.array(np.repeat(np.arange(len(keys)), sizes)))
                 return pa.RecordBatch.from_arrays([key, *[pa.array(np.concatenate(x)) for x in zip(*made)]], ["key", *names])
 
             held = 0
@@ -241,66 +324,34 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     result = [stored(settled(made), "settled")]
     forget(made)
 
-    def sides(unpack, key, packed, items):
-        """The bytes around the cores of open blocks, as far as the block's strings reach and the text goes."""
-        key, data = key.as_py(), unpack(packed.as_py())
-        for x in items.as_py():
-            at, low, high, _ = unspot(x["spot"])
-            yield x["core"], data[max(0, at - high) : at - low], data[at - high + least : at - low + least], key, x["spot"]
-
     open_ = result[0].where("compared").withColumn("spot", F.when(F.col("repeats"), F.col("spot") - 1).otherwise(F.col("spot")))
     by_text = open_.groupBy("key").agg(F.collect_list(F.struct("core", "spot")).alias("items"))
-    state = ["core", "before", "after", "key", "spot"]
-    current = texts.select("key", "packed").join(by_text, "key")
-    current = current.mapInArrow(batched(sides, (long, binary, binary, binary, long), state), "core long, before binary, after binary, key binary, spot long")
-
-    def splitter(width: int):
-        def split(_, core, before, after, key, place):
-            core, before, after, key = core.as_py(), before.as_py(), after.as_py(), key.as_py()
-            at, low, high, asked = unspot(place.as_py())
-            for number, (a, b) in enumerate(blocks(low, high, width)):
-                left, right = a - low, high - b  # bytes that the core gains
-                if len(before) < left or len(after) < right or high - len(after) > low + len(before):
-                    continue
-                kept = len(before) - left
-                reach_left, reach_right = before[max(0, kept - (b - a)) : kept], after[right : right + b - a]
-                grown = longs(core.to_bytes(8, "little", signed=True), bytes([number]), before[kept:], after[:right])
-                own = [x.to_bytes(8, "little", signed=True) for x in grown]
-                whole = len(reach_left) == b - a == len(reach_right)
-                span = longs(*own, reach_left, reach_right) if whole else longs(*own, key, at.to_bytes(8, "little"))
-                yield grown[0], span[1], key, spot(at, a, b, asked), reach_left, reach_right
-
-        return split
-
+    current, around = texts.select("key", "packed").join(by_text, "key").select("key", "packed", "items"), sides(least)
     for width in WIDTHS[1:]:
-        kinds = (long, long, binary, long, binary, binary)
-        rows = current.mapInArrow(batched(splitter(width), kinds, [*names, "before", "after"]), _ROWS + ", before binary, after binary")
-        made = stored(rows, "blocks")
+        made = stored(current.mapInArrow(splitter(width, around), _ROWS), "blocks")
         result.append(stored(settled(made), "settled"))
         forget(made)
         asked = F.when(F.col("repeats"), F.col("spot") - 1).otherwise(F.col("spot"))
-        current = result[-1].where("compared").select("core", "before", "after", "key", asked.alias("spot"))
+        current, around = result[-1].where("compared").select("core", "before", "after", "key", asked.alias("spot")), iter
 
     spans = result[0].where("repeats").select("key", "spot")
     for more in result[1:]:
         spans = spans.union(more.where("repeats").select("key", "spot"))
-    spans = spans.groupBy("key").agg(F.collect_list("spot").alias("spots"))
-
-    def cut(unpack, key, packed, copies, spots):
-        data = unpack(packed.as_py())
-        start, stop = runs(np.empty(0, np.int64) if spots.values is None else spots.values.to_numpy(), least)
-        if copies.as_py() > 1 and len(data) >= least:
-            start, stop = np.array([0]), np.array([len(data)])
-        kept = hashlib.sha256()
-        for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(data)]):
-            kept.update(data[a:b])
-        yield key.as_py(), len(data), int((stop - start).sum()), len(start), kept.hexdigest()
-
-    done = texts.join(spans, "key", "left").select("key", "packed", "copies", "spots")
-    done = done.mapInArrow(batched(cut, (binary, long, long, long, pa.string()), ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    done = stored(done, "cut")
-    # neither the texts nor the blocks are read any more
+    spans = stored(spans.groupBy("key").agg(F.collect_list("spot").alias("spots")), "spans")
+    for part in result:
+        forget(part)
+
+    # what is found once is cut; copies of one text repeat as a whole, or are too short for any string
+    once = texts.where("copies = 1").join(spans, "key", "left").select("doc_id", "packed", "spots")
+    schema = StructType([once.schema["doc_id"], *StructType.fromDDL("n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")])
+    done = stored(once.mapInArrow(cutter(least), schema), "cut", compression="zstd")
+    more = stored(texts.where("copies > 1").select("key"), "copies")
+    # neither the packed texts nor the spots are read any more
     spark.sql(f"DROP TABLE {name}")
-    for more in result:
-        forget(more)
-    return keyed.select("doc_id", "key").join(done, "key").drop("key")
+    forget(spans)
+    size = F.octet_length("text").cast("long")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop")))
+    spans = F.when(size >= least, whole).otherwise(F.array().cast(done.schema["spans"].dataType))
+    kept = F.when(size >= least, F.lit(b"")).otherwise(F.col("text"))
+    copies = keyed.select("doc_id", "key", size.alias("n_bytes"), spans.alias("spans"), kept.alias("kept"))
+    return done.union(copies.join(more, "key", "left_semi").drop("key"))

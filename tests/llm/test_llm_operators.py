@@ -359,6 +359,29 @@ def test_repeats_equal_brute_force(spark, odd_docs, rows_per_part, monkeypatch):
     assert repeats.removed(frame.limit(0)).collect() == []
 
 
+def test_texts_without_repeats_are_returned(spark):
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcd ") for _ in range(n))
+    passage, copy, short = noise(410), noise(700), noise(90)
+    # (5) and (6) share all but the first byte of their 3-byte characters before the passage
+    rows = [("1", "x" + noise(100) + "y" + passage + "z" + noise(50)), ("2", passage + "w"), ("3", copy), ("3", copy), (None, short), ("4", short), ("5", "v\u20ac" + copy[:450]), ("6", "v\u30ac" + copy[:450] + "u"), ("7", None), ("8", noise(600))]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    found = repeats.without_repeats(frame).collect()
+    assert len(found) == len(rows)
+    texts = {doc: (text or "").encode() for doc, text in rows}
+    for row in found:
+        data, spans = texts[row.doc_id], [(x.start, x.stop) for x in row.spans]
+        assert row.n_bytes == len(data)
+        assert bytes(row.kept) == b"".join(data[a:b] for a, b in zip([0, *(x[1] for x in spans)], [*(x[0] for x in spans), len(data)]))
+    out = {row.doc_id: row for row in repeats.removed(frame).collect()}
+    assert out["1"].text == rows[0][1].replace(passage, "") and out["2"].text == "w"
+    assert out["3"].text == "" and out[None].text == out["4"].text == short
+    # the last two bytes of the characters are equal, too, and go with the passage; what is left of them is no character
+    assert out["5"].n_removed == out["6"].n_removed == 452 and out["5"].text == "v\ufffd" and out["6"].text == "v\ufffdu"
+    assert out["7"].text == "" and out["8"].text == rows[-1][1]
+    assert all(out[doc].kept_sha256 == hashlib.sha256(out[doc].text.encode()).hexdigest() for doc in "123478")
+
+
 # archives
 
 
