@@ -16,6 +16,8 @@ COVERAGE = 0.5
 RUN = 13
 #: Benchmark windows up to which their table is broadcast (about 20 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 500_000
+#: Windows of a text that are one row while they are made: a task's memory follows this, not the length of texts.
+STRETCH = 2_048
 #: Units of measure.
 UNITS = "km|cm|mm|kg|mg|ml|lbs?|miles?|metres?|meters?|litres?|liters?|grams?|hours?|minutes?|seconds?|days?|weeks?|years?|dollars?|euros?|percent|usd|eur"
 NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"
@@ -71,14 +73,29 @@ def spanned(name: str, length: int, join) -> Column:
     return out
 
 
+def stretches(rows: DataFrame, reach: int) -> DataFrame:
+    """``rows`` with their ``words`` cut to ``STRETCH`` windows each, of up to ``reach`` words, the first at the place ``start`` of the text.
+
+    Stretches overlap by what the last window of one needs. A row without words stays.
+    """
+    others = [c for c in rows.columns if c != "words"]
+    # the outer form, here and below: Spark would push the test for rows without any below the tokens, and make them twice
+    starts = F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(STRETCH)))
+    rows = rows.select("*", starts.alias("start"))
+    return rows.select(*others, "start", F.slice("words", F.col("start") + 1, F.lit(STRETCH + reach - 1)).alias("words"))
+
+
 def windowed(rows: DataFrame, lengths: list[int]) -> DataFrame:
-    """One row per window of ``words``, for each of ``lengths``: length, at, window, and all other columns.
+    """One row per window of ``words``, for each of ``lengths``: length, at, window, the words ``here``, and all columns but ``words``.
 
     A window is its template; one that placeholders make up by more than half is its exact words instead.
     """
-    columns, longest = rows.columns, max(lengths)
+    longest = max(lengths)
     mixed, added = (lambda a, b: F.xxhash64(a, b)), (lambda a, b: a + b)
-    # texts with few placeholders have no such windows, and nothing more is computed for them
+    others = [c for c in rows.columns if c != "words"]
+    rows = stretches(rows, longest)
+    columns = rows.columns
+    # stretches with few placeholders have no such windows, and nothing more is computed for them
     rows = rows.withColumn("many", F.size(F.filter("words", lambda w: w >= NUMBER)) > min(lengths) // 2)
     rows = rows.withColumn("t1", template(F.col("words")))
     rows = rows.withColumn("e1", F.when(F.col("many"), F.transform("words", lambda w: F.xxhash64(w, F.lit(1)))))
@@ -90,14 +107,18 @@ def windowed(rows: DataFrame, lengths: list[int]) -> DataFrame:
         # no lambda refers to a column from outside, which Spark would compute anew for each element
         exact = F.zip_with("e_", "c_", lambda e, c: F.when(c > n // 2, e))  # noqa: B023
         own = F.zip_with("t_", exact, lambda t, e: F.coalesce(e, t))
-        rows = rows.withColumn(f"keys{n}", F.when(F.col("many"), own).otherwise(F.col("t_")))
+        keys = F.when(F.col("many"), own).otherwise(F.col("t_"))
+        # shorter windows go on into the overlap, which the next stretch has, too
+        rows = rows.withColumn(f"keys{n}", keys if n == longest else F.slice(keys, F.lit(1), F.lit(STRETCH)))
     if len(lengths) == 1:
         rows = rows.select(*columns, F.lit(longest).alias("length"), F.col(f"keys{longest}").alias("keys"))
     else:
         each = F.explode_outer(F.array(*[F.struct(F.lit(n).alias("length"), F.col(f"keys{n}").alias("keys")) for n in lengths]))
         rows = rows.select(*columns, each.alias("each")).select(*columns, "each.length", "each.keys")
-    # the outer form: Spark would push the test for rows without windows below all of this, and run it there once more
-    return rows.select(*columns, "length", F.posexplode_outer("keys").alias("at", "window"))
+    rows = rows.select(*columns, "length", F.posexplode_outer("keys").alias("at", "window"))
+    # what is joined has a window's own words: the rows of a text that match are held at once, and would each hold all words
+    here = F.slice("words", F.col("at") + 1, F.col("length"))
+    return rows.select(*others, "length", (F.col("start") + F.col("at")).alias("at"), "window", here.alias("here"))
 
 
 def marked(words: Column) -> Column:
@@ -120,7 +141,7 @@ def own_windows(forms: DataFrame, lengths: list[int]) -> DataFrame:
     """(of, inner, item_at, item_window, item_length, light, item_slots) of benchmark ``forms``; of the inner form only what starts with the text."""
     found = windowed(forms.withColumnRenamed("length", "own"), lengths)
     found = found.where("window IS NOT NULL AND length = own AND (at = 0 OR NOT inner)")
-    found = found.withColumn("item_slots", marked(F.slice("words", F.col("at") + 1, F.col("length"))))
+    found = found.withColumn("item_slots", marked(F.col("here")))
     light = F.size("item_slots") <= F.floor(F.col("length") / 2)
     return found.select("of", "inner", F.col("at").alias("item_at"), F.col("window").alias("item_window"), F.col("length").alias("item_length"), light.alias("light"), "item_slots")
 
@@ -147,8 +168,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # rows that share an id have occurrences of their own, told apart by their texts
     found = windowed(docs.select(F.col(id_col).alias("key"), F.xxhash64(text_col).alias("row"), tokens(F.col(text_col)).alias("words")), lengths)
     hits = found.join(F.broadcast(items) if few else items, (F.col("window") == F.col("item_window")) & (F.col("length") == F.col("item_length")))
-    doc_slots = marked(F.slice("words", F.col("at") + 1, F.col("length"))).alias("doc_slots")
-    hits = hits.select("key", "row", "of", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "light", "item_slots", doc_slots)
+    hits = hits.select("key", "row", "of", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "light", "item_slots", marked(F.col("here")).alias("doc_slots"))
     seen = hits.groupBy("key", "row", "of", "shift").agg(F.collect_set(F.struct("item_at", "light", "item_slots", "doc_slots")).alias("hits"))
     seen = seen.withColumn("pairs", F.array_distinct(F.flatten(F.transform("hits", lambda h: F.arrays_zip(h["item_slots"].alias("item"), h["doc_slots"].alias("doc"))))))
     one_value = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs")

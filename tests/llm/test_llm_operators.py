@@ -242,6 +242,26 @@ def test_decimals_grouped_numbers_and_long_names_are_one_slot(spark):
     assert found == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (6, 3), (8, 3)}
 
 
+def test_a_long_text_full_of_an_item_fits_in_memory(spark):
+    item = "every morning the old baker carries seven warm loaves of dark bread to the small harbour where sailors wait"
+    docs = spark.createDataFrame([(1, " ".join([item] * 2_500)), (2, "no such words are in here at all")], "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.windows, r.matched) for r in found] == [(1, 1, 12, 12)]
+
+
+def test_no_window_is_lost_or_doubled_between_stretches(spark, monkeypatch):
+    text = " ".join(f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" if k % 5 else str(k) for k in range(100))
+    docs = spark.createDataFrame([(1, text), (2, text[:30]), (3, ""), (4, None), (5, "5 6 7 8 9 10 11 12 13 14 15 16 17")], "key long, text string").select("key", decontaminate.tokens(F.col("text")).alias("words"))
+    found = lambda: [tuple(r) for r in decontaminate.windowed(docs, [8, 5, 1]).where("window IS NOT NULL").select("key", "length", "at", "window", "here").orderBy("key", "length", "at").collect()]
+    whole = found()
+    words = {r.key: r.words or [] for r in docs.collect()}
+    assert [(k, n, at, here) for k, n, at, _, here in whole] == [(k, n, at, w[at : at + n]) for k, w in sorted(words.items()) for n in (1, 5, 8) for at in range(len(w) - n + 1)]
+    monkeypatch.setattr(decontaminate, "STRETCH", 7)
+    assert found() == whole
+    cut = decontaminate.stretches(docs, 8)
+    assert cut.agg(F.max(F.size("words"))).first()[0] == 14 and {r.key for r in cut.collect()} == {1, 2, 3, 4, 5}
+
+
 def test_benchmark_passages_are_found_as_by_brute_force(spark, folder):
     docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     split = lambda t: re.findall(r"[^\W_]+", t.lower())
